@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NOT_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|title)\b.*?(?:</\1\s*>|\z)"
+_NOT_MARKUP = r"(?is)<(?:!--.*?(?:-->|\z)|(script|style|textarea|title)\b.*?(?:</\1\s*>|\z))"
 _ANCHOR_START = r"(?i)<a(?=[\s/>])"
 _TAG_BODY = r"""^((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
 _ATTRIBUTE = r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?"""
+_TO_THE_END = 1 << 30  # more elements than an array can hold; asking its size would build it twice
 _SCHEME = r"^([a-zA-Z][a-zA-Z0-9+.\-]*):"
 
 # The named character references decoded in link text and attributes.
@@ -35,7 +36,7 @@ def anchor_chunks(html: Column) -> Column:
     hold another one.  Comments and raw-text elements are blanked first.
     """
     chunks = F.split(F.regexp_replace(html, _NOT_MARKUP, " "), _ANCHOR_START, -1)
-    return F.slice(chunks, F.lit(2), F.greatest(F.size(chunks) - 1, F.lit(0)))
+    return F.slice(chunks, 2, _TO_THE_END)
 
 
 def tag_body(chunk: Column) -> Column:

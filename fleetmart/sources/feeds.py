@@ -54,16 +54,17 @@ def unwrap_feed(
 
     A body is a list of records or an object holding one.  With ``salvage``, a body in
     which neither is found is searched for an embedded JSON object.  Each parse is a
-    column of its own, so that a body is parsed once per shape it is tried as.
+    column of its own and the explode an outer one: the filter Spark infers for an inner
+    explode repeats the whole expression, parses and all.
     """
     keys = [named(k) for k in keep]
     text = named(body)
-    is_list = text.rlike(r"^\s*\[")
+    is_list, is_object = text.rlike(r"^\s*\["), text.rlike(r"^\s*\{")
     parsed = bodies.select(
         *keys,
         text.alias("_body"),
         F.from_json(F.when(is_list, text), _RECORDS).alias("_list"),
-        F.from_json(F.when(~is_list, text), _ENVELOPE).alias("_object"),
+        F.from_json(F.when(is_object, text), _ENVELOPE).alias("_object"),
     )
     found = parsed.select(
         *keys, "_body", F.coalesce(_filled(F.col("_list")), _enclosed(F.col("_object"))).alias("_found")
@@ -72,7 +73,8 @@ def unwrap_feed(
         embedded = F.when(F.col("_found").isNull(), salvaged_object(F.col("_body")))
         found = found.withColumn("_embedded", F.from_json(embedded, _ENVELOPE))
         found = found.withColumn("_found", F.coalesce("_found", _enclosed(F.col("_embedded"))))
-    return found.select(*keys, F.explode("_found").alias("record"))
+    records = found.select(*keys, F.explode_outer("_found").alias("record"))
+    return records.filter(F.col("record").isNotNull())
 
 
 def record_fields(records: DataFrame, record: str = "record") -> list[str]:

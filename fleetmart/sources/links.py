@@ -26,18 +26,23 @@ def harvest_links(
     ``text``, ``title``.
     """
     keys = [named(k) for k in key]
-    chunks = pages.select(*keys, named(url).alias("_base"), F.posexplode(H.anchor_chunks(named(html))).alias("pos", "_chunk"))
+    # outer, since the filter Spark infers for an inner explode cuts up every page twice
+    chunks = pages.select(
+        *keys, named(url).alias("_base"), F.posexplode_outer(H.anchor_chunks(named(html))).alias("pos", "_chunk")
+    ).filter(F.col("pos").isNotNull())
     tags = chunks.withColumn("_tag", H.tag_body("_chunk"))
-    fields = tags.withColumns({"_names": H.attribute_names(F.col("_tag")), "_values": H.attribute_values(F.col("_tag"))})
+    fields = tags.withColumns(
+        {"_names": H.attribute_names(F.col("_tag")), "_values": H.attribute_values(F.col("_tag"))}
+    )
     names, values = F.col("_names"), F.col("_values")
-    targets = fields.filter(F.array_contains(names, "href")).withColumn("_href", H.attribute(names, values, "href"))
-    links = targets.select(
-        *keys,
-        "pos",
+    targets = fields.withColumn("_href", H.attribute(names, values, "href"))
+    link = F.struct(
         H.absolute_url(F.col("_base"), F.col("_href")).alias("href"),
         H.anchor_text(F.col("_chunk"), F.col("_tag")).alias("text"),
         F.coalesce(H.attribute(names, values, "title"), F.lit("")).alias("title"),
     )
+    # a filter stays above inline, so no expression below it is copied into the filter
+    links = targets.select(*keys, "pos", F.inline_outer(F.array(link)))
     return links.filter(F.lower("href").contains(contains.lower()))
 
 
