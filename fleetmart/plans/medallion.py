@@ -47,7 +47,10 @@ class Run:
 def land_positions(
     bodies: DataFrame, layout: Layout, run_ts: datetime, *, fields: Sequence[str] | None = None
 ) -> StageResult:
-    """Unwrap feed bodies and append their records to the run's day."""
+    """Unwrap feed bodies and append their records to the run's day.
+
+    Naming the ``fields`` saves the pass over the bodies that looks for them.
+    """
     records = feeds.require_rows(feeds.unwrap_feed(bodies), "feed")
     path = layout.path("landed_positions")
     append_landing(feeds.tabulate(records, fields), path, run_ts)
@@ -138,6 +141,7 @@ def run_daily(
     run_ts: datetime,
     *,
     bodies: DataFrame | None = None,
+    fields: Sequence[str] | None = None,
     register: str | list[str] | None = None,
     pages: DataFrame | None = None,
 ) -> Run:
@@ -148,7 +152,7 @@ def run_daily(
     """
     run = Run()
     if bodies is not None:
-        run.stages.append(land_positions(bodies, layout, run_ts))
+        run.stages.append(land_positions(bodies, layout, run_ts, fields=fields))
     if register is None and pages is not None:
         register = choose_register(pages, run_ts.year)
     if register is not None:

@@ -68,14 +68,16 @@ def _swap_in(df: DataFrame, staged: str, path: str) -> None:
 def cluster_rows(df: DataFrame, by: Sequence[str], *, files: int | None = None) -> DataFrame:
     """Range-partition and sort rows by ``by`` so that a file spans few of its values.
 
-    A hash of the other columns ends the range key: a value with very many rows is cut
-    over several files instead of filling one task.
+    The range key ends in a hash of the task number and the other columns: a value with
+    very many rows, or a row with very many copies, is cut over several files instead of
+    filling one task.  Both parts are the same when a lost task is run again.
     """
     keys = [named(k) for k in by]
-    rest = orderable_columns(df, without=by)
-    ranges = [*keys, F.xxhash64(*rest)] if rest else keys
-    spread = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
-    return spread.sortWithinPartitions(*keys)
+    spread = F.xxhash64(F.spark_partition_id(), *orderable_columns(df, without=by))
+    numbered = df.withColumn("_spread", spread)
+    ranges = [*keys, F.col("_spread")]
+    cut = numbered.repartitionByRange(files, *ranges) if files else numbered.repartitionByRange(*ranges)
+    return cut.sortWithinPartitions(*keys).drop("_spread")
 
 
 def write_clustered(
