@@ -99,3 +99,26 @@ def medallion_activity(spark, sf_dir):
     roles.raw_register(spark, sf_dir).write.options(sep=";", header=True, **as_is).csv(register_file)
     medallion.run_daily(spark, layout, _DAY_1, bodies=bodies, register=register_file)
     return load_table(spark, layout.path("activity")).withColumn("last_seen", zoneless("last_seen"))
+
+
+@query("refine_new_days", f"""WITH {roles.RAW_POSITIONS},
+    landed AS (SELECT * FROM raw_positions UNION ALL SELECT * REPLACE (replace(LT, ',', ',0') AS LT) FROM raw_positions),
+    typed AS (
+        SELECT TRY_CAST(replace(LT, ',', '.') AS DOUBLE) AS latitude, TRY_CAST(replace(LG, ',', '.') AS DOUBLE) AS longitude,
+               NV AS numero_do_veiculo, NL AS cod_linha, event_type, CAST(event_id AS VARCHAR) AS event_id,
+               try_strptime(HR, '%Y%m%d%H%M%S') AS event_timestamp FROM landed)
+    SELECT latitude, numero_do_veiculo, cod_linha, event_type, event_id, event_timestamp FROM typed
+    WHERE latitude IS NOT NULL AND longitude IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY numero_do_veiculo, event_timestamp
+        ORDER BY latitude, longitude, cod_linha NULLS FIRST, event_type, event_id) = 1""")
+def refine_new_days(spark, sf_dir):
+    """A second landing day with smaller latitudes, refined into the table of the first."""
+    layout = Layout(scratch_path(spark, "run"), by_event_day=True)
+    raw = roles.raw_positions(spark, sf_dir)
+    landed = layout.path("landed_positions")
+    writers.append_landing(raw, landed, _DAY_1)
+    medallion.refine_new_positions(spark, layout, f"{_DAY_1:%Y-%m-%d}")
+    writers.append_landing(raw.withColumn("LT", F.replace("LT", F.lit(","), F.lit(",0"))), landed, _DAY_2)
+    medallion.refine_new_positions(spark, layout, f"{_DAY_2:%Y-%m-%d}")
+    refined = load_table(spark, layout.path("positions"))
+    return refined.select("latitude", "numero_do_veiculo", "cod_linha", "event_type", "event_id", zoneless("event_timestamp"))

@@ -11,6 +11,8 @@ from fleetmart.catalog import roles
 from fleetmart.catalog.registry import query, table, zoneless
 from fleetmart.functions.parse import compact_timestamp, decimal_comma
 from fleetmart.operators import cleaning, dimensions, enrich
+from fleetmart.sinks.scratch import scratch_path
+from fleetmart.sources.tables import if_present, load_table
 
 NOW = datetime(2024, 6, 1, 12, 0, 0)
 
@@ -134,4 +136,5 @@ def topk_activity_sql(spark, sf_dir):
            max(event_timestamp) AS last_seen, min(latitude) AS min_lat, max(latitude) AS max_lat
     FROM positions GROUP BY cod_linha""")
 def enrich_no_dim(spark, sf_dir):
-    return enrich.line_activity(positions(spark, sf_dir), None).withColumn("last_seen", zoneless("last_seen"))
+    register = if_present(load_table, spark, scratch_path(spark, "no-register"))
+    return enrich.line_activity(positions(spark, sf_dir), register).withColumn("last_seen", zoneless("last_seen"))

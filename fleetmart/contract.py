@@ -23,6 +23,7 @@ LINE_NAME = "nome_linha"
 INGESTED_AT = "_ingestion_timestamp"
 PROCESSED_AT = "_processed_at"
 LANDING_DAY = "partition_date"
+EVENT_DAY = "_event_day"
 
 # Register columns (the operator header comes with or without its accent).
 REGISTER_LINE = "LINHA"

@@ -73,16 +73,15 @@ def missing_essentials(df: DataFrame) -> list[str]:
     return [name for name in C.ESSENTIAL if name not in df.columns]
 
 
-def refine_positions(
+def locate_positions(
     raw: DataFrame,
     *,
     now: Column | None = None,
     processed_at: Column | None = None,
-    order_by: Sequence[str | Column] | None = None,
     reject_nan: bool = False,
     normalize_key: bool = False,
 ) -> DataFrame:
-    """Landed positions -> typed, located, one row per vehicle and event time.
+    """Landed positions -> typed rows that have coordinates.
 
     When an essential column is missing the typed rows are returned unfiltered, for
     inspection; see :func:`missing_essentials`.  ``normalize_key`` cleans the line code
@@ -91,6 +90,32 @@ def refine_positions(
     typed = type_positions(rename_exact(raw), now=now, processed_at=processed_at)
     if normalize_key and C.LINE in typed.columns:
         typed = typed.withColumn(C.LINE, clean_code(F.col(C.LINE)))
-    if missing_essentials(typed):
-        return typed
-    return dedup_by_key(keep_located(typed, reject_nan=reject_nan), C.POSITION_KEY, order_by=order_by)
+    return typed if missing_essentials(typed) else keep_located(typed, reject_nan=reject_nan)
+
+
+def refine_positions(
+    raw: DataFrame, *, order_by: Sequence[str | Column] | None = None, **options
+) -> DataFrame:
+    """:func:`locate_positions`, then one row per vehicle and event time (unless an
+    essential column is missing)."""
+    located = locate_positions(raw, **options)
+    return located if missing_essentials(located) else one_per_key(located, order_by)
+
+
+def one_per_key(positions: DataFrame, order_by: Sequence[str | Column] | None = None) -> DataFrame:
+    """One typed position per vehicle and event time; by default the first by all feed
+    columns, whenever they were processed."""
+    if order_by is None:
+        order_by = orderable_columns(positions, without=[*C.POSITION_KEY, C.PROCESSED_AT])
+    return dedup_by_key(positions, C.POSITION_KEY, order_by=order_by)
+
+
+def merge_positions(current: DataFrame, located: DataFrame) -> DataFrame:
+    """Refined positions after more were located: what refining all at once would give.
+
+    The survivor of a key is the least row in a fixed order, so the least of the earlier
+    survivor and the new rows is the least of all.
+    """
+    if sorted(current.columns) != sorted(located.columns):
+        raise ValueError(f"columns changed from {current.columns} to {located.columns}: refine all positions again")
+    return one_per_key(located.unionByName(current))

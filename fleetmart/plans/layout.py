@@ -7,7 +7,11 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Layout:
-    """Paths below ``base``; every one can be overridden by a full path."""
+    """Paths below ``base``; every one can be overridden by a full path.
+
+    With ``by_event_day`` the refined positions are partitioned by the day of their event
+    time, so that a run can refine newly landed days alone.
+    """
 
     base: str
     landed_positions: str = "landing/positions"
@@ -16,6 +20,7 @@ class Layout:
     register: str = "refined/register"
     activity: str = "served/line_activity"
     fmt: str = "parquet"
+    by_event_day: bool = False
 
     def path(self, table: str) -> str:
         place = getattr(self, table)

@@ -16,7 +16,13 @@ from pyspark.sql import functions as F
 from fleetmart import contract as C
 from fleetmart.operators import cleaning, dimensions, enrich, quality
 from fleetmart.plans.layout import Layout
-from fleetmart.sinks.writers import append_landing, overwrite_table, replace_landing_day, write_clustered
+from fleetmart.sinks.writers import (
+    append_landing,
+    overwrite_table,
+    replace_landing_day,
+    replace_partitions,
+    write_clustered,
+)
 from fleetmart.sources import feeds, links
 from fleetmart.sources.delimited import read_delimited
 from fleetmart.sources.tables import if_present, load_table, scan_landing
@@ -73,21 +79,59 @@ def land_register(
     return StageResult("land_register", "written", path)
 
 
-def refine_positions(
-    spark: SparkSession, layout: Layout, *, since: str | None = None, now: Column | None = None
-) -> StageResult:
-    raw = if_present(scan_landing, spark, layout.path("landed_positions"), since=since)
+def refine_positions(spark: SparkSession, layout: Layout, *, now: Column | None = None) -> StageResult:
+    """Refine all landed positions."""
     path = layout.path("positions")
+    raw = if_present(scan_landing, spark, layout.path("landed_positions"))
     if raw is None:
         return StageResult("refine_positions", "skipped", path, "no landed positions")
     refined = cleaning.refine_positions(raw, now=now)
-    overwrite_table(refined, path, layout.fmt)
+    if layout.by_event_day:
+        overwrite_table(_by_event_day(refined), path, layout.fmt, partition_by=[C.EVENT_DAY])
+    else:
+        overwrite_table(refined, path, layout.fmt)
     missing = cleaning.missing_essentials(refined)
     if missing:
         return StageResult("refine_positions", "unchecked", path, f"missing columns: {missing}")
     return StageResult("refine_positions", "written", path)
 
 
+def refine_new_positions(spark: SparkSession, layout: Layout, since: str) -> StageResult:
+    """Refine the positions landed from day ``since`` on into a table by event day.
+
+    Reads those landing days and the event days their positions fall on, and replaces the
+    latter.  The table is then what :func:`refine_positions` would make of all landed
+    positions; a day refined twice does no harm.
+    """
+    path = layout.path("positions")
+    if not layout.by_event_day:
+        raise ValueError("positions must be kept by_event_day to refine new ones alone")
+    current = if_present(load_table, spark, path, layout.fmt)
+    if current is None:
+        return refine_positions(spark, layout)
+    raw = if_present(scan_landing, spark, layout.path("landed_positions"), since=since)
+    if raw is None:
+        return StageResult("refine_positions", "skipped", path, "no landed positions")
+    fresh = cleaning.locate_positions(raw)
+    if C.RAW_TIME not in fresh.columns or cleaning.missing_essentials(fresh):
+        raise ValueError(f"an essential column is missing from {raw.columns}: refine all positions")
+
+    day = F.to_date(C.EVENT_TIME)
+    # calendar days, hence a short list; it prunes the partitions of the current table
+    touched = [row["day"] for row in fresh.select(day.alias("day")).distinct().toLocalIterator()]
+    same_days = F.col(C.EVENT_DAY).isin([d for d in touched if d is not None])
+    if None in touched:
+        same_days |= F.col(C.EVENT_DAY).isNull()
+    merged = cleaning.merge_positions(current.filter(same_days).drop(C.EVENT_DAY), fresh)
+    replace_partitions(_by_event_day(merged), path, [C.EVENT_DAY], layout.fmt)
+    return StageResult("refine_positions", "written", path, f"{len(touched)} event days")
+
+
+def _by_event_day(positions: DataFrame) -> DataFrame:
+    """Rows grouped by event day; Spark joins small days and splits large ones by size."""
+    return positions.withColumn(C.EVENT_DAY, F.to_date(C.EVENT_TIME)).hint("rebalance", C.EVENT_DAY)
+
+
 def refine_register(spark: SparkSession, layout: Layout, *, normalize_first: bool = False) -> StageResult:
     raw = if_present(scan_landing, spark, layout.path("landed_register"))
     path = layout.path("register")
@@ -144,11 +188,12 @@ def run_daily(
     fields: Sequence[str] | None = None,
     register: str | list[str] | None = None,
     pages: DataFrame | None = None,
+    since: str | None = None,
 ) -> Run:
     """All stages in order.  Inputs left out are not landed; what was landed before is used.
 
     ``register`` names the register file(s); with ``pages`` they are the links chosen from
-    catalogue pages.
+    catalogue pages.  ``since`` refines only the positions landed from that day on.
     """
     run = Run()
     if bodies is not None:
@@ -157,7 +202,8 @@ def run_daily(
         register = choose_register(pages, run_ts.year)
     if register is not None:
         run.stages.append(land_register(spark, register, layout, run_ts))
-    run.stages.append(_needed(refine_positions(spark, layout)))
+    refined = refine_new_positions(spark, layout, since) if since else refine_positions(spark, layout)
+    run.stages.append(_needed(refined))
     run.stages.append(refine_register(spark, layout))
     run.checks += check_positions(spark, layout, as_of=F.lit(run_ts))
     run.stages.append(_needed(build_activity(spark, layout)))

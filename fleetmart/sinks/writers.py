@@ -32,23 +32,33 @@ def append_landing(df: DataFrame, base: str, run_ts: datetime, *, day: Column |
 
 def replace_landing_day(df: DataFrame, base: str, run_ts: datetime, *, day: Column | None = None) -> None:
     """Replace the files of the run's day; other days stay."""
-    rows = landing_rows(df, run_ts, day=day)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(LANDING_DAY).parquet(base)
+    replace_partitions(landing_rows(df, run_ts, day=day), base, [LANDING_DAY])
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
+    """Replace the partitions that ``df`` has rows of; others stay.
+
+    The old files go when the job commits, so they may be an input of the new ones.
+    """
+    writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).save(path)
 
 
-def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def overwrite_table(
+    df: DataFrame, path: str, fmt: str = "parquet", *, partition_by: Sequence[str] = ()
+) -> None:
     """Replace a whole table, columns included.
 
     A transactional format does this itself.  Files are written beside the table first
     and swapped in after the write has succeeded, so a failed job leaves the old table,
     and the old table may be an input of the new one.
     """
+    writer = df.write.format(fmt).partitionBy(*partition_by)
     if fmt == "delta":
-        df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").save(path)
+        writer.mode("overwrite").option("overwriteSchema", "true").save(path)
         return
     staged = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
-    df.write.format(fmt).save(staged)
+    writer.save(staged)
     _swap_in(df, staged, path)
 
 

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import datetime
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from fleetmart.__main__ import main
 from fleetmart.operators.quality import DataQualityError
 from fleetmart.plans import medallion
 from fleetmart.plans.layout import Layout
@@ -134,6 +136,74 @@ def test_all_positions_unusable_fails_the_gate(spark, tmp_path):
         medallion.run_daily(spark, layout, RUN, bodies=bodies(spark, [ping("v", "l", lat="x")]))
 
 
+def refined(spark, layout):
+    table = load_table(spark, layout.path("positions")).drop("_processed_at", "_event_day")
+    return sorted(map(str, table.select(sorted(table.columns)).collect()))
+
+
+def days_of(tmp_path, lake):
+    return sorted(p.name.split("=")[1] for p in (tmp_path / lake / "refined" / "positions").glob("_event_day=*"))
+
+
+def test_refining_new_days_equals_refining_all(spark, tmp_path):
+    rng = random.Random(3)
+
+    def some_pings():
+        times = [f"202401{day:02d}{hour:02d}0000" for day in range(1, 6) for hour in (6, 7)] + ["bad", None]
+        return [ping(f"v{rng.randint(0, 4)}", rng.choice("ab"), rng.choice(times), rng.choice(["1,5", "2,5", "x"])) for _ in range(80)]
+
+    daily, whole = (Layout(str(tmp_path / name), by_event_day=True) for name in ("daily", "whole"))
+    plain = Layout(str(tmp_path / "plain"))
+    for day in (1, 2, 3):
+        run_ts, landed = RUN.replace(day=day), bodies(spark, some_pings(), [ping("new", "a", f"202402{day:02d}000000")])
+        for layout in (daily, whole, plain):
+            medallion.land_positions(landed, layout, run_ts)
+        medallion.refine_new_positions(spark, daily, f"2024-06-{day:02d}")
+    medallion.refine_positions(spark, whole)
+    medallion.refine_positions(spark, plain)
+    assert refined(spark, daily) == refined(spark, whole) == refined(spark, plain)
+    assert days_of(tmp_path, "daily") == days_of(tmp_path, "whole")
+    again = refined(spark, daily)
+    medallion.refine_new_positions(spark, daily, "2024-06-02")
+    assert refined(spark, daily) == again
+    for layout in (daily, plain):
+        medallion.build_activity(spark, layout)
+    assert activity(spark, daily) == activity(spark, plain)
+
+
+def test_refining_new_days_leaves_other_days_alone(spark, tmp_path):
+    layout = Layout(str(tmp_path / "lake"), by_event_day=True)
+    medallion.run_daily(spark, layout, RUN, bodies=bodies(spark, [ping("v", "l", "20240101000000"), ping("w", "l", "20240102000000")]))
+    untouched = sorted((tmp_path / "lake" / "refined" / "positions" / "_event_day=2024-01-01").glob("*.parquet"))
+    later = RUN.replace(day=2)
+    run = medallion.run_daily(spark, layout, later, bodies=bodies(spark, [ping("x", "l", "20240102000000")]), since="2024-06-02")
+    assert [s.detail for s in run.stages if s.stage == "refine_positions"] == ["1 event days"]
+    assert sorted(untouched[0].parent.glob("*.parquet")) == untouched
+    assert activity(spark, layout) == [("l", "Desconhecido", 3)]
+
+
+def test_refining_new_days_asks_for_a_whole_refresh(spark, tmp_path):
+    with pytest.raises(ValueError, match="by_event_day"):
+        medallion.refine_new_positions(spark, Layout(str(tmp_path)), "2024-06-01")
+    layout = Layout(str(tmp_path / "lake"), by_event_day=True)
+    medallion.run_daily(spark, layout, RUN, bodies=bodies(spark, PINGS))
+    for pings, message in (([{**PINGS[0], "extra": "1"}], "columns changed"), ([{"LT": "1", "LG": "1", "NV": "v", "NL": "l"}], "essential")):
+        other = Layout(str(tmp_path / message), by_event_day=True, positions=layout.path("positions"))
+        medallion.land_positions(bodies(spark, pings), other, RUN)
+        with pytest.raises(ValueError, match=message):
+            medallion.refine_new_positions(spark, other, "2024-06-01")
+
+
+def test_command_line(spark, tmp_path, register, capsys):
+    (tmp_path / "feed").mkdir()
+    for n, pings in enumerate((PINGS[:3], PINGS[3:])):
+        (tmp_path / "feed" / f"{n}.json").write_text(json.dumps({"entidades": pings}))
+    main(["--base", str(tmp_path / "lake"), "--feed", str(tmp_path / "feed"), "--register", register, "--run-ts", "2024-06-01T06:00:00"])
+    out = capsys.readouterr().out
+    assert "build_activity: written" in out and "enrichment_rate: ok (60)" in out
+    assert activity(spark, Layout(str(tmp_path / "lake"))) == EXPECTED
+
+
 def test_paths_can_be_full(spark, tmp_path):
     landed = str(tmp_path / "elsewhere")
     append_landing(spark.createDataFrame([tuple(ping("v", "l").values())], list(ping("v", "l"))), landed, RUN)
