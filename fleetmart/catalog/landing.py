@@ -23,7 +23,11 @@ _FIELDS = ["LT", "LG", "NV", "NL", "HR"]
 
 def _landed_sql(stamp: str) -> str:
     return f"""SELECT LT, LG, NV, NL, HR, event_type, CAST(event_id AS VARCHAR) AS event_id,
-        '{stamp}' AS _ingestion_timestamp, CAST('{stamp[:10]}' AS DATE) AS partition_date FROM raw_positions"""
+        '{stamp}' AS _ingestion_timestamp, '{stamp[:10]}' AS partition_date FROM raw_positions"""
+
+
+def _with_day_as_text(landed):
+    return landed.withColumn("partition_date", F.col("partition_date").cast("string"))
 
 
 @query("scan_landing", f"""WITH {roles.RAW_POSITIONS}
@@ -43,7 +47,7 @@ def landing_append(spark, sf_dir):
     raw = roles.raw_positions(spark, sf_dir)
     writers.append_landing(raw, base, _DAY_1)
     writers.append_landing(raw, base, _DAY_1_LATER)
-    return scan_landing(spark, base, keep_day=True)
+    return _with_day_as_text(scan_landing(spark, base, keep_day=True))
 
 
 @query("landing_replace", f"""WITH {roles.RAW_POSITIONS}
@@ -53,7 +57,7 @@ def landing_replace(spark, sf_dir):
     raw = roles.raw_positions(spark, sf_dir)
     for run_ts in (_DAY_1, _DAY_2, _DAY_1_LATER):
         writers.replace_landing_day(raw, base, run_ts)
-    return scan_landing(spark, base, keep_day=True)
+    return _with_day_as_text(scan_landing(spark, base, keep_day=True))
 
 
 @query("overwrite_schema", f"WITH {roles.ACTIVITY} SELECT cod_linha AS line, total_pings * 2 AS pings FROM activity")

@@ -61,13 +61,14 @@ def link_harvest(spark, sf_dir):
 @query("latest_resource", f"""WITH {_LINKS},
     dated AS (SELECT page_id, pos, href, text || ' ' || CAST(2019 + (page_id + pos) % 9 AS VARCHAR) AS text, title,
               2019 + (page_id + pos) % 9 AS said FROM links),
-    ranked AS (SELECT *, CASE WHEN said BETWEEN 2022 AND 2026 THEN CAST(said AS INTEGER) END AS year FROM dated)
+    ranked AS (SELECT *, CASE WHEN said BETWEEN 2022 AND 2026 THEN CAST(said AS VARCHAR) END AS year FROM dated)
     SELECT page_id, pos, href, text, title, year FROM ranked
-    QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY coalesce(year, 0) DESC, pos DESC) = 1""")
+    QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY coalesce(year, '0') DESC, pos DESC) = 1""")
 def latest_resource(spark, sf_dir):
     found = links.harvest_links(table(spark, sf_dir, "pages"), contains="/")
     said = (F.lit(2019) + (F.col("page_id") + F.col("pos")) % 9).cast("string")
-    return links.latest_resource(found.withColumn("text", F.concat_ws(" ", "text", said)), newest_year=2026)
+    latest = links.latest_resource(found.withColumn("text", F.concat_ws(" ", "text", said)), newest_year=2026)
+    return latest.withColumn("year", F.col("year").cast("string"))
 
 
 @query("csv_semicolon_scan", """SELECT CAST(o_orderkey AS VARCHAR) AS O_ORDERKEY,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NOT_MARKUP = r"(?is)<(?:!--.*?(?:-->|\z)|(script|style|textarea|title)\b.*?(?:</\1\s*>|\z))"
+_NOT_MARKUP = r"(?is)<(?:!--.*?(?:-->|\z)|(script|style|textarea|title)(?=[\s/>]).*?(?:</\1\s*>|\z))"
 _ANCHOR_START = r"(?i)<a(?=[\s/>])"
 _TAG_BODY = r"""^((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
 _ATTRIBUTE = r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?"""
@@ -65,7 +65,7 @@ def anchor_text(chunk: Column, tag: Column) -> Column:
     """Visible text of the anchor: up to ``</a>``, tags removed, whitespace collapsed."""
     after_tag = chunk.substr(F.length(tag) + 2, F.length(chunk))
     inner = F.split(after_tag, r"(?i)</a\s*>", 2)[0]
-    no_tags = F.regexp_replace(F.regexp_replace(inner, r"(?i)<br\s*/?>", " "), "<[^>]*+>", "")
+    no_tags = F.regexp_replace(F.regexp_replace(inner, r"(?i)<br\s*/?>", " "), "<[^<>]*+>", "")
     return F.trim(F.regexp_replace(decode_entities(no_tags), r"[\s ]+", " "))
 
 

@@ -28,6 +28,10 @@ from fleetmart.sources.delimited import read_delimited
 from fleetmart.sources.tables import if_present, load_table, scan_landing
 
 
+# More event days than this in newly landed positions: all positions are refined again.
+MAX_TOUCHED_DAYS = 1_000
+
+
 class StageError(RuntimeError):
     """A stage whose output the run needs was skipped."""
 
@@ -117,8 +121,11 @@ def refine_new_positions(spark: SparkSession, layout: Layout, since: str) -> Sta
         raise ValueError(f"an essential column is missing from {raw.columns}: refine all positions")
 
     day = F.to_date(C.EVENT_TIME)
-    # calendar days, hence a short list; it prunes the partitions of the current table
-    touched = [row["day"] for row in fresh.select(day.alias("day")).distinct().toLocalIterator()]
+    # the days are listed, since literals prune the partitions of the current table
+    days = fresh.select(day.alias("day")).distinct().limit(MAX_TOUCHED_DAYS + 1).collect()
+    if len(days) > MAX_TOUCHED_DAYS:
+        return refine_positions(spark, layout)
+    touched = [row["day"] for row in days]
     same_days = F.col(C.EVENT_DAY).isin([d for d in touched if d is not None])
     if None in touched:
         same_days |= F.col(C.EVENT_DAY).isNull()

@@ -3,26 +3,42 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_EXCESS = "_excess"
 
 
 def read_delimited(
-    spark: SparkSession, path: str | list[str], *, sep: str = ";", multi_line: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    *,
+    sep: str = ";",
+    encoding: str = "UTF-8",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read ``sep``-separated files as strings, header names upper-cased and stripped.
 
-    Types are not inferred: one pass over the data, and codes keep leading zeros.  Files
-    are split between tasks; set ``multi_line`` only where quoted fields hold line breaks,
-    since each file is then read by one task.
+    Types are not inferred: one pass over the data, and codes keep leading zeros.  A line
+    with too few fields is filled with NULLs; one with more fields than the header makes
+    the job fail instead of losing them.  Files are split between tasks; set
+    ``multi_line`` only where quoted fields hold line breaks, since each file is then read
+    by one task.
     """
-    df = (
+    reader = (
         spark.read.option("sep", sep)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("encoding", encoding)
         .option("multiLine", multi_line)
-        .csv(path)
     )
-    return upper_headers(df)
+    header = reader.csv(path).columns
+    fields = [T.StructField(f"_{n}", T.StringType()) for n in range(len(header))]
+    rows = reader.schema(T.StructType([*fields, T.StructField(_EXCESS, T.StringType())])).csv(path)
+    too_long = F.raise_error(F.concat(F.lit("line has more fields than the header, from: "), F.col(_EXCESS)))
+    whole = rows.filter(F.when(F.col(_EXCESS).isNull(), True).otherwise(too_long.cast("boolean")))
+    return upper_headers(whole.drop(_EXCESS).toDF(*header))
 
 
 def upper_headers(df: DataFrame) -> DataFrame:

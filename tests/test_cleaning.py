@@ -57,6 +57,11 @@ def test_dedup_survivor_does_not_depend_on_row_order(spark):
     assert first == second and len(first) == 1
 
 
+def test_dedup_by_all_columns(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None)], "k int, v string")
+    assert sorted(map(tuple, cleaning.dedup_by_key(df, ["k", "v"]).collect())) == [(1, "a"), (2, None)]
+
+
 def test_dedup_with_map_columns(spark):
     df = spark.createDataFrame([(1, {"a": "b"}, 2), (1, {"a": "c"}, 1)], "k int, m map<string,string>, o int")
     assert [(r["k"], r["o"]) for r in cleaning.dedup_by_key(df, ["k"]).collect()] == [(1, 1)]

@@ -182,6 +182,17 @@ def test_refining_new_days_leaves_other_days_alone(spark, tmp_path):
     assert activity(spark, layout) == [("l", "Desconhecido", 3)]
 
 
+def test_new_positions_on_very_many_days_refine_all(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(medallion, "MAX_TOUCHED_DAYS", 2)
+    layout = Layout(str(tmp_path / "lake"), by_event_day=True)
+    medallion.run_daily(spark, layout, RUN, bodies=bodies(spark, [ping("v", "l", "20240101000000")]))
+    fresh = [ping("v", "l", f"202401{day:02d}000000") for day in (1, 2, 3)]
+    medallion.land_positions(bodies(spark, fresh), layout, RUN.replace(day=2))
+    assert medallion.refine_new_positions(spark, layout, "2024-06-02").detail == ""
+    assert days_of(tmp_path, "lake") == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert len(refined(spark, layout)) == 3
+
+
 def test_refining_new_days_asks_for_a_whole_refresh(spark, tmp_path):
     with pytest.raises(ValueError, match="by_event_day"):
         medallion.refine_new_positions(spark, Layout(str(tmp_path)), "2024-06-01")

@@ -126,6 +126,24 @@ def test_delimited_text(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [("0801", 'a;"b"', None), (" SC01 ", "x", "1,5")]
 
 
+def test_short_lines_are_filled_and_long_ones_fail(spark, tmp_path):
+    file = tmp_path / "r.csv"
+    file.write_text("a;b;c\n1\n\n1;2;3\n", encoding="utf-8")
+    assert sorted(map(str, read_delimited(spark, str(file)).collect())) == sorted(
+        ["Row(A='1', B=None, C=None)", "Row(A='1', B='2', C='3')"]
+    )
+    file.write_text("a;b;c\n1;2;3;4\n", encoding="utf-8")
+    with pytest.raises(Exception, match="more fields than the header"):
+        read_delimited(spark, str(file)).select("A").collect()
+
+
+def test_other_encodings(spark, tmp_path):
+    file = tmp_path / "r.csv"
+    file.write_bytes("concessionária;n\nSão;1\n".encode("latin-1"))
+    df = read_delimited(spark, str(file), encoding="ISO-8859-1")
+    assert df.columns == ["CONCESSIONÁRIA", "N"] and tuple(df.first()) == ("São", "1")
+
+
 def test_delimited_text_with_line_breaks(spark, tmp_path):
     file = tmp_path / "r.csv"
     file.write_text('a;b\n"one\ntwo";2\n', encoding="utf-8")
