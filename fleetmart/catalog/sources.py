@@ -29,7 +29,7 @@ def _bodies(spark, sf_dir, around: str = "%s"):
     regexp_extract(props, '"k": *([0-9]+)', 1) AS k, event_type AS type FROM events""")
 def feed_unwrap(spark, sf_dir):
     records = feeds.unwrap_feed(_bodies(spark, sf_dir), keep=["event_id"], salvage=False)
-    return feeds.tabulate(records, keep=["event_id"])
+    return feeds.tabulate(feeds.require_rows(records, "feed"), keep=["event_id"])
 
 
 # a bare list between other text is no object: its records are not found
@@ -55,7 +55,7 @@ links AS (
 
 @query("link_harvest", f"WITH {_LINKS} SELECT * FROM links WHERE contains(lower(href), 'en')")
 def link_harvest(spark, sf_dir):
-    return links.harvest_links(table(spark, sf_dir, "pages"), contains="EN")
+    return feeds.require_rows(links.harvest_links(table(spark, sf_dir, "pages"), contains="EN"), "catalogue")
 
 
 @query("latest_resource", f"""WITH {_LINKS},
