@@ -16,15 +16,18 @@ _SHAPES = ('[%s]', '{"entidades": [%s]}', '{"entidades": [], "records": [%s]}',
 def _bodies(spark, sf_dir, around: str = "%s"):
     """One feed body per event, in the four envelopes; its record holds the event's props."""
     events = table(spark, sf_dir, "events")
-    record = F.concat(F.lit('{"id": '), F.col("event_id"), F.lit(', "type": "'), "event_type", F.lit('", '), F.substring("props", 2, 1000000))
-    body = None
-    for number, shape in enumerate(_SHAPES):
-        before, after = (around % shape.replace("%s", "\0")).split("\0")
-        wrapped = F.concat(F.lit(before), record, F.lit(after))
-        body = F.when(F.col("event_id") % 4 == number, wrapped) if body is None else body.when(F.col("event_id") % 4 == number, wrapped)
+    props = F.col("props").substr(F.lit(2), F.length("props"))
+    record = F.concat(F.lit('{"id": '), "event_id", F.lit(', "type": "'), "event_type", F.lit('", '), props)
+    wrapped = [F.concat(*_split(around % shape, record)) for shape in _SHAPES]
+    body = F.element_at(F.array(*wrapped), (F.col("event_id") % 4 + 1).cast("int"))
     return events.select("event_id", body.alias("body"))
 
 
+def _split(pattern: str, record):
+    before, after = pattern.split("%s")
+    return F.lit(before), record, F.lit(after)
+
+
 @query("feed_unwrap", """SELECT event_id, CAST(event_id AS VARCHAR) AS id,
     regexp_extract(props, '"k": *([0-9]+)', 1) AS k, event_type AS type FROM events""")
 def feed_unwrap(spark, sf_dir):

@@ -9,14 +9,21 @@ from pyspark.sql import SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder of ``spark.checkpoint.dir``.
+    """A fresh path below the shared folder of ``spark.checkpoint.dir``, gone when the
+    application ends.
 
     Only a local session without that setting gets a folder of this machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fleetmart-"))
-        shared = spark.sparkContext.getCheckpointDir()
-    return f"{shared.rstrip('/')}/fleetmart/{name}-{uuid.uuid4().hex}"
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="fleetmart-"))
+        shared = sc.getCheckpointDir()
+    folder = f"{shared.rstrip('/')}/fleetmart-{uuid.uuid4().hex}"
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{folder}/{name}"
