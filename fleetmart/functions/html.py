@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 _NOT_MARKUP = r"(?is)<(?:!--.*?(?:-->|\z)|(script|style|textarea|title)(?=[\s/>]).*?(?:</\1\s*>|\z))"
 _ANCHOR_START = r"(?i)<a(?=[\s/>])"
-_TAG_BODY = r"""^((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
+_TAG_BODY = r"""(?is)^((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
+_ANCHOR = _TAG_BODY + r".*?(?=</a\s*>|\z)"
 _ATTRIBUTE = r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?"""
 _TO_THE_END = 1 << 30  # more elements than an array can hold; asking its size would build it twice
 _SCHEME = r"^([a-zA-Z][a-zA-Z0-9+.\-]*):"
@@ -39,9 +40,14 @@ def anchor_chunks(html: Column) -> Column:
     return F.slice(chunks, 2, _TO_THE_END)
 
 
-def tag_body(chunk: Column) -> Column:
-    """Attribute text of the tag a chunk starts with; empty if the tag never ends."""
-    return F.regexp_extract(chunk, _TAG_BODY, 1)
+def anchor_part(chunk: Column) -> Column:
+    """The part of a chunk up to ``</a>``; empty if the tag itself never ends."""
+    return F.regexp_extract(chunk, _ANCHOR, 0)
+
+
+def tag_body(anchor: Column) -> Column:
+    """Attribute text of the tag an anchor starts with."""
+    return F.regexp_extract(anchor, _TAG_BODY, 1)
 
 
 def attribute_names(tag: Column) -> Column:
@@ -61,18 +67,19 @@ def attribute(names: Column, values: Column, name: str) -> Column:
     return decode_entities(bare)
 
 
-def anchor_text(chunk: Column, tag: Column) -> Column:
-    """Visible text of the anchor: up to ``</a>``, tags removed, whitespace collapsed."""
-    after_tag = chunk.substr(F.length(tag) + 2, F.length(chunk))
-    inner = F.split(after_tag, r"(?i)</a\s*>", 2)[0]
-    no_tags = F.regexp_replace(F.regexp_replace(inner, r"(?i)<br\s*/?>", " "), "<[^<>]*+>", "")
-    return F.trim(F.regexp_replace(decode_entities(no_tags), r"[\s ]+", " "))
+def anchor_text(anchor: Column, tag: Column) -> Column:
+    """Visible text of an anchor: tags removed, whitespace collapsed."""
+    inner = anchor.substr(F.length(tag) + 2, F.length(anchor))
+    no_breaks = F.regexp_replace(inner, r"(?i)<br\s*/?>", " ")
+    no_tags = F.when(inner.contains("<"), F.regexp_replace(no_breaks, "<[^<>]*+>", "")).otherwise(inner)
+    return F.trim(F.regexp_replace(decode_entities(no_tags), r"[\s\u00a0]+", " "))
 
 
 def decode_entities(text: Column) -> Column:
+    decoded = text
     for entity, char in _ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    return F.when(text.contains("&"), decoded).otherwise(text)
 
 
 def _without_dot_segments(path: Column) -> Column:

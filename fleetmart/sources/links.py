@@ -30,7 +30,8 @@ def harvest_links(
     chunks = pages.select(
         *keys, named(url).alias("_base"), F.posexplode_outer(H.anchor_chunks(named(html))).alias("pos", "_chunk")
     ).filter(F.col("pos").isNotNull())
-    tags = chunks.withColumn("_tag", H.tag_body("_chunk"))
+    anchors = chunks.withColumn("_anchor", H.anchor_part(F.col("_chunk"))).drop("_chunk")
+    tags = anchors.withColumn("_tag", H.tag_body(F.col("_anchor")))
     fields = tags.withColumns(
         {"_names": H.attribute_names(F.col("_tag")), "_values": H.attribute_values(F.col("_tag"))}
     )
@@ -38,7 +39,7 @@ def harvest_links(
     targets = fields.withColumn("_href", H.attribute(names, values, "href"))
     link = F.struct(
         H.absolute_url(F.col("_base"), F.col("_href")).alias("href"),
-        H.anchor_text(F.col("_chunk"), F.col("_tag")).alias("text"),
+        H.anchor_text(F.col("_anchor"), F.col("_tag")).alias("text"),
         F.coalesce(H.attribute(names, values, "title"), F.lit("")).alias("title"),
     )
     # a filter stays above inline, so no expression below it is copied into the filter

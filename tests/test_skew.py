@@ -58,6 +58,25 @@ def test_hot_line_joins_whole(spark, salts):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_spark_splits_the_hot_line_of_an_unsalted_join(spark):
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        dim = spark.range(500).select(F.concat(F.lit("L"), "id").alias("cod_linha"), F.lit("op").alias("consorcio"))
+        joined = enrich.left_enrich(positions(spark).select("id", "cod_linha"), dim, "cod_linha")
+        assert len(joined.collect()) == N
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+
+
 def test_hot_line_on_both_sides_is_counted_without_pairs(spark):
     # 10,000 positions x 10,000 register copies of one line: 10^8 pairs if they were joined
     dim = spark.range(N).select(hot(F.lit("L1"), "HOT").alias("cod_linha"), F.lit("op").alias("consorcio"))
