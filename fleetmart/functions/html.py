@@ -14,6 +14,7 @@ _NOT_MARKUP = r"(?is)<(?:!--.*?(?:-->|\z)|(script|style|textarea|title)(?=[\s/>]
 _ANCHOR_START = r"(?i)<a(?=[\s/>])"
 _TAG_BODY = r"""(?is)^((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
 _ANCHOR = _TAG_BODY + r".*?(?=</a\s*>|\z)"
+_TAG = r"""<(?:(?:[^<>"']++|"[^"]*+"|'[^']*+')*+|[^<>]*+)>"""
 _ATTRIBUTE = r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?"""
 _TO_THE_END = 1 << 30  # more elements than an array can hold; asking its size would build it twice
 _SCHEME = r"^([a-zA-Z][a-zA-Z0-9+.\-]*):"
@@ -34,9 +35,10 @@ def anchor_chunks(html: Column) -> Column:
     """Array with one chunk per ``<a`` tag: its attributes, ``>`` and what follows.
 
     A chunk ends where the next anchor starts, as in a browser, where an anchor cannot
-    hold another one.  Comments and raw-text elements are blanked first.
+    hold another one.  Comments and raw-text elements become an empty mark first, which
+    shows no text and keeps what is around it apart.
     """
-    chunks = F.split(F.regexp_replace(html, _NOT_MARKUP, " "), _ANCHOR_START, -1)
+    chunks = F.split(F.regexp_replace(html, _NOT_MARKUP, "<!>"), _ANCHOR_START, -1)
     return F.slice(chunks, 2, _TO_THE_END)
 
 
@@ -71,7 +73,7 @@ def anchor_text(anchor: Column, tag: Column) -> Column:
     """Visible text of an anchor: tags removed, whitespace collapsed."""
     inner = anchor.substr(F.length(tag) + 2, F.length(anchor))
     no_breaks = F.regexp_replace(inner, r"(?i)<br\s*/?>", " ")
-    no_tags = F.when(inner.contains("<"), F.regexp_replace(no_breaks, "<[^<>]*+>", "")).otherwise(inner)
+    no_tags = F.when(inner.contains("<"), F.regexp_replace(no_breaks, _TAG, "")).otherwise(inner)
     return F.trim(F.regexp_replace(decode_entities(no_tags), r"[\s\u00a0]+", " "))
 
 

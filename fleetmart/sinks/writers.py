@@ -17,11 +17,8 @@ from fleetmart.operators.cleaning import stamp_landing, stringify_all
 
 def landing_rows(df: DataFrame, run_ts: datetime, *, day: Column | None = None) -> DataFrame:
     """Rows as they land: stamped with the run's time, all text, with their landing day."""
-    run_day = F.lit(run_ts.strftime("%Y-%m-%d"))
-    days = {LANDING_DAY: run_day if day is None else day}
-    if day is None:
-        return stringify_all(stamp_landing(df, run_ts)).withColumns(days)
-    return stringify_all(stamp_landing(df.withColumns(days), run_ts))
+    landing_day = F.lit(f"{run_ts:%Y-%m-%d}") if day is None else day
+    return stringify_all(stamp_landing(df.withColumn(LANDING_DAY, landing_day), run_ts))
 
 
 def append_landing(df: DataFrame, base: str, run_ts: datetime, *, day: Column | None = None) -> None:
@@ -70,7 +67,8 @@ def _swap_in(df: DataFrame, staged: str, path: str) -> None:
     if had_table and not fs.rename(live, old):
         raise OSError(f"cannot move {path} aside; the new table is in {staged}")
     if not fs.rename(new, live):
-        raise OSError(f"cannot move {staged} to {path}; the old table is in {staged}_old")
+        restored = not had_table or fs.rename(old, live)
+        raise OSError(f"cannot move {staged} to {path}" + ("" if restored else f"; the old table is in {staged}_old"))
     if had_table:
         fs.delete(old, True)
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pytest
@@ -33,6 +34,52 @@ def test_anchors_in_comments_and_scripts_are_none(spark):
     assert [x[1:3] for x in harvest(spark, html)] == [("https://data.example.org/d.csv", "d")]
 
 
+class Anchors(HTMLParser):
+    """Anchors as the standard library's parser sees them."""
+
+    def __init__(self, html):
+        super().__init__()
+        self.found, self.open = [], False
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            first = dict(reversed(attrs))
+            self.found.append([first.get("href"), "", first.get("title") or ""])
+            self.open = True
+        elif tag == "br":
+            self.handle_data(" ")
+
+    def handle_endtag(self, tag):
+        self.open = self.open and tag != "a"
+
+    def handle_data(self, data):
+        if self.open and not self.cdata_elem:  # scripts and styles show no text
+            self.found[-1][1] += data
+
+
+PIECES = [
+    '<a href="/x.csv">', "<A HREF='y.csv' title='T &lt; u'>", "<a class=k href=z.csv>", '<a name="n">', '<a\nhref = "/w.csv"\ttitle="a > b">',
+    '<a href="/1.csv" href="/2.csv">', "</a>", "</A >", "</a>", "<b>", "</b>", "<br/>", " text ", "two\n  words", "&amp;", "&quot;q&quot;",
+    '<!-- <a href="/c.csv">c</a> -->', '<script>x = "<a href=/s.csv>"</script>', "<style>a{}</style>", '<abbr title="/t.csv">', "<p>", "1 &lt; 2",
+    '<img alt="> <" src="/i.csv">',
+]
+
+
+def test_random_pages_against_another_parser(spark):
+    rng = random.Random(11)
+    pages = {p: "".join(rng.choice(PIECES) for _ in range(rng.randint(1, 25))) for p in range(400)}
+    df = spark.createDataFrame([(p, BASE, h) for p, h in pages.items()], "page_id int, url string, html string")
+    got = {}
+    for row in links.harvest_links(df).collect():
+        got.setdefault(row["page_id"], {})[row["pos"]] = (row["href"], row["text"], row["title"])
+    for p, html in pages.items():
+        anchors = enumerate(Anchors(html).found)
+        wanted = {i: (urljoin(BASE, h), " ".join(text.split()), title) for i, (h, text, title) in anchors if h is not None}
+        assert got.get(p, {}) == wanted, html
+
+
 def test_signs_inside_attribute_values(spark):
     html = """<a title="a > b href=/no.csv" data-href="/no.csv" href="/yes.csv?x='1'">t</a>"""
     assert harvest(spark, html) == [(0, "https://data.example.org/yes.csv?x='1'", "t", "a > b href=/no.csv")]
