@@ -53,3 +53,12 @@ def test_clean_code_cuts_blanks_only(spark):
 
 def test_ansi_mode_is_on(spark):
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
+def test_times_are_read_in_the_session_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        seconds = one(spark, "20240131120000", lambda c: F.unix_timestamp(compact_timestamp(c)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert seconds == datetime.datetime(2024, 1, 31, 15, tzinfo=datetime.timezone.utc).timestamp()
