@@ -122,11 +122,11 @@ def refine_new_positions(spark: SparkSession, layout: Layout, since: str) -> Sta
 
     day = F.to_date(C.EVENT_TIME)
     # the days are listed, since literals prune the partitions of the current table
-    days = fresh.select(day.alias("day")).distinct().limit(MAX_TOUCHED_DAYS + 1).collect()
+    days = fresh.select(day.cast("string").alias("day")).distinct().limit(MAX_TOUCHED_DAYS + 1).collect()
     if len(days) > MAX_TOUCHED_DAYS:
         return refine_positions(spark, layout)
     touched = [row["day"] for row in days]
-    same_days = F.col(C.EVENT_DAY).isin([d for d in touched if d is not None])
+    same_days = F.col(C.EVENT_DAY).isin([F.lit(d).cast("date") for d in touched if d is not None])
     if None in touched:
         same_days |= F.col(C.EVENT_DAY).isNull()
     merged = cleaning.merge_positions(current.filter(same_days).drop(C.EVENT_DAY), fresh)
