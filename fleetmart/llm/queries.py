@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.catalog.registry import Run, table
-from fleetmart.llm import bitplanes, packing
+from fleetmart.llm import bitplanes, packing, warc
+from fleetmart.sinks.scratch import scratch_path
 
 QUERIES: dict[str, Run] = {}
 SQL: dict[str, str] = {}
@@ -36,3 +37,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     manifest = bitplanes.write_ids(docs, public_tokenizers.path(WORD_BPE), bitplanes.fresh_folder(docs), end_id=2)
     return bitplanes.read_ids(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op8_warc")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"), folder, "2026-01-01T00:00:00Z", min_payload=0))
