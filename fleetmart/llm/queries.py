@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.catalog.registry import Run, table
-from fleetmart.llm import bitplanes, packing, warc
+from fleetmart.llm import bitplanes, bytebpe, packing, warc
 from fleetmart.sinks.scratch import scratch_path
 
 QUERIES: dict[str, Run] = {}
 SQL: dict[str, str] = {}
 
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.tiktoken"
 
 
 def query(name: str, sql: str | None = None):
@@ -43,3 +44,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"), folder, "2026-01-01T00:00:00Z", min_payload=0))
+
+
+@query("op3_byte_bpe")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trip = bytebpe.round_trip(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+    return trip.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
