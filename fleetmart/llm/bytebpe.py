@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,13 +33,16 @@ from fleetmart.llm.shared import id_and_text
 
 LONG_BYTES = 256
 KEPT = 400_000
+#: Bytes of text that are encoded at once, at most one document more.
+TEXT_AT_ONCE = 6 << 20
+#: Runs that one group of the decoding query holds.
+RUNS_JOINED = 512
 #: Tokens that one query decodes, at most one document more.
 DECODED_AT_ONCE = 1 << 20
 
 MERGE_STEPS = """
 with recursive step(w, p, t, np, nt, open) as (
-  select w, p, t, lead(p) over following, lead(t) over following, true
-  from tokens window following as (partition by w order by p)
+  select w, p, t, np, nt, true from tokens
   union all
   (with ranked as (
      select w, p, t, np, nt, m from step left join merges on pair = t::bigint * 1048576 + nt where open),
@@ -85,7 +89,10 @@ with recursive step(w, p, t, open) as (
 select w, t from step where not open order by w, p
 """
 
-_UNEVEN = re.compile(r"^ |\s \S| \s| $")
+#: White space, as Python sees it (fixed values of Unicode).
+SPACE = r"[\s\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: Texts with a space at an end or next to white space.
+UNEVEN_SPACE = f"^ | $|{SPACE} | {SPACE}"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 _codecs: dict[tuple[str, str], ByteBpe] = {}
@@ -112,6 +119,9 @@ class ByteBpe:
         unsafe = np.unique(np.concatenate([left[merged < left], right[merged < right]]))
         table = pa.table({"pair": left * 1048576 + right, "m": merged.astype(np.int32), "safe": ~np.isin(merged, unsafe)})
         vocabulary = pa.table({"t": pa.array(self.ranks.values(), pa.int64()), "bytes": [word.hex() for word in self.ranks]})
+        self.token_bytes = np.full(max(self.ranks.values()) + 1, -1, dtype=np.int64)
+        for word, m in self.ranks.items():
+            self.token_bytes[m] = len(word)
         for name, rows_ in (("merges", table), ("vocabulary", vocabulary)):
             self.db.register("loaded", rows_)
             self.db.execute(f"create table {name} as select * from loaded")
@@ -136,7 +146,10 @@ class ByteBpe:
             lengths = sizes[chosen]
             data = np.frombuffer(b"".join(words[i] for i in chosen), dtype=np.uint8)
             first = np.repeat(np.cumsum(lengths) - lengths, lengths)
-            rows = pa.table({"w": np.repeat(chosen, lengths).astype(np.int32), "p": (np.arange(len(data)) - first).astype(np.int32), "t": self.byte_ids[data]})
+            place, tokens = (np.arange(len(data)) - first).astype(np.int32), self.byte_ids[data]
+            last = np.zeros(len(data), dtype=bool)
+            last[np.cumsum(lengths) - 1] = True
+            rows = pa.table({"w": np.repeat(chosen, lengths).astype(np.int32), "p": place, "t": tokens, "np": pa.array(place + 1, mask=last), "nt": pa.array(np.roll(tokens, -1), mask=last)})
             self.db.register("tokens", rows)
             done = self.db.sql(steps).to_arrow_table()
             self.db.unregister("tokens")
@@ -146,29 +159,46 @@ class ByteBpe:
         np.add.at(counts, at, 1)
         return ids[np.argsort(at, kind="stable")], counts
 
-    def numbered(self, texts: list[str]) -> list[list[int]]:
-        """Each text as numbers of chunks, whose ids and bytes are then at hand."""
-        if len(self.chunks) > KEPT or len(self.words) > KEPT:
+    def numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All texts as numbers of chunks, whose ids and bytes are then at hand: text ``i`` has
+        the numbers from ``ends[i]`` to ``ends[i + 1]``."""
+        uneven = pc.match_substring_regex(texts, UNEVEN_SPACE)
+        split = pc.split_pattern(pc.if_else(uneven, "", texts), " ")
+        coded = split.flatten().dictionary_encode()
+        ends = split.offsets.to_numpy() - split.offsets[0].as_py()
+        keys, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        later = np.ones(len(at), dtype=bool)
+        later[ends[:-1]] = False  # a text's first chunk has no space before it
+        firsts = [" " + keys[k] for k in at[ends[:-1]]]
+        odd = {i: chunks_of(texts[i].as_py()) for i in np.flatnonzero(uneven.to_numpy(zero_copy_only=False)).tolist()}
+        used = np.unique(at[later]).tolist()
+        needed = list(dict.fromkeys([*(keys[k] for k in used), *firsts, *(c for chunks in odd.values() for c in chunks)]))
+        new = [c for c in needed if c not in self.chunks]
+        if len(self.chunks) + len(new) > KEPT:
             self._clear()
-        known = self.chunks
-        cut = [chunks_of(t) for t in texts]
-        numbers = [list(map(known.get, chunks)) for chunks in cut]
-        holes = [(i, k) for i, found in enumerate(numbers) if None in found for k, n in enumerate(found) if n is None]
-        self._learn(list(dict.fromkeys(cut[i][k] for i, k in holes)))
-        for i, k in holes:
-            numbers[i][k] = known[cut[i][k]]
-        return numbers
+            new = needed
+        self._learn(new)
+        numbers = np.array([self.chunks.get(k, -1) for k in keys], dtype=np.int64)[at]
+        numbers[ends[:-1]] = [self.chunks[c] for c in firsts]
+        if not odd:
+            return numbers, ends
+        runs = [np.array([self.chunks[c] for c in odd[i]], dtype=np.int64) if i in odd else numbers[ends[i] : ends[i + 1]] for i in range(len(texts))]
+        return np.concatenate(runs), np.cumsum([0, *map(len, runs)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as arrays of unsigned 32-bit integers."""
-        return [self.ids_of(n) for n in self.numbered(texts)]
+        if not texts:
+            return []
+        ids, ends = self.ids_of(*self.numbered(pa.array(texts, pa.string())))
+        return [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
-    def ids_of(self, numbers: list[int]) -> np.ndarray:
-        return self.chunk_ids.gather(np.array(numbers, dtype=np.int64))[0]
+    def ids_of(self, numbers: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = self.chunk_ids.gather(numbers)
+        return ids, np.concatenate([[0], np.cumsum(sizes)])[ends]
 
-    def bytes_of(self, numbers: list[int]) -> bytes:
+    def bytes_of(self, numbers: np.ndarray) -> bytes:
         """What the ids of the chunks decode to; the ids of a chunk were decoded when it was first met."""
-        return b"".join(map(self.chunk_bytes.__getitem__, numbers))
+        return b"".join(map(self.chunk_bytes.__getitem__, numbers.tolist()))
 
     def _learn(self, new: list[str]) -> None:
         """Encode chunks that aren't known yet."""
@@ -205,16 +235,17 @@ class ByteBpe:
         return out
 
     def _decoded(self, ids: np.ndarray, sizes) -> list[bytes]:
-        rows = pa.table({"d": np.repeat(np.arange(len(sizes)), sizes), "p": np.arange(len(ids)), "t": ids.astype(np.int64)})
+        """The bytes of runs of ids, which are joined in stretches of ``RUNS_JOINED`` runs."""
+        if len(ids) and (int(ids.max()) >= len(self.token_bytes) or (self.token_bytes[ids] < 0).any()):
+            raise ValueError("an id is not in the vocabulary")
+        stretch = np.repeat(np.arange(len(sizes)) // RUNS_JOINED, sizes)
+        rows = pa.table({"g": stretch, "p": np.arange(len(ids)), "t": ids.astype(np.int64)})
         self.db.register("ids", rows)
-        done = self.db.sql("select d, string_agg(bytes, '' order by p) as bytes, count(*) as n from ids join vocabulary using (t) group by d").to_arrow_table()
+        done = self.db.sql("select g, string_agg(bytes, '' order by p) as bytes from ids join vocabulary using (t) group by g order by g").to_arrow_table()
         self.db.unregister("ids")
-        if sum(done.column("n").to_pylist()) != len(ids):
-            raise ValueError("an id is not in the vocabulary")
-        out = [b""] * len(sizes)
-        for d, data in zip(done.column("d").to_pylist(), done.column("bytes").to_pylist(), strict=True):
-            out[d] = bytes.fromhex(data)
-        return out
+        joined = bytes.fromhex("".join(done.column("bytes").to_pylist()))
+        ends = np.concatenate([[0], np.cumsum(self.token_bytes[ids])])[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])].tolist()
+        return [joined[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
 
 
 class Runs:
@@ -241,7 +272,7 @@ def chunks_of(text: str) -> list[str]:
     that aren't white space, as a word takes such a space as its own first character. The first
     part is given a space before it and the others are without theirs, so no two parts that split
     differently are equal."""
-    chunks = _CUT.split(text) if _UNEVEN.search(text) else text.split(" ")
+    chunks = _CUT.split(text)
     chunks[0] = " " + chunks[0]
     return chunks
 
@@ -253,19 +284,14 @@ def codec(rank_file: str, pattern: str) -> ByteBpe:
     return _codecs[key]
 
 
-def _groups(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[tuple[list, list]]:
-    """Ids and values of rows, in groups of about ``most`` bytes."""
-    for batch in batches:
-        doc_ids, values, held = [], [], 0
-        for doc_id, value in zip(batch.column("doc_id").to_pylist(), batch.column(column).to_pylist(), strict=True):
-            doc_ids.append(doc_id)
-            values.append(value)
-            held += len(value)
-            if held >= most:
-                yield doc_ids, values
-                doc_ids, values, held = [], [], 0
-        if doc_ids:
-            yield doc_ids, values
+def _parts(column: pa.Array, most: int) -> Iterator[slice]:
+    """Row ranges of a column of text or bytes with about ``most`` bytes each."""
+    sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(sizes):
+        upto = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most)))
+        yield slice(at, upto)
+        at = upto
 
 
 def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,9 +304,10 @@ def decode(encoded: DataFrame, rank_file: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         back = codec(rank_file, pattern).decode
-        for doc_ids, packed in _groups(batches, "ids", 4 << 20):
-            decoded = back([np.frombuffer(p, dtype="<u4") for p in packed])
-            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(decoded, pa.binary())], names=["doc_id", "decoded"])
+        for batch in batches:
+            for part in _parts(batch.column("ids"), 4 << 20):
+                decoded = back([np.frombuffer(p, dtype="<u4") for p in batch.column("ids")[part].to_pylist()])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[part], pa.array(decoded, pa.binary())], names=["doc_id", "decoded"])
 
     rows = encoded.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("ids", F.lit(b"")).alias("ids"))
     return rows.mapInArrow(run, "doc_id long, decoded binary")
@@ -291,12 +318,13 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rank_file, pattern)
-        for doc_ids, texts in _groups(batches, "text", 6 << 20):
-            numbers = own.numbered(texts)
-            for at in range(0, len(numbers), 2000):
-                some = numbers[at : at + 2000]
-                ids = [own.ids_of(n) for n in some]
-                columns = [pa.array(doc_ids[at : at + 2000], pa.int64()), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()), pa.array([own.bytes_of(n) for n in some], pa.binary())]
+        for batch in batches:
+            for part in _parts(batch.column("text"), TEXT_AT_ONCE):
+                numbers, ends = own.numbered(batch.column("text")[part])
+                ids, id_ends = own.ids_of(numbers, ends)
+                packed = [ids[a:b].astype("<u4", copy=False).tobytes() for a, b in zip(id_ends[:-1], id_ends[1:], strict=True)]
+                decoded = [own.bytes_of(numbers[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                columns = [batch.column("doc_id")[part], pa.array(np.diff(id_ends), pa.int64()), pa.array(packed, pa.binary()), pa.array(decoded, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "decoded"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded binary")
