@@ -135,14 +135,13 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, *, end_id: int = 2,
     folder = hadoop_uri(spark, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, writer, n_ids, path = encoder(vocabulary).encode, None, 0, unused_name(folder, ".planes")
+        own, writer, n_ids, path = encoder(vocabulary), None, 0, unused_name(folder, ".planes")
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for doc_id, ids in own.documents(batch, end_id):
                 if writer is None:
                     place, inner = filesystem(folder)
                     place.create_dir(inner, recursive=True)
                     writer = PlaneWriter(place.open_output_stream(filesystem(path)[1]), block, kind)
-                ids = np.append(encode(text), np.uint32(end_id))
                 writer.add(doc_id, ids)
                 n_ids += len(ids)
         if writer is not None:

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,12 +38,11 @@ def pack(docs: DataFrame, vocabulary: str, *, longest: int = 2048, end_id: int =
         raise ValueError("longest must be a power of two")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode
+        own = encoder(vocabulary)
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = np.append(encode(text), np.uint32(end_id)).astype("<u4")
-                start = 0
+            for doc_id, ids in own.documents(batch, end_id):
+                ids, start = ids.astype("<u4", copy=False), 0
                 for length in binary_lengths(len(ids), longest):
                     out.append((doc_id, start, length, ids[start : start + length].tobytes(), len(ids)))
                     start += length

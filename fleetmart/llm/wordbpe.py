@@ -1,22 +1,28 @@
 """Ids of a word-level BPE tokenizer, with the merges of each distinct word looked up once.
 
 The vocabulary drops white space and marks word ends, hence a text's ids are those of its
-white-space separated words in a row. Words are kept in a bounded table of a worker process;
-words of ASCII and Latin-1 letters go straight to the library's BPE model, all others through
-its whole normalizer and splitter.
+white-space separated words in a row. A batch of texts is split and its distinct words are found
+by Arrow; their ids are kept in a bounded table of a worker process. Words of ASCII and Latin-1
+letters go straight to the library's BPE model, all others through its whole normalizer and
+splitter.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words kept per worker process before the table is started anew.
 KEPT_WORDS = 600_000
 #: Longer words (in bytes) are encoded but not kept.
 KEPT_BYTES = 64
+#: Text that is encoded at once, at most one document more.
+BYTES_AT_ONCE = 4 << 20
 #: Characters on which NFC is the identity and lower case is one character for one.
 PLAIN = "\x21-\x7eÀ-ÖØ-öø-ÿ"
 LETTERS = "a-zß-öø-ÿ"
@@ -33,28 +39,25 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         plain = [chr(c) for c in range(0x21, 0x100) if re.match(f"[{PLAIN}]", chr(c))]
         self.bytes_as_letters = {ord(c): split(c)[0][0] for c in plain}
-        self.plain = re.compile(f"[{PLAIN}]+").fullmatch
+        self.plain = re.compile(f"[{PLAIN}]{{0,{KEPT_BYTES}}}").fullmatch
         self.pieces = re.compile(f"{SUFFIXES}|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+").findall
-        self.words: dict[bytes, int] = {}
-        self.parts: dict[str, tuple[int, ...]] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self.words.clear()
-        self.parts.clear()
-        self.flat = np.empty(1 << 20, dtype=np.uint32)
-        self.starts = np.zeros(KEPT_WORDS + 1, dtype=np.int64)
-
-    def _word_ids(self, word: bytes) -> list[int]:
-        text = word.decode()
-        if len(word) > KEPT_BYTES or not self.plain(text) or (b"<|" in word and any(s in word for s in self.specials)):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        ids: list[int] = []
-        for piece in self.pieces(text.lower()):
+        self.words: dict[str, int] = {}
+        self.parts: dict[str, tuple[int, ...]] = {}
+        self.flat = np.empty(0, dtype=np.uint32)
+        self.starts = np.zeros(1, dtype=np.int64)
+
+    def _word_ids(self, word: str) -> list[int] | tuple[int, ...]:
+        if not self.plain(word) or ("<|" in word and any(s in word for s in self.specials)):
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        ids: tuple[int, ...] = ()
+        for piece in self.pieces(word.lower()):
             known = self.parts.get(piece)
             if known is None:
                 known = tuple([t.id for t in self.model.tokenize(piece.translate(self.bytes_as_letters))])
@@ -62,53 +65,47 @@ class WordEncoder:
             ids += known
         return ids
 
-    def _learn(self, word: bytes) -> int:
-        at = len(self.words)
-        ids = self._word_ids(word)
-        start = self.starts[at]
-        end = start + len(ids)
-        while end > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        self.flat[start:end] = ids
-        self.starts[at + 1] = end
-        self.words[word] = at
-        return at
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and each text's place: text ``i`` has the ids
+        from ``ends[i]`` to ``ends[i + 1]``."""
+        simple = pc.and_(pc.string_is_ascii(texts), pc.invert(pc.match_substring(texts, "<|")))
+        split = pc.ascii_split_whitespace(pc.if_else(simple, pc.ascii_lower(texts), texts))
+        coded = split.flatten().dictionary_encode()
+        words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        numbers = np.array([self.words.get(w, -1) for w in words], dtype=np.int64)
+        if len(self.words) + int((numbers < 0).sum()) > KEPT_WORDS:
+            self._clear()
+            numbers[:] = -1
+        new = np.flatnonzero(numbers < 0)
+        found = [self._word_ids(words[i]) for i in new]
+        numbers[new] = len(self.words) + np.arange(len(new))
+        flat = np.concatenate([self.flat, np.fromiter((x for ids in found for x in ids), dtype=np.uint32)])
+        starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(ids) for ids in found], dtype=np.int64)])
+        if len(self.words) + len(new) <= KEPT_WORDS:
+            self.words.update(zip([words[i] for i in new], numbers[new].tolist(), strict=True))
+            self.flat, self.starts = flat, starts
+        begin = starts[numbers][at]
+        sizes = np.diff(starts)[numbers][at]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = flat[np.repeat(begin - ends[:-1], sizes) + np.arange(ends[-1])]
+        offsets = split.offsets.to_numpy()
+        return ids, ends[offsets - offsets[0]]
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a whole text, as an array of unsigned 32-bit integers."""
-        data = text.encode()
-        if text.isascii() and b"<|" not in data:
-            data = data.lower()
-        words = data.split()
-        known = self.words
-        if len(known) + len(words) > KEPT_WORDS:
-            self._clear()
-        numbers = list(map(known.get, words))
-        if None not in numbers:
-            return self._gather(numbers)
-        runs: list[np.ndarray] = []
-        after = 0
-        for i, at in enumerate(numbers):
-            if at is not None:
-                continue
-            word = words[i]
-            at = known.get(word)
-            if at is None and len(word) <= KEPT_BYTES and len(known) < KEPT_WORDS:
-                at = self._learn(word)
-            if at is None:
-                runs += [self._gather(numbers[after:i]), np.array(self._word_ids(word), dtype=np.uint32)]
-                after = i + 1
-            numbers[i] = at
-        runs.append(self._gather(numbers[after:]))
-        return np.concatenate(runs) if len(runs) > 1 else runs[0]
-
-    def _gather(self, numbers: list[int]) -> np.ndarray:
-        at = np.array(numbers, dtype=np.int64)
-        starts = self.starts[at]
-        sizes = self.starts[at + 1] - starts
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
+        return self.encode_array(pa.array([text], pa.string()))[0]
+
+    def documents(self, batch: pa.RecordBatch, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> Iterator[tuple[int | None, np.ndarray]]:
+        """Each document of a batch with its ids and ``end_id`` after them."""
+        doc_ids, texts = batch.column(id_col).to_pylist(), batch.column(text_col)
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(doc_ids):
+            upto = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BYTES_AT_ONCE)))
+            ids, ends = self.encode_array(texts.slice(at, upto - at))
+            for doc_id, start, end in zip(doc_ids[at:upto], ends[:-1], ends[1:], strict=True):
+                yield doc_id, np.append(ids[start:end], np.uint32(end_id))
+            at = upto
 
 
 def encoder(path: str) -> WordEncoder:
