@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.catalog.registry import Run, table
-from fleetmart.llm import bitplanes, bytebpe, packing, warc
+from fleetmart.llm import bitplanes, bytebpe, packing, quality, warc
 from fleetmart.sinks.scratch import scratch_path
 
 QUERIES: dict[str, Run] = {}
@@ -51,3 +51,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trip = bytebpe.round_trip(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
     return trip.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scores(docs, quality.fit(docs, table(spark, sf_dir, "labels")), 0.3)
