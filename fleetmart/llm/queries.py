@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.catalog.registry import Run, table
-from fleetmart.llm import bitplanes, bytebpe, packing, quality, warc
+from fleetmart.llm import bitplanes, bytebpe, packing, quality, toxicity, warc
 from fleetmart.sinks.scratch import scratch_path
 
 QUERIES: dict[str, Run] = {}
@@ -57,3 +57,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.scores(docs, quality.fit(docs, table(spark, sf_dir, "labels")), 0.3)
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), 0.5)
