@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.catalog.registry import Run, table
-from fleetmart.llm import bitplanes, bytebpe, packing, quality, toxicity, warc
+from fleetmart.llm import bitplanes, bytebpe, chosenpath, packing, quality, toxicity, warc
 from fleetmart.sinks.scratch import scratch_path
 
 QUERIES: dict[str, Run] = {}
@@ -63,3 +65,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), 0.5)
+
+
+@query("op10_chosen_path")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosenpath.near_duplicates(table(spark, sf_dir, "documents"), Fraction(85, 100))
