@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.catalog.registry import Run, table
-from fleetmart.llm import bitplanes, bytebpe, chosenpath, packing, quality, repeats, toxicity, warc
+from fleetmart.llm import bitplanes, bytebpe, chosenpath, packing, quality, repeats, simhash, toxicity, warc
 from fleetmart.sinks.scratch import scratch_path
 
 QUERIES: dict[str, Run] = {}
@@ -77,3 +77,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = repeats.remove_repeats(docs, 200)
     return found.select("rest.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_simhash")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.compared(table(spark, sf_dir, "documents"), radius=3)
