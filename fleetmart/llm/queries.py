@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.catalog.registry import Run, table
-from fleetmart.llm import bitplanes, bytebpe, chosenpath, packing, quality, repeats, simhash, toxicity, warc
+from fleetmart.llm import bitplanes, bytebpe, chosenpath, forest, packing, quality, repeats, simhash, toxicity, warc
 from fleetmart.sinks.scratch import scratch_path
 
 QUERIES: dict[str, Run] = {}
@@ -82,3 +82,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_simhash")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.compared(table(spark, sf_dir, "documents"), radius=3)
+
+
+@query("op6_forest")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
