@@ -5,16 +5,16 @@ words the whole sequence). Rows with equal sets form a class, and only classes a
 
 Every class walks down a number of independent trees. At each node a coin, thrown from the node
 and a minwise token, chooses about ``1 / similarity`` of the class's tokens, and each chosen one
-leads to a child; classes that agree in a token take the same path. Nodes of at most ``NODE``
+leads to a child; classes that agree in a token take the same path. Nodes of at most ``ROWS``
 classes are compared exhaustively by 8-bit minwise signatures, larger ones branch further, and
 those that still are larger after ``DEPTH`` levels are compared block against block, which loses
 nothing. Pairs whose signatures agree in ``SIFT`` of the places become candidates. Of each node
-only a spanning forest of its candidates is kept, so no group is spelled out as pairs.
+only as many edges are kept as connect its candidates, so no group is spelled out as pairs.
 
 Connected candidates are then confirmed on full sets, each group once and in blocks of about
-``NODE`` classes, and the confirmed links give the components. Links are exact; a pair is missed
+``ROWS`` classes, and the confirmed links give the components. Links are exact; a pair is missed
 only if no tree brings it together and no other links connect it. At similarity 0.85 a tree of
-one level finds a pair with probability 0.63, of two with 0.47, of three with 0.37; 24 trees
+one level finds a pair with probability 0.63, of two with 0.47, of three with 0.37; 12 trees
 leave less than one in ten thousand for nodes of up to three levels.
 
 Null or wordless text: an empty set, linked with nothing and a component of its own. Rows with a
@@ -36,15 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.llm.components import components
+from fleetmart.llm.groups import ROWS, blocked, each_group, pairs_of, stars
 from fleetmart.llm.hashing import Stretches, buffers, mixed
 from fleetmart.llm.shared import written
 
 _U = np.uint64
 SHINGLE = 5
 PLACES = 128
-TREES = 24
-NODE = 128
-DEPTH = 6
+TREES = 12
+DEPTH = 4
 #: Share of signature places that candidates agree in, below the similarity asked for: 0.11 is
 #: three and a half standard deviations of an estimate from 128 places.
 SIFT = 0.11
@@ -146,12 +146,6 @@ def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at = upto
 
 
-def _crowded(members: DataFrame) -> DataFrame:
-    """Members of nodes with two classes or more, and the node's size."""
-    sizes = written(members.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "sizes")
-    return written(members.join(sizes, "node"), "members")
-
-
 def _branch(members: DataFrame, similarity: float) -> DataFrame:
     """The children that each member of a large node goes to."""
     coin = _coin(1 / (similarity * PLACES))
@@ -169,92 +163,25 @@ def _branch(members: DataFrame, similarity: float) -> DataFrame:
     return members.select("node", "cls", "signature").mapInArrow(run, "node long, cls binary").distinct()
 
 
-def blocked(members: DataFrame, key: str) -> DataFrame:
-    """Rows of groups with their ``size``, dealt out for comparison: a group of more than ``NODE``
-    is cut into blocks, and a row goes to every pair of blocks that its own is part of. Columns
-    ``i``, ``j`` name the pair of blocks, ``own`` is the row's."""
-    blocks = F.ceil(F.col("size") / F.lit(NODE * 3 // 4)).cast("int")
-    many = F.col("size") > NODE
-    own = F.when(many, F.pmod(F.xxhash64("cls", F.lit(5)), blocks).cast("int")).otherwise(0)
-    rows = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(many, blocks - 1).otherwise(0))))
-    return rows.select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).drop("other", "size")
-
-
-def _forest(n: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the given edges between ``n`` nodes."""
-    parent = list(range(n))
-    kept = []
-    for a, b in zip(left.tolist(), right.tolist(), strict=True):
-        x, y = a, b
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        while parent[y] != y:
-            parent[y] = parent[parent[y]]
-            y = parent[y]
-        if x != y:
-            parent[y] = x
-            kept.append((a, b))
-    return kept
-
-
 Linked = Callable[[list, np.ndarray, np.ndarray], np.ndarray]
 
 
 def compare(rows: DataFrame, key: str, payload: str, linked: Linked) -> DataFrame:
-    """Edges ``a, b`` between classes: a spanning forest, for each group and pair of blocks, of
-    the pairs for which ``linked`` holds. A task reads its groups one after another, each of at
-    most two blocks."""
+    """Edges ``a, b`` between classes: for each group and pair of blocks, stars that connect what
+    is connected by the pairs for which ``linked`` holds."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            whole = pa.Table.from_batches(held).combine_chunks()
-            ids = np.stack([_numbers(whole.column(c)) for c in (key, "i", "j")])
-            cuts = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1
-            if not len(cuts):
-                continue
-            last = int(cuts[-1])
-            yield from _compared(whole.slice(0, last), np.concatenate([[0], cuts]), payload, linked)
-            held = whole.slice(last).to_batches()
-        if held and sum(b.num_rows for b in held):
-            whole = pa.Table.from_batches(held).combine_chunks()
-            ids = np.stack([_numbers(whole.column(c)) for c in (key, "i", "j")])
-            cuts = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1
-            yield from _compared(whole, np.concatenate([[0], cuts, [whole.num_rows]]), payload, linked)
-
-    dealt = rows.select(key, "i", "j", "own", "cls", payload).repartition(key, "i", "j").sortWithinPartitions(key, "i", "j")
-    return dealt.mapInArrow(run, "a binary, b binary").distinct()
-
-
-def _numbers(column: pa.ChunkedArray) -> np.ndarray:
-    """Equal numbers for equal neighbours."""
-    if pa.types.is_binary(column.type):
-        column = column.combine_chunks().dictionary_encode()
-        column = column.indices if isinstance(column, pa.DictionaryArray) else pa.chunked_array([c.indices for c in column.chunks])
-    return column.to_numpy(zero_copy_only=False).astype(np.int64) if isinstance(column, pa.Array) else column.to_numpy().astype(np.int64)
-
-
-def _compared(rows: pa.Table, ends: np.ndarray, payload: str, linked: Linked) -> Iterator[pa.RecordBatch]:
-    classes, own, values = rows.column("cls").to_pylist(), rows.column("own").to_numpy(), rows.column(payload)
-    first, i, j = [], rows.column("i").to_numpy(), rows.column("j").to_numpy()
-    second = []
-    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-        if b - a < 2:
-            continue
-        if i[a] == j[a]:
-            left, right = np.triu_indices(b - a, 1)
-        else:
-            here, there = np.flatnonzero(own[a:b] == i[a]), np.flatnonzero(own[a:b] != i[a])
-            left, right = np.repeat(here, len(there)), np.tile(there, len(here))
-        if not len(left):
-            continue
-        good = linked(values.slice(a, b - a).to_pylist(), left, right)
-        for x, y in _forest(b - a, left[good], right[good]):
-            first.append(classes[a + x])
-            second.append(classes[a + y])
-    yield pa.RecordBatch.from_arrays([pa.array(first, pa.binary()), pa.array(second, pa.binary())], names=["a", "b"])
+    def work(group: pa.Table) -> pa.RecordBatch:
+        classes, (left, right) = group.column("cls").to_pylist(), pairs_of(group)
+        first, second = [], []
+        if len(left):
+            good = linked(group.column(payload).to_pylist(), left, right)
+            for x, root in enumerate(stars(len(classes), left[good], right[good])):
+                if x != root:
+                    first.append(classes[root])
+                    second.append(classes[x])
+        return pa.RecordBatch.from_arrays([pa.array(first, pa.binary()), pa.array(second, pa.binary())], names=["a", "b"])
+
+    return each_group(rows.select(key, "i", "j", "own", "cls", payload), [key], "cls", work, "a binary, b binary").distinct()
 
 
 def signatures_agree(least: float) -> Linked:
@@ -327,24 +254,26 @@ def near_duplicates(docs: DataFrame, similarity: Fraction = Fraction(4, 5), id_c
         "classes",
     )
     signatures = classes.select("cls", "signature")
-    members = classes.select(F.explode("roots").alias("node"), "cls").distinct()
+    members, rows_ = classes.select(F.explode("roots").alias("node"), "cls").distinct(), None
     compared = []
     for level in range(DEPTH + 1):
-        members = _crowded(members)
-        small = members if level == DEPTH else members.filter(F.col("size") <= NODE)
-        compared.append(blocked(small, "node"))
-        if level == DEPTH or members.filter(F.col("size") > NODE).isEmpty():
+        sizes = written(members.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "sizes", rows_)
+        crowded = members.join(sizes, "node")
+        rows_ = sizes.filter(F.col("size") > ROWS).agg(F.sum("size")).first()[0] or 0
+        compared.append(blocked(crowded if level == DEPTH else crowded.filter(F.col("size") <= ROWS)))
+        if level == DEPTH or not rows_:
             break
-        members = _branch(members.filter(F.col("size") > NODE).join(signatures, "cls"), floor)
+        members = written(_branch(crowded.filter(F.col("size") > ROWS).join(signatures, "cls"), floor), "members", 2 * rows_)
     nodes = compared[0]
     for more in compared[1:]:
         nodes = nodes.unionByName(more)
     candidates = written(compare(nodes.join(signatures, "cls"), "node", "signature", signatures_agree(floor - SIFT)), "candidates")
     groups = written(components(candidates).withColumnsRenamed({"node": "cls"}), "groups")
-    sizes = written(groups.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "group_sizes")
+    n = groups.count()
+    sizes = written(groups.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "group_sizes", n)
     sets = written(_sets_of(texts, groups.join(classes, "cls").select("cls", "text_key")), "sets")
-    dealt = blocked(groups.join(sizes, "label"), "label").join(sets, "cls")
-    links = written(compare(dealt, "label", "tokens", sets_similar(similarity)), "links")
+    dealt = blocked(groups.join(sizes, "label").withColumn("group", F.xxhash64("label"))).join(sets, "cls")
+    links = written(compare(dealt, "group", "tokens", sets_similar(similarity)), "links")
     linked = components(links).withColumnsRenamed({"node": "cls"})
     ids = classes.select("cls", "first_id", "copies")
     named = linked.join(ids, "cls")

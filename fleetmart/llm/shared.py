@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.sinks.scratch import scratch_path
@@ -17,10 +15,19 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: lineage ends there, and a lost executor costs nothing."""
+#: Rows that a task should write where their number is known beforehand, and files at least.
+ROWS_A_TASK, LEAST_TASKS = 50_000, 8
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """The rows as a table in the shared folder: lineage ends there, and a lost executor costs nothing.
+
+    ``rows``, if known, bounds their number: small tables then take few tasks however many
+    partitions a shuffle has."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if rows is not None:
+        df = df.coalesce(max(LEAST_TASKS, -(-rows // ROWS_A_TASK)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -50,12 +57,3 @@ def spread(df: DataFrame) -> DataFrame:
     """One task per row, for short lists of files."""
     return df.repartition(max(1, df.count()))
 
-
-def text_batches(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
-    """Columns of each batch as Python lists."""
-    for batch in batches:
-        yield tuple(batch.column(c).to_pylist() for c in columns)
-
-
-def without_cast_error(column: Column, kind: str) -> Column:
-    return column.try_cast(kind)
