@@ -85,6 +85,8 @@ def _beginnings(data: bytes, n: int) -> np.ndarray:
 def phrases(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     """Beginnings of words that mark toxic documents, the most frequent last: the shortest that
     qualify, continued as long as most of their occurrences continue alike."""
+    if not toxic or not ordinary:
+        return []
     chosen: list[bytes] = []
     for n in BEGINNINGS:
         got = [np.concatenate([_beginnings(d, n) for d in docs]) for docs in (toxic, ordinary)]
