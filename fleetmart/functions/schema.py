@@ -23,3 +23,12 @@ def orderable_columns(df: DataFrame, *, without: Iterable[str] = ()) -> list[Col
     """The comparable columns of a table, minus some names."""
     left_out = set(without)
     return [named(f.name) for f in df.schema.fields if f.name not in left_out and orderable(f.dataType)]
+
+
+def unused(name: str, taken: Iterable[str]) -> str:
+    """A name for a helper column that none of the taken ones has, in any case of letters."""
+    known = {t.lower() for t in taken}
+    helper = f"_{name}"
+    while helper.lower() in known:
+        helper = f"_{helper}"
+    return helper

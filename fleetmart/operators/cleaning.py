@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetmart import contract as C
 from fleetmart.functions.parse import clean_code, compact_timestamp, decimal_comma, named
-from fleetmart.functions.schema import orderable_columns
+from fleetmart.functions.schema import orderable_columns, unused
 
 
 def rename_exact(df: DataFrame, names: Mapping[str, str] = C.POSITION_FIELDS) -> DataFrame:
@@ -63,9 +63,8 @@ def dedup_by_key(
     if order_by is None:
         order_by = orderable_columns(df, without=keys)
     ranked = Window.partitionBy(*[named(k) for k in keys]).orderBy(*(order_by or [F.lit(1)]))
-    return (
-        df.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") == 1).drop("_rank")
-    )
+    rank = unused("rank", df.columns)
+    return df.withColumn(rank, F.row_number().over(ranked)).filter(F.col(rank) == 1).drop(rank)
 
 
 def missing_essentials(df: DataFrame) -> list[str]:
@@ -114,8 +113,7 @@ def merge_positions(current: DataFrame, located: DataFrame) -> DataFrame:
     """Refined positions after more were located: what refining all at once would give.
 
     The survivor of a key is the least row in a fixed order, so the least of the earlier
-    survivor and the new rows is the least of all.
+    survivor and the new rows is the least of all.  A column that only one side has is NULL
+    on the other, as in landing days that lack it.
     """
-    if sorted(current.columns) != sorted(located.columns):
-        raise ValueError(f"columns changed from {current.columns} to {located.columns}: refine all positions again")
-    return one_per_key(located.unionByName(current))
+    return one_per_key(current.unionByName(located, allowMissingColumns=True))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart import contract as C
-from fleetmart.functions.schema import orderable_columns
+from fleetmart.functions.schema import orderable_columns, unused
 
 
 def left_enrich(facts: DataFrame, dim: DataFrame, on: str, *, salts: int = 1) -> DataFrame:
@@ -21,9 +21,11 @@ def left_enrich(facts: DataFrame, dim: DataFrame, on: str, *, salts: int = 1) ->
         return facts.join(dim, on, "left")
     # task number and row content: both are the same when a lost task is run again
     spread = F.xxhash64(F.spark_partition_id(), *orderable_columns(facts))
-    salted = facts.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [on, "_salt"], "left").drop("_salt")
+    salt = unused("salt", [*facts.columns, *dim.columns])
+    salted = facts.withColumn(salt, F.pmod(spread, F.lit(salts)).cast("int"))
+    copies = dim.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # Spark's size estimate leaves out the copying, so it must not choose a broadcast by it
+    return salted.join(copies.hint("merge"), [on, salt], "left").drop(salt)
 
 
 def without_dimension(facts: DataFrame) -> DataFrame:
@@ -33,21 +35,28 @@ def without_dimension(facts: DataFrame) -> DataFrame:
     )
 
 
-def line_activity(positions: DataFrame, dim: DataFrame | None) -> DataFrame:
-    """Pings, last time and latitude span per (line, operator).
-
-    Equals ``left join on line, group by (line, operator)`` but aggregates both sides
-    first: counts multiply by the number of matching dimension rows, and minimum and
-    maximum do not change under repetition.  What is joined is one row per line on one
-    side and one per (line, operator) on the other, however many positions or register
-    copies a line has.
-    """
-    per_line = positions.groupBy(C.LINE).agg(
+def line_totals(positions: DataFrame, *by: str) -> DataFrame:
+    """Pings, last time and latitude span per line (and ``by``)."""
+    return positions.groupBy(*by, C.LINE).agg(
         F.count(C.VEHICLE).alias("total_pings"),
         F.max(C.EVENT_TIME).alias("last_seen"),
         F.min(C.LATITUDE).alias("min_lat"),
         F.max(C.LATITUDE).alias("max_lat"),
     )
+
+
+def summed_totals(totals: DataFrame) -> DataFrame:
+    """Totals per line of totals per line and something else."""
+    return totals.groupBy(C.LINE).agg(
+        F.sum("total_pings").alias("total_pings"),
+        F.max("last_seen").alias("last_seen"),
+        F.min("min_lat").alias("min_lat"),
+        F.max("max_lat").alias("max_lat"),
+    )
+
+
+def enriched_totals(per_line: DataFrame, dim: DataFrame | None) -> DataFrame:
+    """Totals per line joined with the dimension: one row per (line, operator)."""
     measures = ["last_seen", "min_lat", "max_lat"]
     if dim is None:
         return without_dimension(per_line).select(C.LINE, C.OPERATOR, "total_pings", *measures)
@@ -60,6 +69,18 @@ def line_activity(positions: DataFrame, dim: DataFrame | None) -> DataFrame:
     )
 
 
+def line_activity(positions: DataFrame, dim: DataFrame | None) -> DataFrame:
+    """Pings, last time and latitude span per (line, operator).
+
+    Equals ``left join on line, group by (line, operator)`` but aggregates both sides
+    first: counts multiply by the number of matching dimension rows, and minimum and
+    maximum do not change under repetition.  What is joined is one row per line on one
+    side and one per (line, operator) on the other, however many positions or register
+    copies a line has.
+    """
+    return enriched_totals(line_totals(positions), dim)
+
+
 def busiest_lines(activity: DataFrame, k: int = C.REPORT_SIZE) -> DataFrame:
     """The ``k`` groups with most pings; ties go by line, then operator."""
     return (

@@ -10,7 +10,8 @@ class Layout:
     """Paths below ``base``; every one can be overridden by a full path.
 
     With ``by_event_day`` the refined positions are partitioned by the day of their event
-    time, so that a run can refine newly landed days alone.
+    time, so that a run can refine newly landed days alone, and ``daily`` keeps each day's
+    totals.
     """
 
     base: str
@@ -18,6 +19,7 @@ class Layout:
     landed_register: str = "landing/register"
     positions: str = "refined/positions"
     register: str = "refined/register"
+    daily: str = "served/line_daily"
     activity: str = "served/line_activity"
     fmt: str = "parquet"
     by_event_day: bool = False

@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from fleetmart import contract as C
 from fleetmart.operators import cleaning, dimensions, enrich, quality
 from fleetmart.plans.layout import Layout
+from fleetmart.sinks.scratch import scratch_path
 from fleetmart.sinks.writers import (
     append_landing,
     overwrite_table,
+    remove,
     replace_landing_day,
     replace_partitions,
     write_clustered,
@@ -28,10 +30,6 @@ from fleetmart.sources.delimited import read_delimited
 from fleetmart.sources.tables import if_present, load_table, scan_landing
 
 
-# More event days than this in newly landed positions: all positions are refined again.
-MAX_TOUCHED_DAYS = 1_000
-
-
 class StageError(RuntimeError):
     """A stage whose output the run needs was skipped."""
 
@@ -59,19 +57,31 @@ def land_positions(
 ) -> StageResult:
     """Unwrap feed bodies and append their records to the run's day.
 
-    Naming the ``fields`` saves the pass over the bodies that looks for them.
+    The bodies are read and parsed once, into a staged table that tells the field names and
+    whether there is a body without records, which stops the run before anything lands.
     """
-    records = feeds.require_rows(feeds.unwrap_feed(bodies), "feed")
-    path = layout.path("landed_positions")
-    append_landing(feeds.tabulate(records, fields), path, run_ts)
+    spark, path = bodies.sparkSession, layout.path("landed_positions")
+    staged = scratch_path(spark, "feed")
+    feeds.split_feed(bodies).write.parquet(staged)
+    try:
+        records = feeds.require_records(spark.read.parquet(staged), "feed")
+        append_landing(feeds.tabulate(records, fields), path, run_ts)
+    finally:
+        remove(spark, staged)
     return StageResult("land_positions", "written", path)
 
 
-def choose_register(pages: DataFrame, newest_year: int, *, contains: str = ".csv") -> list[str]:
-    """The newest register link of each catalogue page; there must be one."""
+def choose_register(pages: DataFrame, newest_year: int, *, contains: str = ".csv") -> str:
+    """The newest register link of the catalogue: the pages must agree on one.
+
+    The link is read as it stands, so it must be on a file system that Spark reads.
+    """
     candidates = feeds.require_rows(links.harvest_links(pages, contains=contains), "catalogue")
-    chosen = links.latest_resource(candidates, newest_year=newest_year)
-    return [row["href"] for row in chosen.select("href").distinct().toLocalIterator()]
+    newest = links.latest_resource(candidates, newest_year=newest_year).select("href").distinct()
+    chosen = [row["href"] for row in newest.orderBy("href").limit(2).collect()]
+    if len(chosen) > 1:
+        raise ValueError(f"the catalogue names several newest registers, among them {chosen}")
+    return chosen[0]
 
 
 def land_register(
@@ -86,7 +96,7 @@ def land_register(
 def refine_positions(spark: SparkSession, layout: Layout, *, now: Column | None = None) -> StageResult:
     """Refine all landed positions."""
     path = layout.path("positions")
-    raw = if_present(scan_landing, spark, layout.path("landed_positions"))
+    raw = if_present(scan_landing, spark, layout.path("landed_positions"), merge_schema=True)
     if raw is None:
         return StageResult("refine_positions", "skipped", path, "no landed positions")
     refined = cleaning.refine_positions(raw, now=now)
@@ -100,12 +110,46 @@ def refine_positions(spark: SparkSession, layout: Layout, *, now: Column | None
     return StageResult("refine_positions", "written", path)
 
 
-def refine_new_positions(spark: SparkSession, layout: Layout, since: str) -> StageResult:
+def _newly_located(spark: SparkSession, layout: Layout, since: str) -> DataFrame | None:
+    """Typed positions landed from day ``since`` on, with the columns of all landing days."""
+    raw = if_present(scan_landing, spark, layout.path("landed_positions"), since=since, merge_schema=True)
+    if raw is None:
+        return None
+    fresh = cleaning.locate_positions(raw)
+    if C.RAW_TIME not in fresh.columns or cleaning.missing_essentials(fresh):
+        raise ValueError(f"an essential column is missing from {raw.columns}: refine all positions")
+    return fresh
+
+
+def touched_days(spark: SparkSession, layout: Layout, since: str) -> DataFrame | None:
+    """The event ``day`` s of the positions landed from ``since`` on, as a written table."""
+    fresh = _newly_located(spark, layout, since)
+    if fresh is None:
+        return None
+    path = scratch_path(spark, "days")
+    fresh.select(F.to_date(C.EVENT_TIME).alias("day")).distinct().write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def on_days(table: DataFrame, days: DataFrame) -> DataFrame:
+    """The rows of a table by event day on these days, and those without a day.
+
+    Written so that Spark prunes the table's partitions by the days it finds at run time,
+    for which it wants a comparison on the side of the days.
+    """
+    dated = days.filter(F.year("day") > F.lit(-1_000_000))  # any day
+    known = table.join(dated, table[C.EVENT_DAY] == dated["day"], "left_semi")
+    return known.unionByName(table.filter(F.col(C.EVENT_DAY).isNull()))
+
+
+def refine_new_positions(
+    spark: SparkSession, layout: Layout, since: str, *, days: DataFrame | None = None
+) -> StageResult:
     """Refine the positions landed from day ``since`` on into a table by event day.
 
-    Reads those landing days and the event days their positions fall on, and replaces the
-    latter.  The table is then what :func:`refine_positions` would make of all landed
-    positions; a day refined twice does no harm.
+    Reads those landing days and the event days their positions fall on (``days``, if known),
+    and replaces the latter.  The table is then what :func:`refine_positions` would make of
+    all landed positions; a day refined twice does no harm.
     """
     path = layout.path("positions")
     if not layout.by_event_day:
@@ -113,25 +157,13 @@ def refine_new_positions(spark: SparkSession, layout: Layout, since: str) -> Sta
     current = if_present(load_table, spark, path, layout.fmt)
     if current is None:
         return refine_positions(spark, layout)
-    raw = if_present(scan_landing, spark, layout.path("landed_positions"), since=since)
-    if raw is None:
+    fresh = _newly_located(spark, layout, since)
+    if fresh is None:
         return StageResult("refine_positions", "skipped", path, "no landed positions")
-    fresh = cleaning.locate_positions(raw)
-    if C.RAW_TIME not in fresh.columns or cleaning.missing_essentials(fresh):
-        raise ValueError(f"an essential column is missing from {raw.columns}: refine all positions")
-
-    day = F.to_date(C.EVENT_TIME)
-    # the days are listed, since literals prune the partitions of the current table
-    days = fresh.select(day.cast("string").alias("day")).distinct().limit(MAX_TOUCHED_DAYS + 1).collect()
-    if len(days) > MAX_TOUCHED_DAYS:
-        return refine_positions(spark, layout)
-    touched = [row["day"] for row in days]
-    same_days = F.col(C.EVENT_DAY).isin([F.lit(d).cast("date") for d in touched if d is not None])
-    if None in touched:
-        same_days |= F.col(C.EVENT_DAY).isNull()
-    merged = cleaning.merge_positions(current.filter(same_days).drop(C.EVENT_DAY), fresh)
+    days = touched_days(spark, layout, since) if days is None else days
+    merged = cleaning.merge_positions(on_days(current, days).drop(C.EVENT_DAY), fresh)
     replace_partitions(_by_event_day(merged), path, [C.EVENT_DAY], layout.fmt)
-    return StageResult("refine_positions", "written", path, f"{len(touched)} event days")
+    return StageResult("refine_positions", "written", path, f"positions landed since {since}")
 
 
 def _by_event_day(positions: DataFrame) -> DataFrame:
@@ -140,7 +172,7 @@ def _by_event_day(positions: DataFrame) -> DataFrame:
 
 
 def refine_register(spark: SparkSession, layout: Layout, *, normalize_first: bool = False) -> StageResult:
-    raw = if_present(scan_landing, spark, layout.path("landed_register"))
+    raw = if_present(scan_landing, spark, layout.path("landed_register"), merge_schema=True)
     path = layout.path("register")
     if raw is None:
         return StageResult("refine_register", "skipped", path, "no landed register")
@@ -150,21 +182,48 @@ def refine_register(spark: SparkSession, layout: Layout, *, normalize_first: boo
     return StageResult("refine_register", "written", path)
 
 
-def check_positions(spark: SparkSession, layout: Layout, *, as_of: Column | None = None) -> list[dict]:
-    """Gate after refining; raises when the table is empty."""
+def check_positions(
+    spark: SparkSession, layout: Layout, *, as_of: Column | None = None, days: DataFrame | None = None
+) -> list[dict]:
+    """Gate after refining; raises when the table is empty.
+
+    With ``days`` only those event days are read, but for the number of rows, which comes from
+    file footers.  A key holds its time, so keys on other days cannot repeat one on these.
+    """
     positions = load_table(spark, layout.path("positions"), layout.fmt)
-    return quality.raise_on_failure(quality.positions_checks(positions, as_of=as_of))
+    if days is None or not layout.by_event_day:
+        return quality.raise_on_failure(quality.positions_checks(positions, as_of=as_of))
+    checks = quality.positions_checks(on_days(positions, days), as_of=as_of, volume=positions.count())
+    return quality.raise_on_failure(checks)
+
 
+def build_activity(
+    spark: SparkSession, layout: Layout, *, days: DataFrame | None = None, note: str = ""
+) -> StageResult:
+    """Aggregate the refined positions; without a register all lines are unenriched.
 
-def build_activity(spark: SparkSession, layout: Layout) -> StageResult:
-    """Aggregate the refined positions; without a register all lines are unenriched."""
+    A layout by event day keeps the totals of each day, of which those of ``days`` are made
+    anew (all without), and sums them.  ``note`` is the result's
+    detail where there is a register.
+    """
     positions = if_present(load_table, spark, layout.path("positions"), layout.fmt)
     path = layout.path("activity")
     if positions is None:
         return StageResult("build_activity", "skipped", path, "no refined positions")
     register = if_present(load_table, spark, layout.path("register"), layout.fmt)
-    write_clustered(enrich.line_activity(positions, register), path, [C.LINE], fmt=layout.fmt)
-    return StageResult("build_activity", "written", path, "" if register is not None else "no register")
+    totals = _daily_totals(spark, layout, positions, days) if layout.by_event_day else enrich.line_totals(positions)
+    write_clustered(enrich.enriched_totals(totals, register), path, [C.LINE], fmt=layout.fmt)
+    return StageResult("build_activity", "written", path, "no register" if register is None else note)
+
+
+def _daily_totals(spark: SparkSession, layout: Layout, positions: DataFrame, days: DataFrame | None) -> DataFrame:
+    path = layout.path("daily")
+    known = None if days is None else if_present(load_table, spark, path, layout.fmt)
+    if known is None:
+        overwrite_table(enrich.line_totals(positions, C.EVENT_DAY), path, layout.fmt, partition_by=[C.EVENT_DAY])
+    else:
+        replace_partitions(enrich.line_totals(on_days(positions, days), C.EVENT_DAY), path, [C.EVENT_DAY], layout.fmt)
+    return enrich.summed_totals(load_table(spark, path, layout.fmt))
 
 
 def check_activity(spark: SparkSession, layout: Layout) -> list[dict]:
@@ -199,8 +258,9 @@ def run_daily(
 ) -> Run:
     """All stages in order.  Inputs left out are not landed; what was landed before is used.
 
-    ``register`` names the register file(s); with ``pages`` they are the links chosen from
-    catalogue pages.  ``since`` refines only the positions landed from that day on.
+    ``register`` names the register file(s); with ``pages`` it is the link chosen from the
+    catalogue pages.  With ``since`` only the positions landed from that day on are refined,
+    and only the event days they fall on are checked and counted again.
     """
     run = Run()
     if bodies is not None:
@@ -209,11 +269,14 @@ def run_daily(
         register = choose_register(pages, run_ts.year)
     if register is not None:
         run.stages.append(land_register(spark, register, layout, run_ts))
-    refined = refine_new_positions(spark, layout, since) if since else refine_positions(spark, layout)
+    days = touched_days(spark, layout, since) if since and layout.by_event_day else None
+    refined = refine_new_positions(spark, layout, since, days=days) if since else refine_positions(spark, layout)
     run.stages.append(_needed(refined))
     run.stages.append(refine_register(spark, layout))
-    run.checks += check_positions(spark, layout, as_of=F.lit(run_ts))
-    run.stages.append(_needed(build_activity(spark, layout)))
+    skipped = run.stages[-1].status == "skipped"
+    note = f"register not refined in this run: {run.stages[-1].detail}" if skipped else ""
+    run.checks += check_positions(spark, layout, as_of=F.lit(run_ts), days=days)
+    run.stages.append(_needed(build_activity(spark, layout, days=days, note=note)))
     run.checks += check_activity(spark, layout)
     run.report = report(spark, layout)
     return run

@@ -6,12 +6,12 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.contract import LANDING_DAY
 from fleetmart.functions.parse import named
-from fleetmart.functions.schema import orderable_columns
+from fleetmart.functions.schema import orderable_columns, unused
 from fleetmart.operators.cleaning import stamp_landing, stringify_all
 
 
@@ -28,8 +28,30 @@ def append_landing(df: DataFrame, base: str, run_ts: datetime, *, day: Column |
 
 
 def replace_landing_day(df: DataFrame, base: str, run_ts: datetime, *, day: Column | None = None) -> None:
-    """Replace the files of the run's day; other days stay."""
-    replace_partitions(landing_rows(df, run_ts, day=day), base, [LANDING_DAY])
+    """Replace the files of the run's day; other days stay.
+
+    Without rows the run's own day is emptied; where ``day`` gives the days of the rows, there
+    is then none to replace.
+    """
+    rows = landing_rows(df, run_ts, day=day)
+    replace_partitions(rows, base, [LANDING_DAY])
+    if day is None and rows.isEmpty():
+        remove(df.sparkSession, f"{base.rstrip('/')}/{LANDING_DAY}={run_ts:%Y-%m-%d}")
+
+
+def compact_landing_day(spark: SparkSession, base: str, day: str, *, files: int = 1) -> None:
+    """Write the many small files of a landing day as ``files`` ones, with all columns of any
+    of them.  Runs that only append leave a file set each, which makes every later scan list
+    and open more of them.  The old files go when the job commits."""
+    rows = spark.read.option("mergeSchema", True).option("basePath", base).parquet(f"{base.rstrip('/')}/{LANDING_DAY}={day}")
+    replace_partitions(rows.repartition(files), base, [LANDING_DAY])
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder with all it holds, if it is there."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
@@ -81,11 +103,11 @@ def cluster_rows(df: DataFrame, by: Sequence[str], *, files: int | None = None)
     filling one task.  Both parts are the same when a lost task is run again.
     """
     keys = [named(k) for k in by]
-    spread = F.xxhash64(F.spark_partition_id(), *orderable_columns(df, without=by))
-    numbered = df.withColumn("_spread", spread)
-    ranges = [*keys, F.col("_spread")]
+    spread = unused("spread", df.columns)
+    numbered = df.withColumn(spread, F.xxhash64(F.spark_partition_id(), *orderable_columns(df, without=by)))
+    ranges = [*keys, F.col(spread)]
     cut = numbered.repartitionByRange(files, *ranges) if files else numbered.repartitionByRange(*ranges)
-    return cut.sortWithinPartitions(*keys).drop("_spread")
+    return cut.sortWithinPartitions(*keys).drop(spread)
 
 
 def write_clustered(

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import csv
+import re
+from collections import defaultdict
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_EXCESS = "_excess"
+from fleetmart.functions.schema import unused
+
+# A separator that no text has, to read lines whole in any encoding.
+_NO_SEPARATOR = "\x01"
 
 
 def read_delimited(
@@ -19,26 +27,87 @@ def read_delimited(
 ) -> DataFrame:
     """Read ``sep``-separated files as strings, header names upper-cased and stripped.
 
-    Types are not inferred: one pass over the data, and codes keep leading zeros.  A line
-    with too few fields is filled with NULLs; one with more fields than the header makes
-    the job fail instead of losing them.  Files are split between tasks; set
-    ``multi_line`` only where quoted fields hold line breaks, since each file is then read
-    by one task.
+    Files are read by the names in their own headers, one scan for each distinct header; one
+    that lacks a column of another makes the job fail.  Types are not inferred, so codes keep
+    leading zeros.  A line with too few fields is filled with NULLs; one with more filled
+    fields than the header makes the job fail instead of losing them, and so does one with an
+    unclosed quote.  Files are split between tasks; set ``multi_line`` where quoted fields hold
+    line breaks, since each file is then read by one task.
     """
-    reader = (
-        spark.read.option("sep", sep)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", encoding)
-        .option("multiLine", multi_line)
-    )
-    header = reader.csv(path).columns
-    fields = [T.StructField(f"_{n}", T.StringType()) for n in range(len(header))]
-    rows = reader.schema(T.StructType([*fields, T.StructField(_EXCESS, T.StringType())])).csv(path)
-    too_long = F.raise_error(F.concat(F.lit("line has more fields than the header, from: "), F.col(_EXCESS)))
-    whole = rows.filter(F.when(F.col(_EXCESS).isNull(), True).otherwise(too_long.cast("boolean")))
-    return upper_headers(whole.drop(_EXCESS).toDF(*header))
+    by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for file, line in _first_lines(spark, [path] if isinstance(path, str) else path, encoding):
+        by_header[tuple(next(csv.reader([line], delimiter=sep)))].append(file)
+    if not by_header:
+        raise ValueError(f"no header line in {path}")
+    read = _read_files if multi_line else _read_lines
+    parts = [upper_headers(read(spark, files, list(header), sep, encoding)) for header, files in by_header.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _first_lines(spark: SparkSession, paths: list[str], encoding: str) -> list[tuple[str, str]]:
+    """Every file that isn't empty with its first line; compressed files by their suffix."""
+    sc = spark.sparkContext
+    hadoop, conf = sc._jvm.org.apache.hadoop, sc._jsc.hadoopConfiguration()
+    codecs = hadoop.io.compress.CompressionCodecFactory(conf)
+    found = []
+    for path in paths:
+        place = hadoop.fs.Path(path)
+        fs = place.getFileSystem(conf)
+        for status in sorted(fs.globStatus(place) or [], key=lambda s: s.getPath().toString()):
+            listed = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+            for file in sorted((s.getPath() for s in listed if s.isFile()), key=lambda p: p.getName()):
+                if file.getName().startswith(("_", ".")):
+                    continue
+                codec = codecs.getCodec(file)
+                stream = fs.open(file) if codec is None else codec.createInputStream(fs.open(file))
+                reader, text = hadoop.util.LineReader(stream), hadoop.io.Text()
+                n = reader.readLine(text)
+                reader.close()
+                if n:
+                    line = bytes(text.copyBytes()).decode(encoding)
+                    found.append((file.toString(), line.removeprefix("\ufeff")))
+    return found
+
+
+def _numbered(n: int) -> list[str]:
+    return [f"_{k}" for k in range(n)]
+
+
+def _read_lines(spark: SparkSession, files: list[str], header: list[str], sep: str, encoding: str) -> DataFrame:
+    """Lines parsed one by one, each checked as a whole first."""
+    options = {"sep": _NO_SEPARATOR, "quote": "", "header": True, "encoding": encoding}
+    lines = spark.read.options(**options).schema("line string").csv(files)
+    s = re.escape(sep)
+    # possessive, so that no line makes the pattern go back
+    field = f'(?:"[^"]*+(?:""[^"]*+)*+"|[^"{s}][^{s}]*+|)'
+    closed = F.col("line").rlike(f"^{field}(?:{s}{field})*+$")
+    bare = F.regexp_replace(F.regexp_replace("line", f'(?<=^|{s})"[^"]*+(?:""[^"]*+)*+"', "q"), f"{s}+$", "")
+    fits = F.size(F.split(bare, s)) <= len(header)
+
+    def stopped(why: str):
+        return F.raise_error(F.concat(F.lit(why), F.col("line"))).cast("boolean")
+
+    unclosed = stopped("line with an unclosed quote (set multi_line for line breaks in quotes): ")
+    whole = lines.filter(F.when(~closed, unclosed).when(~fits, stopped("line has more fields than the header: ")).otherwise(True))
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in _numbered(len(header))])
+    fields = F.from_csv("line", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), {"sep": sep, "quote": '"', "escape": '"'})
+    return whole.select(fields.alias("f")).select("f.*").toDF(*header)
+
+
+def _read_files(spark: SparkSession, files: list[str], header: list[str], sep: str, encoding: str) -> DataFrame:
+    """Whole files parsed by one task each, where quoted fields hold line breaks."""
+    names = _numbered(len(header))
+    excess, bad = unused("excess", names), unused("bad", names)
+    fields = [T.StructField(name, T.StringType()) for name in [*names, excess, bad]]
+    options = {"sep": sep, "quote": '"', "escape": '"', "header": True, "encoding": encoding, "multiLine": True, "columnNameOfCorruptRecord": bad}
+    rows = spark.read.options(**options).schema(T.StructType(fields)).csv(files)
+    # A record of too few fields is bad too, but then its last ones are NULL.
+    last = F.col(names[-1])
+    lost = F.col(excess).isNotNull() | (F.col(bad).isNotNull() & last.isNotNull() & F.col(bad).rlike(f"{re.escape(sep)}[^{re.escape(sep)}\\s]"))
+    over = F.size(F.split(F.regexp_replace(F.regexp_replace(F.col(bad), '"[^"]*+(?:""[^"]*+)*+"', "q"), f"{re.escape(sep)}+\\s*$", ""), re.escape(sep))) > len(header)
+    too_long = F.raise_error(F.concat(F.lit("record has more fields than the header: "), F.coalesce(F.col(bad), F.col(excess)))).cast("boolean")
+    whole = rows.filter(F.when(F.coalesce(lost & (F.col(excess).isNotNull() | over), F.lit(False)), too_long).otherwise(True))
+    return whole.select(*names).toDF(*header)
 
 
 def upper_headers(df: DataFrame) -> DataFrame:

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 
 import pytest
 
+from fleetmart.plans import medallion
+from fleetmart.plans.layout import Layout
 from fleetmart.sources import feeds
 
 
@@ -78,8 +81,63 @@ def test_a_large_body_keeps_all_records(spark):
     assert got.distinct().count() == 40_000
 
 
-def test_too_many_field_names(spark):
-    body = json.dumps([{f"k{i}": "1" for i in range(feeds.MAX_FIELDS + 1)}])
+def test_a_feed_of_many_field_names_lands(spark, tmp_path):
+    body = json.dumps([{f"k{i}": str(i) for i in range(5_000)}])
     df = spark.createDataFrame([(body,)], "body string")
-    with pytest.raises(ValueError, match="field names"):
-        feeds.tabulate(feeds.unwrap_feed(df))
+    layout = Layout(str(tmp_path))
+    medallion.land_positions(df, layout, datetime(2024, 6, 1))
+    landed = spark.read.parquet(layout.path("landed_positions"))
+    assert len([c for c in landed.columns if c.startswith("k")]) == 5_000
+    assert landed.select("k4999").collect()[0][0] == "4999"
+
+
+GOOD = {f'[{TEXT}]', f' {{"records": [{TEXT}]}} ', f'<pre>{{"records": [{TEXT}]}}</pre>'}
+BAD = {
+    None: "empty",
+    "  ": "empty",
+    f'{{"records": [{TEXT}': "not JSON",
+    f"[{TEXT}": "not JSON",
+    "<html>503</html>": "not JSON",
+    f"[{TEXT}, 3]": "no records",
+    f'{{"records": [{TEXT}, 3]}}': "no records",
+    f"\ufeff[{TEXT}]": "not JSON",
+    f'{{"records": [{TEXT}]}}{{"records": [{TEXT}]}}': "not JSON",
+    f"[{TEXT}][{TEXT}]": "not JSON",
+    f"[{TEXT}] trailing": "not JSON",
+    f"[{TEXT}], [{TEXT}]": "no records",
+    '{"entidades": []}': "no records",
+    "[]": "no records",
+}
+
+
+def test_no_body_vanishes(spark):
+    df = spark.createDataFrame([(b,) for b in [*GOOD, *BAD]], "body string")
+    rows = feeds.split_feed(df, keep=["body"]).collect()
+    assert {r["body"]: r["reject"] for r in rows} == {**dict.fromkeys(GOOD), **BAD}
+    assert all((r["record"] is None) == (r["reject"] is not None) for r in rows)
+
+
+def test_bad_bodies_stop_the_landing(spark, tmp_path):
+    df = spark.createDataFrame([(b,) for b in [*GOOD, "<html>503</html>", "[]", "[]"]], "body string")
+    layout = Layout(str(tmp_path))
+    with pytest.raises(feeds.UnusableBodyError, match="3 bodies"):
+        medallion.land_positions(df, layout, datetime(2024, 6, 1))
+    assert not (tmp_path / "landing").exists()
+    with pytest.raises(feeds.EmptyInputError):
+        medallion.land_positions(df.limit(0), layout, datetime(2024, 6, 1))
+
+
+@pytest.mark.parametrize("fields", [None, ["NV"]])
+def test_bodies_are_read_once(spark, tmp_path, fields):
+    for n in range(3):
+        (tmp_path / f"{n}.json").write_text(f"[{TEXT}]")
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for row in rows:
+            reads.add(1)
+            yield row
+
+    df = spark.createDataFrame(feeds.read_bodies(spark, str(tmp_path)).rdd.mapPartitions(counted), "body string")
+    medallion.land_positions(df, Layout(str(tmp_path / "lake")), datetime(2024, 6, 1), fields=fields)
+    assert reads.value == 3

@@ -4,6 +4,7 @@ import random
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,22 +145,28 @@ def test_latest_resource(spark, rows, expected):
     assert latest(spark, rows) == expected
 
 
-def brute_force(rows, newest_year):
-    for year in range(newest_year, 2021, -1):
-        named = [r for r in rows if any(str(year) in field for field in r[1:])]
-        if named:
-            return named[-1][0], year
-    return rows[-1][0], None
-
-
 def test_latest_resource_of_random_pages(spark):
+    """Against SQL: of a page's links the one that names the newest year allowed, else any; the
+    last of equals."""
     rng = random.Random(7)
-    pages = {
-        p: [(i, *(rng.choice(["", "x", str(rng.randint(2018, 2029))]) for _ in range(3))) for i in range(rng.randint(1, 6))]
+    rows = [
+        (p, i, *(rng.choice(["", "x", str(rng.randint(2018, 2029))]) for _ in range(3)))
         for p in range(200)
-    }
-    rows = [(p, *r) for p, page in pages.items() for r in page]
+        for i in range(rng.randint(1, 6))
+    ]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "page_id int, pos int, href string, text string, title string").repartition(6)
     got = {r["page_id"]: (r["pos"], r["year"]) for r in links.latest_resource(df, newest_year=2026).collect()}
-    assert got == {p: brute_force(page, 2026) for p, page in pages.items()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE links (page_id INT, pos INT, href VARCHAR, text VARCHAR, title VARCHAR)")
+    con.executemany("INSERT INTO links VALUES (?, ?, ?, ?, ?)", rows)
+    expected = con.execute("""
+        WITH named AS (
+            SELECT page_id, pos, greatest(
+                CASE WHEN TRY_CAST(href AS INT) BETWEEN 2022 AND 2026 THEN CAST(href AS INT) END,
+                CASE WHEN TRY_CAST(text AS INT) BETWEEN 2022 AND 2026 THEN CAST(text AS INT) END,
+                CASE WHEN TRY_CAST(title AS INT) BETWEEN 2022 AND 2026 THEN CAST(title AS INT) END) AS year
+            FROM links)
+        SELECT page_id, pos, year FROM named
+        QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY year DESC NULLS LAST, pos DESC) = 1""").fetchall()
+    assert got == {page: (pos, year) for page, pos, year in expected}

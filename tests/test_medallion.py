@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime
 import json
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,7 +78,10 @@ def test_rerun_gives_the_same_tables(spark, tmp_path, register):
 def test_register_chosen_from_a_catalogue(spark, tmp_path, register):
     html = '<a href="/old%202023.csv">2023</a><a href="register%202024.csv">2024</a><a href="/last.csv">none</a>'
     pages = spark.createDataFrame([(1, f"file://{tmp_path}/index.html", html)], "page_id int, url string, html string")
-    assert medallion.choose_register(pages, 2026) == [f"file://{tmp_path}/register%202024.csv"]
+    assert medallion.choose_register(pages, 2026) == f"file://{tmp_path}/register%202024.csv"
+    other = spark.createDataFrame([(2, f"file://{tmp_path}/", '<a href="/other.csv">2025</a>')], pages.schema)
+    with pytest.raises(ValueError, match="several"):
+        medallion.choose_register(pages.union(other), 2026)
     plain = pages.withColumn("html", F.replace("html", F.lit("%20"), F.lit(" ")))
     layout = Layout(str(tmp_path / "lake"))
     medallion.run_daily(spark, layout, RUN, bodies=bodies(spark, PINGS), pages=plain)
@@ -178,20 +182,72 @@ def test_refining_new_days_leaves_other_days_alone(spark, tmp_path):
     untouched = sorted((tmp_path / "lake" / "refined" / "positions" / "_event_day=2024-01-01").glob("*.parquet"))
     later = RUN.replace(day=2)
     run = medallion.run_daily(spark, layout, later, bodies=bodies(spark, [ping("x", "l", "20240102000000")]), since="2024-06-02")
-    assert [s.detail for s in run.stages if s.stage == "refine_positions"] == ["1 event days"]
+    assert [s.detail for s in run.stages if s.stage == "refine_positions"] == ["positions landed since 2024-06-02"]
     assert sorted(untouched[0].parent.glob("*.parquet")) == untouched
     assert activity(spark, layout) == [("l", "Desconhecido", 3)]
 
 
-def test_new_positions_on_very_many_days_refine_all(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(medallion, "MAX_TOUCHED_DAYS", 2)
+def test_new_positions_on_very_many_days_keep_archived_ones(spark, tmp_path):
     layout = Layout(str(tmp_path / "lake"), by_event_day=True)
-    medallion.run_daily(spark, layout, RUN, bodies=bodies(spark, [ping("v", "l", "20240101000000")]))
-    fresh = [ping("v", "l", f"202401{day:02d}000000") for day in (1, 2, 3)]
-    medallion.land_positions(bodies(spark, fresh), layout, RUN.replace(day=2))
-    assert medallion.refine_new_positions(spark, layout, "2024-06-02").detail == ""
-    assert days_of(tmp_path, "lake") == ["2024-01-01", "2024-01-02", "2024-01-03"]
-    assert len(refined(spark, layout)) == 3
+    old = [ping("v", "l", f"201901{day:02d}000000") for day in range(1, 4)]
+    medallion.run_daily(spark, layout, RUN, bodies=bodies(spark, old))
+    shutil.move(str(tmp_path / "lake" / "landing" / "positions" / "partition_date=2024-06-01"), str(tmp_path / "archive"))
+    start = datetime.datetime(2020, 1, 1)
+    fresh = [ping("v", "l", f"{start + datetime.timedelta(days=d):%Y%m%d}000000") for d in range(1_100)]
+    run = medallion.run_daily(spark, layout, RUN.replace(day=2), bodies=bodies(spark, fresh), since="2024-06-02")
+    assert len(refined(spark, layout)) == 1_103
+    assert activity(spark, layout) == [("l", "Desconhecido", 1_103)]
+    assert {c["rule"]: c["observed"] for c in run.checks}["volume"] == 1_103
+
+
+def test_fields_that_appear_later(spark, tmp_path):
+    """Day 2 brings a field, and the time, in the same landing folder."""
+    first = [{"LT": "1", "LG": "1", "NV": "v", "NL": "l"}]
+    second = [{**ping("w", "l", "20240102030405"), "extra": "new"}]
+    tables = []
+    for by_event_day in (False, True):
+        layout = Layout(str(tmp_path / f"lake{by_event_day}"), by_event_day=by_event_day)
+        for day, pings in enumerate((first, second), 1):
+            medallion.land_positions(bodies(spark, pings), layout, RUN.replace(day=day))
+            if by_event_day and day == 2:
+                medallion.refine_new_positions(spark, layout, "2024-06-02")
+            else:
+                medallion.refine_positions(spark, layout)
+        got = spark.read.parquet(layout.path("positions"))
+        tables.append({r["numero_do_veiculo"]: (str(r["event_timestamp"]), r["extra"]) for r in got.collect()})
+    assert tables[0] == {"v": ("None", None), "w": ("2024-01-02 03:04:05", "new")}
+    assert tables[1]["w"] == tables[0]["w"] and tables[1]["v"][1] is None
+
+
+def test_new_fields_give_the_table_of_a_whole_refresh(spark, tmp_path):
+    first = [ping("v", "l", "20240101000000"), ping("w", "l", "20240101000000")]
+    second = [{**ping("v", "l", "20240101000000"), "LT": "0,5", "extra": "new"}, {**ping("x", "l", "20240101000000"), "extra": "new"}]
+    daily, plain = Layout(str(tmp_path / "daily"), by_event_day=True), Layout(str(tmp_path / "plain"))
+    for layout in (daily, plain):
+        medallion.run_daily(spark, layout, RUN, bodies=bodies(spark, first))
+        since = "2024-06-02" if layout.by_event_day else None
+        medallion.run_daily(spark, layout, RUN.replace(day=2), bodies=bodies(spark, second), since=since)
+    columns = ["numero_do_veiculo", "latitude", "extra", "event_timestamp"]
+    rows = [sorted(map(str, spark.read.parquet(x.path("positions")).select(columns).collect())) for x in (daily, plain)]
+    assert rows[0] == rows[1] and activity(spark, daily) == activity(spark, plain)
+
+
+def test_incremental_stages_read_the_touched_days_alone(spark, tmp_path):
+    layout = Layout(str(tmp_path / "lake"), by_event_day=True)
+    medallion.run_daily(spark, layout, RUN, bodies=bodies(spark, [ping("v", "l", f"202401{d:02d}000000") for d in range(1, 29)]))
+    medallion.land_positions(bodies(spark, [ping("w", "m", "20240103000000")]), layout, RUN.replace(day=2))
+    days = medallion.touched_days(spark, layout, "2024-06-02")
+    some = medallion.on_days(spark.read.parquet(layout.path("positions")), days)
+    assert some.count() == 1
+    assert "dynamicpruning" in some._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_skipped_register_is_reported(spark, tmp_path, register):
+    layout = Layout(str(tmp_path / "lake"))
+    medallion.run_daily(spark, layout, RUN, bodies=bodies(spark, PINGS), register=register)
+    shutil.rmtree(tmp_path / "lake" / "landing" / "register")
+    run = medallion.run_daily(spark, layout, RUN.replace(day=2))
+    assert "register not refined" in next(s.detail for s in run.stages if s.stage == "build_activity")
 
 
 def test_refining_new_days_asks_for_a_whole_refresh(spark, tmp_path):
@@ -199,11 +255,10 @@ def test_refining_new_days_asks_for_a_whole_refresh(spark, tmp_path):
         medallion.refine_new_positions(spark, Layout(str(tmp_path)), "2024-06-01")
     layout = Layout(str(tmp_path / "lake"), by_event_day=True)
     medallion.run_daily(spark, layout, RUN, bodies=bodies(spark, PINGS))
-    for pings, message in (([{**PINGS[0], "extra": "1"}], "columns changed"), ([{"LT": "1", "LG": "1", "NV": "v", "NL": "l"}], "essential")):
-        other = Layout(str(tmp_path / message), by_event_day=True, positions=layout.path("positions"))
-        medallion.land_positions(bodies(spark, pings), other, RUN)
-        with pytest.raises(ValueError, match=message):
-            medallion.refine_new_positions(spark, other, "2024-06-01")
+    other = Layout(str(tmp_path / "essential"), by_event_day=True, positions=layout.path("positions"))
+    medallion.land_positions(bodies(spark, [{"LT": "1", "LG": "1", "NV": "v", "NL": "l"}]), other, RUN)
+    with pytest.raises(ValueError, match="essential"):
+        medallion.refine_new_positions(spark, other, "2024-06-01")
 
 
 def test_command_line(spark, tmp_path, register, capsys):

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime
 import pathlib
+import tempfile
 from collections import Counter
 
 import pyarrow.parquet as pq
@@ -9,6 +10,8 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from fleetmart.operators.cleaning import dedup_by_key
+from fleetmart.operators.enrich import left_enrich
 from fleetmart.sinks import writers
 from fleetmart.sinks.scratch import scratch_path
 from fleetmart.sources.delimited import read_delimited
@@ -154,3 +157,85 @@ def test_scratch_is_below_the_checkpoint_folder(spark):
     path = scratch_path(spark, "x")
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert path.startswith(shared) and path != scratch_path(spark, "x")
+
+
+def test_a_day_without_rows_is_emptied(spark, tmp_path):
+    base, day = str(tmp_path / "landing"), datetime.datetime(2024, 6, 1)
+    df = spark.createDataFrame([("1",)], "LINHA string")
+    writers.replace_landing_day(df, base, day)
+    writers.replace_landing_day(df, base, day.replace(day=2))
+    writers.replace_landing_day(df.limit(0), base, day)
+    assert [r["partition_date"].isoformat() for r in spark.read.parquet(base).collect()] == ["2024-06-02"]
+
+
+def test_compaction_keeps_all_rows_and_columns(spark, tmp_path):
+    base, day = str(tmp_path / "landing"), datetime.datetime(2024, 6, 1)
+    for n, schema in enumerate(("a string", "a string, b string", "b string")):
+        writers.append_landing(spark.createDataFrame([("x",) * len(schema.split(","))] * 3, schema).repartition(3), base, day.replace(hour=n))
+    writers.append_landing(spark.createDataFrame([("y",)], "a string"), base, day.replace(day=2))
+    before = sorted(map(str, spark.read.option("mergeSchema", True).parquet(base).select("a", "b", "partition_date").collect()))
+    other = sorted((tmp_path / "landing" / "partition_date=2024-06-02").glob("*.parquet"))
+    writers.compact_landing_day(spark, base, "2024-06-01")
+    assert len(list((tmp_path / "landing" / "partition_date=2024-06-01").glob("*.parquet"))) == 1
+    assert sorted((tmp_path / "landing" / "partition_date=2024-06-02").glob("*.parquet")) == other
+    assert sorted(map(str, spark.read.option("mergeSchema", True).parquet(base).select("a", "b", "partition_date").collect())) == before
+
+
+def test_helper_names_do_not_clash(spark):
+    df = spark.createDataFrame([("a", 1, 2, 3, "x"), ("a", 2, 2, 3, "y")], "k string, _rank int, _SALT int, _spread int, _excess string")
+    assert dedup_by_key(df, ["k"]).columns == df.columns
+    assert writers.cluster_rows(df, ["k"]).columns == df.columns
+    dim = spark.createDataFrame([("a", "d")], "k string, d string")
+    joined = left_enrich(df, dim, "k", salts=4)
+    assert joined.columns == [*df.columns, "d"] and joined.count() == 2
+
+
+def test_a_salted_join_never_broadcasts(spark):
+    facts, dim = spark.range(1000).selectExpr("id % 7 AS k", "id"), spark.range(7).withColumnRenamed("id", "k")
+    plan = left_enrich(facts, dim, "k", salts=256)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_scratch_leaves_the_checkpoint_folder_alone(spark):
+    before = spark.sparkContext.getCheckpointDir()
+    scratch_path(spark, "x")
+    assert spark.sparkContext.getCheckpointDir() == before
+
+
+def delimited(spark, tmp_path, files, **options):
+    folder = tempfile.mkdtemp(dir=tmp_path)
+    for n, text in enumerate(files):
+        with open(f"{folder}/{n}.csv", "w", newline="", encoding="utf-8") as out:
+            out.write(text)
+    df = read_delimited(spark, folder, **options)
+    return sorted((tuple(sorted(r.asDict().items())) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("pad", [0, 500])
+def test_columns_go_by_each_files_header(spark, tmp_path, pad):
+    got = delimited(spark, tmp_path, ["linha;OP\n1;a\n" * 1 + "2;b\n" * pad, " op ;LINHA\nc;3\n", ""])
+    assert set(got) == {(("LINHA", "1"), ("OP", "a")), (("LINHA", "3"), ("OP", "c"))} | ({(("LINHA", "2"), ("OP", "b"))} if pad else set())
+    assert len(got) == pad + 2
+    with pytest.raises(AnalysisException):
+        delimited(spark, tmp_path, ["LINHA;OP\n1;a\n", "LINHA;OTHER\n1;a\n"])
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+@pytest.mark.parametrize("line", ["1;2;x", "1;2;;x", '1;"2";"";"x;y"'])
+def test_no_field_is_lost(spark, tmp_path, line, multi_line):
+    with pytest.raises(Exception, match="more fields"):
+        delimited(spark, tmp_path, [f"LINHA;OP\n1;2\n{line}\n"], multi_line=multi_line)
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_lines_that_are_whole(spark, tmp_path, multi_line):
+    got = delimited(spark, tmp_path, ['LINHA;OP\n"a;b";"say ""x"""\n5" pipe;\n3\n4;5;;\n; y \n'], multi_line=multi_line)
+    expected = [("a;b", 'say "x"'), ('5" pipe', None), ("3", None), ("4", "5"), (None, " y ")]
+    assert got == sorted(((("LINHA", a), ("OP", b)) for a, b in expected), key=str)
+
+
+def test_a_quoted_line_break(spark, tmp_path):
+    files = ['LINHA;OP\n"a\nb";O1\n']
+    assert delimited(spark, tmp_path, files, multi_line=True) == [(("LINHA", "a\nb"), ("OP", "O1"))]
+    with pytest.raises(Exception, match="multi_line"):
+        delimited(spark, tmp_path, files)
