@@ -61,10 +61,10 @@ def rename_guarded(spark, sf_dir):
 
 
 @query("stringify_all", """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
-    o_orderstatus, o_orderpriority, '2024-06-01T12:00:00' AS _ingestion_timestamp FROM orders""")
+    o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate,
+    o_orderpriority, '2024-06-01T12:00:00' AS _ingestion_timestamp FROM orders""")
 def stringify_all(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    return cleaning.stringify_all(cleaning.stamp_landing(orders, NOW))
+    return cleaning.stringify_all(cleaning.stamp_landing(table(spark, sf_dir, "orders"), NOW))
 
 
 @query("drop_null_coords", f"""WITH {roles.TYPED_POSITIONS}

@@ -23,11 +23,10 @@ def dim_extract_normalized(spark, sf_dir):
     return dimensions.extract_dimension(plain_header, normalize_first=True)
 
 
-@query("left_enrich", """SELECT doc_id, lang, source, n_chars, CAST(quality AS VARCHAR) AS quality, CAST(toxic AS VARCHAR) AS toxic
+@query("left_enrich", """SELECT doc_id, text, lang, source, n_chars, CAST(quality AS VARCHAR) AS quality, CAST(toxic AS VARCHAR) AS toxic
     FROM documents LEFT JOIN labels USING (doc_id)""")
 def left_enrich(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    labelled = enrich.left_enrich(documents, table(spark, sf_dir, "labels"), "doc_id")
+    labelled = enrich.left_enrich(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
     return labelled.withColumns({name: F.col(name).cast("string") for name in ("quality", "toxic")})
 
 

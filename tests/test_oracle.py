@@ -12,6 +12,8 @@ import pytest
 
 from __spark_entry__ import oracle_sql, queries
 
+NAMES = sorted(oracle_sql())
+
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -42,7 +44,7 @@ def _bag(columns, rows):
     return Counter(tuple(_value(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_matches_sql(spark, duck, name):
     df = queries()[name](spark, SF_DIR)
     cursor = duck.execute(oracle_sql()[name])
@@ -56,7 +58,7 @@ def test_matches_sql(spark, duck, name):
     assert mine == theirs, (list((mine - theirs).items())[:3], list((theirs - mine).items())[:3])
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_types_match_sql(spark, duck, name):
     kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
              "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE"}
