@@ -12,7 +12,7 @@ same ids in fewer steps.
 
 Null text counts as empty and has no ids. Null and repeated ``doc_id`` are carried along, an empty
 table gives an empty result, further columns are left out. Decoding fails on ids outside the
-vocabulary. A process keeps at most ``KEPT`` words and chunks, whatever the input's size.
+vocabulary. A process keeps a bounded number of chunks and words, whatever the input's size.
 """
 
 from __future__ import annotations
@@ -29,10 +29,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetmart.llm.shared import id_and_text
+from fleetmart.llm.shared import id_and_text, process_cache
 
 LONG_BYTES = 256
-KEPT = 400_000
+KEPT, KEPT_WORDS = 300_000, 700_000
 #: Bytes of text that are encoded at once, at most one document more.
 TEXT_AT_ONCE = 6 << 20
 #: Runs that one group of the decoding query holds.
@@ -95,7 +95,6 @@ SPACE = r"[\s\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{
 UNEVEN_SPACE = f"^ | $|{SPACE} | {SPACE}"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
-_codecs: dict[tuple[str, str], ByteBpe] = {}
 
 
 class ByteBpe:
@@ -111,6 +110,8 @@ class ByteBpe:
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": spill})
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self._load()
+        self.words: dict[str, int] = {}
+        self.word_ids = Runs()
         self._clear()
 
     def _load(self) -> None:
@@ -128,11 +129,12 @@ class ByteBpe:
             self.db.unregister("loaded")
 
     def _clear(self) -> None:
-        self.words: dict[str, int] = {}
-        self.word_ids = Runs()
+        """Forget the chunks, and the words if there are too many."""
         self.chunks: dict[str, int] = {}
         self.chunk_ids = Runs()
         self.chunk_bytes: list[bytes] = []
+        if len(self.words) > KEPT_WORDS:
+            self.words, self.word_ids = {}, Runs()
 
     def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words one after another, and how many each word has."""
@@ -278,10 +280,7 @@ def chunks_of(text: str) -> list[str]:
 
 
 def codec(rank_file: str, pattern: str) -> ByteBpe:
-    key = (rank_file, pattern)
-    if key not in _codecs:
-        _codecs[key] = ByteBpe(rank_file, pattern)
-    return _codecs[key]
+    return process_cache(("bytes", rank_file, pattern), lambda: ByteBpe(rank_file, pattern))
 
 
 def _parts(column: pa.Array, most: int) -> Iterator[slice]:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 
+from fleetmart.llm.shared import process_cache
+
 _U = np.uint64
 #: Odd, and 3 modulo 8, so that powers differ in many low bits.
 BASE = 0x9E6C63D0676A9A9B
 _table = np.random.default_rng(20_260_101).integers(0, 1 << 64, 256, dtype=np.uint64)
-_powers: dict[str, np.ndarray] = {}
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -21,11 +22,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _power(kind: str, base: int, n: int) -> np.ndarray:
-    known = _powers.get(kind)
+    powers = process_cache("powers", dict)
+    known = powers.get(kind)
     if known is None or len(known) < n:
         steps = np.full(max(n, 1 << 20), base, dtype=np.uint64)
         steps[0] = 1
-        known = _powers[kind] = np.cumprod(steps)
+        known = powers[kind] = np.cumprod(steps)
     return known[:n]
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.llm import boosting
 from fleetmart.llm.labelled import features_of, held_out, training_rows, unused_column, with_score
+from fleetmart.llm.shared import process_cache
 
 #: Labelled rows that a model is fitted on, at most.
 POSITIVES, NEGATIVES = 8_000, 8_000
@@ -68,6 +69,7 @@ def statistics(text: str) -> list[float]:
 
 
 def extract(texts: list[str]) -> np.ndarray:
+    process_cache("statistics", dict)
     return np.array([statistics(t) for t in texts], dtype=np.float64).reshape(-1, WIDTH)
 
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable, Hashable
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,3 +62,19 @@ def spread(df: DataFrame) -> DataFrame:
     """One task per row, for short lists of files."""
     return df.repartition(max(1, df.count()))
 
+
+_held: dict[Hashable, Any] = {}
+
+
+def process_cache(owner: Hashable, make: Callable[[], Any]) -> Any:
+    """What an operator keeps in a worker process from one task to the next. Workers outlive
+    stages, so what other operators have kept is given up when one begins."""
+    if owner not in _held:
+        _held.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+        _held[owner] = make()
+    return _held[owner]

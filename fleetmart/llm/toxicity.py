@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.llm import boosting
 from fleetmart.llm.labelled import held_out, training_rows, unused_column, with_score
+from fleetmart.llm.shared import process_cache
 
 #: Labelled rows that a model is fitted on, and characters of each, at most.
 POSITIVES, NEGATIVES, SAMPLE_CHARS = 4_000, 6_000, 20_000
@@ -188,15 +189,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, positives:
     return Model(*trained(list(range(len(y)))), boosting.fit(x, y, depth=3, trees=80))
 
 
-_distances: dict[tuple[bytes, bytes], Distance] = {}
-
-
 def _scored(model: Model, texts: list[str]) -> np.ndarray:
-    key = (model.ordinary, model.toxic)
-    if key not in _distances:
-        _distances.clear()
-        _distances[key] = Distance(*key)
-    features = [_distances[key].features(plain(t)) for t in texts]
+    own = process_cache(("distance", model.ordinary, model.toxic), lambda: Distance(model.ordinary, model.toxic))
+    features = [own.features(plain(t)) for t in texts]
     return boosting.predict(model.trees, np.array(features, dtype=np.float64).reshape(-1, WIDTH))
 
 

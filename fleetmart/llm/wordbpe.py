@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from fleetmart.llm.shared import process_cache
+
 #: Words kept per worker process before the table is started anew.
 KEPT_WORDS = 600_000
 #: Longer words (in bytes) are encoded but not kept.
@@ -29,8 +31,6 @@ LETTERS = "a-zß-öø-ÿ"
 #: The contractions that the vocabulary's splitter cuts off (fixed values).
 SUFFIXES = "'s|'t|'re|'ve|'m|'ll|'d"
 
-_encoders: dict[str, WordEncoder] = {}
-
 
 class WordEncoder:
     def __init__(self, path: str):
@@ -110,6 +110,4 @@ class WordEncoder:
 
 def encoder(path: str) -> WordEncoder:
     """The encoder of this process for a vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return process_cache(("words", path), lambda: WordEncoder(path))
