@@ -40,7 +40,7 @@ DICTIONARY_BYTES = 32 << 10
 #: Words of the toxic dictionary: lengths of beginnings in bytes, with the space before; toxic
 #: documents that must have one; by how many standard deviations they must exceed the number to
 #: expect, and by which factor (log) the share among ordinary ones; number of words; how a beginning is continued, and in how many ways.
-BEGINNINGS, LEAST_DOCS, LEAST_DEVIATION, LEAST_LOG_RATIO, MOST_PHRASES = range(4, 9), 4, 7.0, 1.5, 200
+BEGINNINGS, LEAST_DOCS, LEAST_DEVIATION, LEAST_LOG_RATIO, MOST_PHRASES = range(4, 9), 4, 7.0, 1.8, 200
 CONTINUED, MOST_CONTINUED = rb"[^\n]{3}", 16
 STEPS = 14
 WIDTH = 2 * STEPS + 5
