@@ -254,12 +254,13 @@ def near_duplicates(docs: DataFrame, similarity: Fraction = Fraction(4, 5), id_c
         "classes",
     )
     signatures = classes.select("cls", "signature")
-    members, rows_ = classes.select(F.explode("roots").alias("node"), "cls").distinct(), None
-    compared = []
+    members, rows_ = classes.select(F.explode("roots").alias("node"), "cls"), None
+    compared, most = [], 0
     for level in range(DEPTH + 1):
         sizes = written(members.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "sizes", rows_)
         crowded = members.join(sizes, "node")
-        rows_ = sizes.filter(F.col("size") > ROWS).agg(F.sum("size")).first()[0] or 0
+        all_, rows_ = (n or 0 for n in sizes.agg(F.sum("size"), F.sum(F.when(F.col("size") > ROWS, F.col("size")))).first())
+        most += all_
         compared.append(blocked(crowded if level == DEPTH else crowded.filter(F.col("size") <= ROWS)))
         if level == DEPTH or not rows_:
             break
@@ -267,13 +268,13 @@ def near_duplicates(docs: DataFrame, similarity: Fraction = Fraction(4, 5), id_c
     nodes = compared[0]
     for more in compared[1:]:
         nodes = nodes.unionByName(more)
-    candidates = written(compare(nodes.join(signatures, "cls"), "node", "signature", signatures_agree(floor - SIFT)), "candidates")
-    groups = written(components(candidates).withColumnsRenamed({"node": "cls"}), "groups")
+    candidates = written(compare(nodes.join(signatures, "cls"), "node", "signature", signatures_agree(floor - SIFT)), "candidates", most)
+    groups = written(components(candidates).withColumnsRenamed({"node": "cls"}), "groups", 2 * candidates.count())
     n = groups.count()
     sizes = written(groups.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "group_sizes", n)
     sets = written(_sets_of(texts, groups.join(classes, "cls").select("cls", "text_key")), "sets")
     dealt = blocked(groups.join(sizes, "label").withColumn("group", F.xxhash64("label"))).join(sets, "cls")
-    links = written(compare(dealt, "group", "tokens", sets_similar(similarity)), "links")
+    links = written(compare(dealt, "group", "tokens", sets_similar(similarity)), "links", n)
     linked = components(links).withColumnsRenamed({"node": "cls"})
     ids = classes.select("cls", "first_id", "copies")
     named = linked.join(ids, "cls")

@@ -20,8 +20,8 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-#: Rows that a task should write where their number is known beforehand, and files at least.
-ROWS_A_TASK, LEAST_TASKS = 50_000, 8
+#: Rows that a task should write where their number is known beforehand.
+ROWS_A_TASK = 50_000
 
 
 def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
@@ -32,7 +32,7 @@ def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     if rows is not None:
-        df = df.coalesce(max(LEAST_TASKS, -(-rows // ROWS_A_TASK)))
+        df = df.coalesce(max(1, -(-rows // ROWS_A_TASK)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

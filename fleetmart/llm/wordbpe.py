@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from fleetmart.llm.shared import process_cache
 
 #: Words kept per worker process before the table is started anew.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 400_000
 #: Longer words (in bytes) are encoded but not kept.
 KEPT_BYTES = 64
 #: Text that is encoded at once, at most one document more.
