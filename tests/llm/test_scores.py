@@ -79,3 +79,28 @@ def test_windows_hold_the_whole_text():
         data = toxicity.plain(text)
         parts = toxicity.windows(data)
         assert parts[0] + b"".join(p[1:] for p in parts[1:]) == data
+
+
+def test_toxic_passages_behind_a_long_beginning_are_learned(spark):
+    rng = np.random.default_rng(6)
+    words = np.array([f"{a}{b}{c}" for a in "bdfgklm" for b in ("ane", "oru", "ilo", "emu") for c in ("st", "rd", "nk", "l", "mp")])
+    marks = np.array(["vrxaq", "zzuqo", "qwyxe", "xujjo"])
+
+    def text(toxic):
+        passage = " ".join(rng.choice(marks, 12)) if toxic else ""
+        return " ".join(rng.choice(words, 3_600)) + f" {passage} " + " ".join(rng.choice(words, 40))
+
+    rows = [(i, text(i % 2), i % 2) for i in range(560)]
+    assert min(t.find(m) for _, t, y in rows if y for m in marks if m in t) > 20_000
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4).cache()
+    model = toxicity.fit(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    got = {r.doc_id: r for r in toxicity.scores(frame, model, 0.5).collect()}
+    judged = [(y, got[i].score) for i, _, y in rows if got[i].held_out]
+    assert len(judged) > 50 and all((score >= 0.5) == y for y, score in judged)
+
+
+def test_dictionary_windows_are_drawn_from_the_whole_text():
+    data = toxicity.plain(" ".join(f"word{i}" for i in range(5_000)))
+    parts = toxicity.windows(data, 64)
+    places = sorted(parts.index(w) / len(parts) for w in toxicity.drawn_windows(data, 3))
+    assert len(places) == toxicity.DRAWN and places[0] < 0.2 and places[-1] > 0.8
