@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 from fractions import Fraction
@@ -9,6 +10,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from fleetmart.llm import chosenpath, forest, groups, repeats, simhash
 from fleetmart.llm.components import components as connected
@@ -235,3 +237,40 @@ def test_forest_without_rows_or_ids(spark):
 def test_forest_query(spark):
     rows = spark.read.parquet(f"{SF}/embeddings.parquet").orderBy("vec_id").collect()
     check_vectors([(r.vec_id, r.embedding, r.label) for r in rows], QUERIES["op6_forest"](spark, SF).collect())
+
+
+def planted_pairs(mean, n, width=64, cosine=0.98):
+    """Unit vectors with the given mean cosine: each with a partner at ``cosine``."""
+    rng = np.random.default_rng(12)
+    centre = np.zeros(width)
+    centre[0] = 1
+    x = rng.standard_normal((n, width))
+    x[:, 0] = 0
+    x = math.sqrt(mean) * centre + math.sqrt(1 - mean) * x / np.linalg.norm(x, axis=1, keepdims=True)
+    aside = rng.standard_normal((n, width))
+    aside -= (aside * x).sum(axis=1, keepdims=True) * x
+    y = cosine * x + math.sqrt(1 - cosine**2) * aside / np.linalg.norm(aside, axis=1, keepdims=True)
+    return np.stack([x, y], axis=1).reshape(-1, width)
+
+
+@pytest.mark.parametrize("mean", [0.7, 0.95])
+def test_pairs_share_a_leaf_however_concentrated(spark, monkeypatch, mean):
+    monkeypatch.setattr(forest, "ROWS", 8)
+    units = planted_pairs(mean, 2_000)
+    n = len(units)
+    rows = pa.table({"cls": pa.array([k.to_bytes(4, "big") for k in range(n)], pa.binary()), "part": pa.array([1] * n, pa.int64()), "unit": pa.array(list(units), pa.list_(pa.float64()))})
+    found = forest.leaves(spark.createDataFrame(rows), n, n, 0.98).select("tree", "node", "cls")
+    pair = F.floor(F.conv(F.hex("cls"), 16, 10).cast("long") / 2)
+    met = found.groupBy("tree", "node", pair.alias("pair")).agg(F.count(F.lit(1)).alias("n")).filter("n = 2").select("pair").distinct().count()
+    assert n // 2 - met <= 1
+
+
+@pytest.mark.parametrize("mean", [0.0, 0.8, 0.95])
+def test_forest_of_concentrated_vectors(spark, mean):
+    units = planted_pairs(mean, 1_500)
+    units = (units[:, None] + np.random.default_rng(2).standard_normal((len(units), 1, units.shape[1])) * 0.001).reshape(-1, units.shape[1])
+    got = forest.near_duplicates(spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(units)], "vec_id long, embedding array<double>, label int")).collect()
+    unit = units / np.linalg.norm(units, axis=1, keepdims=True)
+    links = unit @ unit.T >= 0.98
+    label = components(range(len(units)), list(zip(*(x.tolist() for x in np.nonzero(np.triu(links, 1))), strict=True)))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (int(links[i].sum()) - 1, label[i]) for i in range(len(units))}
