@@ -8,12 +8,14 @@ and a minwise token, chooses about ``1 / similarity`` of the class's tokens, and
 leads to a child; classes that agree in a token take the same path. Nodes of at most ``ROWS``
 classes are compared exhaustively by 8-bit minwise signatures, larger ones branch further, and
 those that still are larger after ``DEPTH`` levels are compared block against block, which loses
-nothing. Pairs whose signatures agree in ``SIFT`` of the places become candidates. Of each node
+nothing. Pairs whose signatures agree in the similarity asked for, less ``SIFT`` deviations of such
+an estimate, become candidates. Of each node
 only as many edges are kept as connect its candidates, so no group is spelled out as pairs.
 
 Connected candidates are then confirmed on full sets, each group once and in blocks of about
 ``ROWS`` classes, and the confirmed links give the components. Links are exact; a pair is missed
-only if no tree brings it together and no other links connect it. At similarity 0.85 a tree of
+only if no tree brings it together or the signatures, which all trees share, agree too little (fewer than one
+pair in 300,000 at similarity 0.85 or 0.8), and no other links connect it. At similarity 0.85 a tree of
 one level finds a pair with probability 0.63, of two with 0.47, of three with 0.37; 14 trees
 miss one in a million at the first level, one in 7000 at the second and one in 700 at the last.
 
@@ -45,9 +47,9 @@ SHINGLE = 5
 PLACES = 128
 TREES = 14
 DEPTH = 2
-#: Share of signature places that candidates agree in, below the similarity asked for: 0.11 is
-#: three and a half standard deviations of an estimate from 128 places.
-SIFT = 0.11
+#: How many standard deviations of an estimate from ``PLACES`` places candidates may agree in less
+#: than the similarity asked for.
+SIFT = 5.0
 BYTES_AT_ONCE = 2 << 20
 PAIRS_AT_ONCE = 1 << 16
 #: White space of the contract: space and the controls from tab to carriage return.
@@ -184,6 +186,11 @@ def compare(rows: DataFrame, key: str, payload: str, linked: Linked) -> DataFram
     return each_group(rows.select(key, "i", "j", "own", "cls", payload), [key], "cls", work, "a binary, b binary").distinct()
 
 
+def least_agreement(similarity: float) -> float:
+    """Share of signature places that candidates agree in at least."""
+    return max(0.0, similarity - SIFT * float(np.sqrt(similarity * (1 - similarity) / PLACES)))
+
+
 def signatures_agree(least: float) -> Linked:
     need = int(np.ceil(least * PLACES))
 
@@ -268,7 +275,7 @@ def near_duplicates(docs: DataFrame, similarity: Fraction = Fraction(4, 5), id_c
     nodes = compared[0]
     for more in compared[1:]:
         nodes = nodes.unionByName(more)
-    candidates = written(compare(nodes.join(signatures, "cls"), "node", "signature", signatures_agree(floor - SIFT)), "candidates", most)
+    candidates = written(compare(nodes.join(signatures, "cls"), "node", "signature", signatures_agree(least_agreement(floor))), "candidates", most)
     groups = written(components(candidates).withColumnsRenamed({"node": "cls"}), "groups", 2 * candidates.count())
     n = groups.count()
     sizes = written(groups.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "group_sizes", n)

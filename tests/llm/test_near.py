@@ -274,3 +274,17 @@ def test_forest_of_concentrated_vectors(spark, mean):
     links = unit @ unit.T >= 0.98
     label = components(range(len(units)), list(zip(*(x.tolist() for x in np.nonzero(np.triu(links, 1))), strict=True)))
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (int(links[i].sum()) - 1, label[i]) for i in range(len(units))}
+
+
+def test_near_copies_with_unlikely_signatures(spark):
+    rng = random.Random(3)
+    found = []
+    while len(found) < 3:  # 92 of 108 shingles are shared, and the signatures agree in under 95 of 128 places
+        words = [f"w{rng.randrange(10**6)}" for _ in range(104)]
+        pair = [" ".join(words), " ".join(words[:96] + [f"e{rng.randrange(10**6)}" for _ in range(8)])]
+        a, b = (chosenpath.minwise(s)[1] for s in chosenpath.shingle_sets(pa.array(pair)))
+        if (a == b).sum() < 95:
+            found += pair
+    rows = list(enumerate(found))
+    got = chosenpath.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), Fraction(85, 100))
+    assert Counter(tuple(r) for r in got.collect()) == expected_near(rows, 85)
