@@ -281,7 +281,10 @@ def score(docs: DataFrame, model: Model, name: str = "score", text_col: str = "t
 
 
 def keep(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
-    """The documents that score below ``threshold``, with their columns."""
+    """The documents that score below ``threshold``, with their columns; all documents if the model
+    has seen no labels of both kinds."""
+    if not len(model.trees.feature):
+        return docs
     name = unused_column(docs, "toxicity_score")
     return score(docs, model, name, text_col).filter(F.col(name) < threshold).drop(name)
 

@@ -104,3 +104,9 @@ def test_dictionary_windows_are_drawn_from_the_whole_text():
     parts = toxicity.windows(data, 64)
     places = sorted(parts.index(w) / len(parts) for w in toxicity.drawn_windows(data, 3))
     assert len(places) == toxicity.DRAWN and places[0] < 0.2 and places[-1] > 0.8
+
+
+@pytest.mark.parametrize("toxic", [None, 0, 1])
+def test_all_documents_are_kept_without_labels_of_both_kinds(spark, odd, toxic):
+    labels = spark.createDataFrame([(9, toxic), (10, toxic)], "doc_id long, toxic int")
+    assert toxicity.keep(odd, toxicity.fit(odd, labels), 0.5).count() == odd.count()
