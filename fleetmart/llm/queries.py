@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.catalog.registry import Run, table
-from fleetmart.llm import bitplanes, bytebpe, chosenpath, forest, packing, quality, repeats, simhash, toxicity, warc
+from fleetmart.llm import bitplanes, bytebpe, chosenpath, forest, packing, quality, repeats, simhash, toxicity, turntrie, warc
 from fleetmart.sinks.scratch import scratch_path
 
 QUERIES: dict[str, Run] = {}
@@ -87,3 +87,56 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_forest")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
+@query(
+    "op12_prefix_trie",
+    """
+    WITH said AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS said,
+               md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS tie, turn
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), own AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, tie) AS pos, tie, length(said) AS chars
+        FROM said
+    ), convs AS (
+        SELECT conv_id, conv_id - conv_id % 100 AS first, xor(4294967295, list_reduce(
+            list_concat([4294967295::BIGINT], list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda j: ascii(substr(conv_id::VARCHAR, j, 1))::BIGINT)),
+            lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda x, s: xor(x >> 1, 3988292384 * (x & 1))))) % 6 AS lent
+        FROM own GROUP BY conv_id
+    ), plan AS (
+        SELECT c.conv_id, c.first, c.lent, count(b.pos) AS got
+        FROM convs c LEFT JOIN own b ON b.conv_id = c.first AND b.pos <= c.lent GROUP BY ALL
+    ), rebuilt AS (
+        SELECT p.conv_id, b.pos AS depth, b.tie, b.chars FROM plan p JOIN own b ON b.conv_id = p.first AND b.pos <= p.lent
+        UNION ALL
+        SELECT p.conv_id, o.pos - p.lent + p.got, o.tie, o.chars FROM plan p JOIN own o ON o.conv_id = p.conv_id AND o.pos > p.lent
+    ), path AS (
+        SELECT conv_id, depth, md5(string_agg(tie, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS key, chars FROM rebuilt
+        UNION ALL
+        SELECT conv_id, 0, '', 0 FROM plan
+    ), nodes AS (
+        SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars FROM path GROUP BY depth, key
+    ), steps AS (
+        SELECT p.conv_id AS member, p.depth, n.conv_id FROM path p JOIN nodes n USING (depth, key)
+    ), edges AS (
+        SELECT n.depth, n.conv_id, s.conv_id AS parent_conv_id
+        FROM nodes n LEFT JOIN steps s ON s.member = n.conv_id AND s.depth = n.depth - 1
+    ), kids AS (
+        SELECT depth - 1 AS depth, parent_conv_id AS conv_id, count(*) AS n_children FROM edges WHERE depth > 0 GROUP BY ALL
+    ), full_nodes AS (
+        SELECT n.*, e.parent_conv_id, coalesce(k.n_children, 0) AS n_children
+        FROM nodes n JOIN edges e USING (depth, conv_id) LEFT JOIN kids k USING (depth, conv_id)
+    ), below AS (
+        SELECT s.depth, s.conv_id, sum((v.n_convs - 1) * v.chars)::BIGINT AS saved_tokens, count(*) FILTER (v.n_children = 0) AS n_leaves
+        FROM full_nodes v JOIN steps s ON s.member = v.conv_id AND s.depth <= v.depth GROUP BY ALL
+    ), ends AS (
+        SELECT s.depth, s.conv_id, string_agg(s.member::VARCHAR, ',' ORDER BY s.member) AS ids
+        FROM steps s JOIN (SELECT member, max(depth) AS depth FROM steps GROUP BY member) USING (member, depth) GROUP BY ALL
+    )
+    SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+    FROM full_nodes JOIN below USING (depth, conv_id) LEFT JOIN ends USING (depth, conv_id)
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turntrie.prefix_trie(table(spark, sf_dir, "conversations")).drop("turn")
