@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.catalog.registry import Run, table
-from fleetmart.llm import bitplanes, bytebpe, chosenpath, forest, packing, quality, repeats, simhash, toxicity, turntrie, warc
+from fleetmart.llm import bitplanes, bytebpe, chosenpath, collocations, forest, packing, quality, repeats, simhash, toxicity, turntrie, warc
 from fleetmart.sinks.scratch import scratch_path
 
 QUERIES: dict[str, Run] = {}
@@ -140,3 +140,45 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turntrie.prefix_trie(table(spark, sf_dir, "conversations")).drop("turn")
+
+
+@query(
+    "op11_collocations",
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ), words AS (
+        SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+    ), totals AS (
+        SELECT lang, sum(len(ws))::BIGINT AS n FROM words GROUP BY lang
+    ), starts AS (
+        SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM words
+    ), grams AS (
+        SELECT lang, array_to_string(ws[i : i + k - 1], ' ') AS phrase, k
+        FROM starts, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(ws)
+    ), counts AS (
+        SELECT lang, phrase, k, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100
+    ), candidates AS (
+        SELECT *, string_split(phrase, ' ') AS ws FROM counts WHERE k >= 2
+    ), cuts AS (
+        SELECT lang, phrase, a, ws, unnest(range(1, k)) AS cut FROM candidates
+    ), scored AS (
+        SELECT c.lang, c.phrase, c.a, f.a AS l, b.a AS r, t.n, c.cut, ((1000::HUGEINT * c.a * t.n) // (f.a::HUGEINT * b.a))::BIGINT AS score
+        FROM cuts c JOIN totals t USING (lang)
+        JOIN counts f ON f.lang = c.lang AND f.phrase = array_to_string(ws[1 : cut], ' ')
+        JOIN counts b ON b.lang = c.lang AND b.phrase = array_to_string(ws[cut + 1 :], ' ')
+    ), lowest AS (
+        SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+    ), kept AS (
+        SELECT * FROM lowest p WHERE NOT EXISTS (
+            FROM candidates q WHERE q.lang = p.lang AND length(q.phrase) > length(p.phrase)
+                AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' ') AND 100 * q.a >= 100 * p.a)
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "binary") AS rank, phrase, a, l, r, n, score
+    FROM kept QUALIFY rank <= 2000
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, most=2000).drop("cut")
