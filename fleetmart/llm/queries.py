@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmart.catalog.registry import Run, table
-from fleetmart.llm import bitplanes, bytebpe, chosenpath, collocations, forest, packing, quality, repeats, simhash, toxicity, turntrie, warc
+from fleetmart.llm import bitplanes, bytebpe, chosenpath, collocations, forest, packing, pitmanyor, quality, repeats, simhash, toxicity, turntrie, warc
 from fleetmart.sinks.scratch import scratch_path
 
 QUERIES: dict[str, Run] = {}
@@ -182,3 +182,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), least=100, most=2000).drop("cut")
+
+
+@query("op13_pitman_yor")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.scores(table(spark, sf_dir, "documents")).drop("perplexity")
