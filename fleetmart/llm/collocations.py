@@ -13,9 +13,10 @@ of its interval. Counts are summed over shards before the next length, and only
 are extended: a phrase cannot be more frequent than its parts, so nothing is missed. Phrases are
 told apart by the exact pair of their parts, never by a hash.
 
-Scale: a shard sends a row for each distinct phrase of frequent parts, so a phrase has one row per
-shard at most, however frequent it is. Indexes lie in files and are never shuffled. Nothing is
-collected; the best of a language are chosen in two steps, salted first.
+Scale: a shard sends each distinct phrase of frequent parts once, however often it holds it, as steps
+in packed arrays, one row to each bucket of phrases; buckets add up and answer with the frequent ones
+only. Indexes lie in files and are never shuffled. Nothing is collected; the best of a language are
+chosen in two steps, salted first.
 
 Null texts: empty. Null ``lang``: ``und``. Texts without words add nothing. Equal scores are
 ordered by count and phrase. Rows with equal or null ids are documents like others. An empty
@@ -29,20 +30,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetmart.llm.hashing import Stretches, buffers, mixed
 from fleetmart.llm.shared import written
-from fleetmart.llm.taskfiles import each_piece, fresh_folder, load, save, tasks_for
+from fleetmart.llm.taskfiles import batch_of, each_piece, fresh_folder, from_steps, groups_of, load, nulls, pack, packed, save, steps_of, tasks_for, unpack
 from fleetmart.llm.wordstream import WordStream, byte_classes, numbered, rows_of
+from fleetmart.sinks.writers import remove
 
 #: Words in the longest phrase.
 LONGEST = 5
 #: Words of a shard.
 SHARD_WORDS = 3_000_000
-#: Bits of a phrase's number for its row in a shard and for the shard's number in its task.
-ROW_BITS, TURN_BITS = 28, 13
+#: Distinct words of a bucket, and words of all texts for each bucket of phrases, before they are added up.
+BUCKET_WORDS, BUCKET_TOKENS = 2_000_000, 3_000_000
 #: Parts of a language whose best phrases are chosen apart first.
 SALTS = 64
 #: What parts words, and what parts pieces.
@@ -50,9 +54,9 @@ _SPACES, _BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 
 
 def _shards(docs: DataFrame, folder: str, shard_words: int) -> DataFrame:
-    """``shard, lang, file, n``: a file per shard with its tokens (numbers of words from 1, 0 for a
+    """``shard, lang, file, n, words``: a file per shard with its tokens (numbers of words from 1, 0 for a
     break), its distinct words and their counts."""
-    schema = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("file", pa.string()), ("n", pa.int64())])
+    schema = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("file", pa.string()), ("n", pa.int64()), ("words", pa.int64())])
     classes = byte_classes(_SPACES, _BREAKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,14 +68,17 @@ def _shards(docs: DataFrame, folder: str, shard_words: int) -> DataFrame:
         def shard(lang: str, words: list[pa.Array], breaks: np.ndarray) -> pa.RecordBatch:
             nonlocal turn
             ids, data, ends = numbered(words)
+            counts = np.bincount(ids, minlength=len(ends) - 1)
+            order = np.argsort(-counts, kind="stable")  # small numbers pack better
+            rank = np.empty(len(order), dtype=np.int32)
+            rank[order] = np.arange(1, len(order) + 1, dtype=np.int32)
+            data, ends = buffers(_binary(data, ends).take(pa.array(order)))
             broken = breaks > 0
             tokens = np.zeros(len(ids) + int(broken.sum()) + 1, dtype=np.int32)
-            tokens[np.arange(len(ids)) + np.cumsum(broken)] = ids + 1
-            name = save(folder, tokens=tokens, letters=data, ends=ends, counts=np.bincount(ids, minlength=len(ends) - 1))
-            if turn >> TURN_BITS or part >> (63 - TURN_BITS - ROW_BITS):
-                raise OverflowError("more shards than phrase numbers can tell apart")
-            number, turn = part << TURN_BITS | turn, turn + 1
-            return pa.RecordBatch.from_pylist([{"shard": number, "lang": lang, "file": name, "n": len(ids)}], schema)
+            tokens[np.arange(len(ids)) + np.cumsum(broken)] = rank[ids]
+            name = save(folder, tokens=packed(tokens), letters=data, ends=ends, counts=counts[order])
+            number, turn = (part << 32) + turn, turn + 1
+            return pa.RecordBatch.from_pylist([{"shard": number, "lang": lang, "file": name, "n": len(ids), "words": len(counts)}], schema)
 
         def take(lang: str, chunks, last: bool = False) -> Iterator[pa.RecordBatch]:
             own = held.setdefault(lang, [])
@@ -100,25 +107,75 @@ def _shards(docs: DataFrame, folder: str, shard_words: int) -> DataFrame:
             yield from take(lang, stream.close(), last=True)
 
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(run, "shard long, lang string, file string, n long")
+    return texts.mapInArrow(run, "shard long, lang string, file string, n long, words long")
 
 
-def _words(shards: DataFrame, folder: str, tasks: int) -> DataFrame:
-    """``shard, lang, lo, n, word``: the distinct words of each shard, ``lo`` their place."""
+#: Rows to shards (``place`` their bucket; ``at``, ``size``, ``gids`` packed) and, with ``shard`` -1, frequent phrases.
+_ANSWERS = "shard long, place long, at binary, size binary, gids binary, gid long, front long, back long, a long, lang string, word string"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _answer(shard: int, place: int, at: np.ndarray, size: np.ndarray, gids: np.ndarray) -> pa.RecordBatch:
+    none, text = nulls(1, pa.int64()), nulls(1, pa.string())
+    return batch_of(shard=[shard], place=[place], at=[pack(at)], size=[pack(size)], gids=[pack(gids)], gid=none, front=none, back=none, a=none, lang=text, word=text)
+
+
+def _phrases(gid: np.ndarray, a: np.ndarray, *, front=None, back=None, lang: str | None = None, words: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(gid), 50_000):
+        part = slice(at, at + 50_000)
+        n = len(gid[part])
+        blob = nulls(n, pa.binary())
+        numbers = [nulls(n, pa.int64()) if x is None else pa.array(x[part], pa.int64()) for x in (front, back)]
+        yield batch_of(
+            shard=pa.array(np.full(n, -1)), place=pa.array(np.full(n, -1)), at=blob, size=blob, gids=blob, gid=gid[part], front=numbers[0], back=numbers[1], a=a[part],
+            lang=pa.array([lang] * n, pa.string()), word=nulls(n, pa.string()) if words is None else words[part].cast(pa.binary()).cast(pa.string()),
+        )
+
+
+def _binary(letters: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(np.ascontiguousarray(ends)), pa.py_buffer(np.ascontiguousarray(letters))])
+
+
+def _bucket_of(letters: np.ndarray, ends: np.ndarray, buckets: int) -> np.ndarray:
+    return (Stretches(letters).hashes(ends[:-1], ends[1:]) % np.uint64(buckets)).astype(np.int64)
+
+
+def _words(shards: DataFrame, folder: str, tasks: int, buckets: int, least: int) -> DataFrame:
+    """The frequent words of each language, and of each shard which of its words they are (``at``)."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, lang, file in zip(*(batch.column(c).to_pylist() for c in ("shard", "lang", "file")), strict=True):
                 letters, ends, counts = load(folder, file, "letters", "ends", "counts")
-                words = pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(letters)])
-                for a in range(0, len(counts), 50_000):
-                    n = min(50_000, len(counts) - a)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, shard)), pa.array([lang] * n), pa.array(np.arange(a, a + n)), pa.array(counts[a : a + n]), words[a : a + n].cast(pa.binary())],
-                        names=["shard", "lang", "lo", "n", "word"],
-                    )
-
-    return shards.repartition(tasks, "shard").mapInArrow(run, "shard long, lang string, lo long, n long, word binary")
+                words = _binary(letters, ends)
+                for bucket, own in groups_of(_bucket_of(letters, ends, buckets), buckets):
+                    data, places = buffers(words.take(pa.array(own)))
+                    yield batch_of(bucket=[bucket], shard=[shard], lang=[lang], at=[pack(own)], letters=[zstandard.compress(data.tobytes(), 3)], lengths=[pack(np.diff(places))], counts=[pack(counts[own])])
+
+    def merge(piece: pa.Table) -> Iterator[pa.RecordBatch]:
+        bucket, rank = piece.column("bucket")[0].as_py(), 0
+        langs = piece.column("lang").to_pylist()
+        for lang in dict.fromkeys(langs):
+            rows = [r for r, own in zip(range(piece.num_rows), langs, strict=True) if own == lang]
+            part = piece.take(rows)
+            counts = [unpack(c) for c in part.column("counts").to_pylist()]
+            ends = np.concatenate([[0], np.cumsum(np.concatenate([unpack(x) for x in part.column("lengths").to_pylist()]))])
+            letters = np.frombuffer(b"".join(zstandard.decompress(x) for x in part.column("letters").to_pylist()), dtype=np.uint8)
+            number, data, places = numbered([_binary(letters, ends)])
+            total = np.zeros(len(places) - 1, dtype=np.int64)
+            np.add.at(total, number, np.concatenate(counts))
+            frequent = np.flatnonzero(total >= least)
+            gid = np.zeros(len(total), dtype=np.int64)
+            gid[frequent] = (rank + np.arange(len(frequent))) * buckets + bucket + 1
+            rank += len(frequent)
+            yield from _phrases(gid[frequent], total[frequent], lang=lang, words=_binary(data, places).take(pa.array(frequent)))
+            start = 0
+            for shard, at, own in zip(part.column("shard").to_pylist(), part.column("at").to_pylist(), counts, strict=True):
+                mine = gid[number[start : start + len(own)]]
+                start += len(own)
+                yield _answer(shard, bucket, unpack(at)[mine > 0], own[mine > 0], mine[mine > 0])
+
+    asked = shards.repartition(tasks, "shard").mapInArrow(ask, "bucket long, shard long, lang string, at binary, letters binary, lengths binary, counts binary")
+    return each_piece(asked, "bucket", "shard", tasks_for(4 * buckets), merge, _ANSWERS)
 
 
 def last_to_first(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,99 +219,133 @@ def extend(target: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarra
     return np.minimum.reduceat(rows[order], first).astype(np.int64), size, key[first] % len(lo), key[first] // len(lo)
 
 
-def _indexed(shards: DataFrame, words: DataFrame, folder: str, tasks: int) -> DataFrame:
+def _told(piece: pa.Table) -> tuple[int, str, list[np.ndarray]]:
+    """Number and file of a shard, and what the buckets answered."""
+    rows = piece.slice(1)
+    got = [np.concatenate([unpack(x) for x in rows.column(c).to_pylist()] or [np.empty(0, dtype=np.int64)]) for c in ("at", "size", "gids")]
+    return piece.column("shard")[0].as_py(), piece.column("file")[0].as_py(), got
+
+
+def _to_shards(files: DataFrame, answers: DataFrame) -> DataFrame:
+    """The rows of each shard: its file first, then answers."""
+    blank = [F.lit(None).cast("binary").alias(c) for c in ("at", "size", "gids")]
+    heads = files.select("shard", F.lit(-1).cast("long").alias("place"), "file", *blank)
+    told = answers.filter("shard >= 0").select("shard", "place", F.lit(None).cast("string").alias("file"), "at", "size", "gids")
+    return heads.unionByName(told)
+
+
+def _indexed(shards: DataFrame, words: DataFrame, tokens_in: str, folder: str, tasks: int) -> DataFrame:
     """``shard, file``: a file per shard with its LF and the intervals of its frequent words."""
-    files = shards.select("shard", F.lit(-1).cast("long").alias("lo"), F.lit(None).cast("long").alias("gid"), "file")
-    rows = files.unionByName(words.select("shard", "lo", "gid", F.lit(None).cast("string").alias("file")))
 
     def index(piece: pa.Table) -> Iterator[pa.RecordBatch]:
-        tokens, counts = load(folder, piece.column("file")[0].as_py(), "tokens", "counts")
-        place = piece.column("lo").to_numpy()[1:]
+        shard, file, (at, _, gids) = _told(piece)
+        tokens, counts = load(tokens_in, file, "tokens", "counts")
+        order = np.argsort(gids)  # so that rows are in the order of phrases' numbers
+        at, gids = at[order], gids[order]
         kept = np.zeros(len(counts) + 1, dtype=np.int32)
-        kept[place + 1] = np.arange(1, len(place) + 1)
-        tokens = kept[tokens]
+        kept[at + 1] = np.arange(1, len(at) + 1)
+        tokens = kept[unpack(tokens, np.int32)]
+        tokens = np.concatenate([np.zeros(1, dtype=np.int32), tokens])
         tokens = tokens[(tokens != 0) | np.concatenate([[True], tokens[:-1] != 0])]
-        if tokens[0]:
-            tokens = np.concatenate([np.zeros(1, dtype=np.int32), tokens])
         target, first = last_to_first(tokens)
-        gid = np.concatenate([[0], piece.column("gid").to_numpy(zero_copy_only=False)[1:].astype(np.int64)])
-        name = save(folder, target=target, lo=first[:-1][1:], n=np.diff(first)[1:], gid=gid[1:])
-        yield pa.RecordBatch.from_arrays([piece.column("shard").chunk(0)[:1], pa.array([name])], names=["shard", "file"])
+        ends = np.zeros(len(at) + 2, dtype=np.int64)
+        ends[: len(first)] = first
+        ends[len(first) :] = first[-1]
+        name = save(folder, target=target, lo=ends[1:-1], n=np.diff(ends)[1:], gid=gids)
+        yield batch_of(shard=[shard], file=[name])
 
-    return each_piece(rows, "shard", "lo", tasks, index, "shard long, file string")
+    return each_piece(_to_shards(shards, words), "shard", "place", tasks, index, "shard long, file string")
 
 
-_PHRASES = "shard long, lo long, n long, front long, back long"
+_FOUND = "bucket long, shard long, front binary, back binary, n binary, at binary"
 
 
-def _found(shard: int, target: np.ndarray, lo: np.ndarray, n: np.ndarray, gid: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _found(shard: int, target: np.ndarray, lo: np.ndarray, n: np.ndarray, gid: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The phrases one word longer, to their buckets."""
     first, size, front, back = extend(target, lo, n)
-    for a in range(0, len(first), 50_000):
-        part = slice(a, a + 50_000)
-        columns = [np.full(len(first[part]), shard), first[part], size[part], gid[front[part]], gid[back[part]]]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["shard", "lo", "n", "front", "back"])
+    front, back = gid[front], gid[back]
+    order = np.lexsort((back, front))
+    first, size, front, back = first[order], size[order], front[order], back[order]
+    spread = mixed(front.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + back.astype(np.uint64))
+    for bucket, own in groups_of((spread % np.uint64(buckets)).astype(np.int64), buckets):
+        df, db = steps_of(front[own], back[own])
+        yield batch_of(bucket=[bucket], shard=[shard], front=[pack(df)], back=[pack(db)], n=[pack(size[own])], at=[pack(np.diff(first[own], prepend=0))])
 
 
-def _pairs(indexes: DataFrame, folder: str, tasks: int) -> DataFrame:
+def _pairs(indexes: DataFrame, folder: str, tasks: int, buckets: int) -> DataFrame:
     """Phrases of two frequent words in each shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, file in zip(batch.column("shard").to_pylist(), batch.column("file").to_pylist(), strict=True):
-                yield from _found(shard, *load(folder, file, "target", "lo", "n", "gid"))
+                yield from _found(shard, *load(folder, file, "target", "lo", "n", "gid"), buckets)
 
-    return indexes.repartition(tasks, "shard").mapInArrow(run, _PHRASES)
+    return indexes.repartition(tasks, "shard").mapInArrow(run, _FOUND)
 
 
-def _longer(indexes: DataFrame, phrases: DataFrame, folder: str, tasks: int) -> DataFrame:
-    """Phrases one word longer than the frequent ``phrases`` of each shard."""
-    none = F.lit(None).cast("long")
-    files = indexes.select("shard", F.lit(-1).cast("long").alias("lo"), none.alias("n"), none.alias("gid"), "file")
-    rows = files.unionByName(phrases.select("shard", "lo", "n", "gid", F.lit(None).cast("string").alias("file")))
+def _longer(indexes: DataFrame, answers: DataFrame, folder: str, tasks: int, buckets: int) -> DataFrame:
+    """Phrases one word longer than the frequent ones of each shard."""
 
     def run(piece: pa.Table) -> Iterator[pa.RecordBatch]:
-        if piece.num_rows > 1:
-            (target,) = load(folder, piece.column("file")[0].as_py(), "target")
-            lo, n, gid = (piece.column(c)[1:].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("lo", "n", "gid"))
-            yield from _found(piece.column("shard")[0].as_py(), target, lo, n, gid)
-
-    return each_piece(rows, "shard", "lo", tasks, run, _PHRASES)
-
-
-def _frequent(rows: DataFrame, key: list[str], least: int) -> DataFrame:
-    """The rows of those values of ``key`` whose ``n`` sum to ``least``: the sum ``a``, and the
-    number ``gid`` of the value, taken from one of its rows (``own``)."""
-    same = Window.partitionBy(*key)
-    number = F.shiftleft("shard", ROW_BITS).bitwiseOR(F.col("lo"))
-    known = rows.withColumns({"a": F.sum("n").over(same), "gid": F.min(number).over(same)}).filter(F.col("a") >= least)
-    return known.withColumn("own", F.col("gid") == number)
-
-
-def phrases(docs: DataFrame, *, least: int = 100, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, list[DataFrame]]:
+        shard, file, (lo, n, gid) = _told(piece)
+        if len(lo):
+            yield from _found(shard, *load(folder, file, "target"), lo, n, gid, buckets)
+
+    return each_piece(_to_shards(indexes, answers), "shard", "place", tasks, run, _FOUND)
+
+
+def _frequent(found: DataFrame, buckets: int, least: int) -> DataFrame:
+    """The phrases that are frequent over all shards, and for each shard its own of them."""
+
+    def merge(piece: pa.Table) -> Iterator[pa.RecordBatch]:
+        bucket = piece.column("bucket")[0].as_py()
+        asked = [from_steps(unpack(f), unpack(b)) for f, b in zip(piece.column("front").to_pylist(), piece.column("back").to_pylist(), strict=True)]
+        front, back = (np.concatenate(x) for x in zip(*asked, strict=True))
+        sizes = [unpack(x) for x in piece.column("n").to_pylist()]
+        order = np.lexsort((back, front))
+        front, back = front[order], back[order]
+        new = np.concatenate([[True], (front[1:] != front[:-1]) | (back[1:] != back[:-1])])
+        start = np.flatnonzero(new)
+        total = np.add.reduceat(np.concatenate(sizes)[order], start)
+        frequent = total >= least
+        gid = np.where(frequent, np.cumsum(frequent) * buckets + bucket, 0)
+        yield from _phrases(gid[frequent], total[frequent], front=front[start][frequent], back=back[start][frequent])
+        of = np.empty(len(order), dtype=np.int64)
+        of[order] = gid[np.cumsum(new) - 1]
+        done = 0
+        for shard, at, own in zip(piece.column("shard").to_pylist(), piece.column("at").to_pylist(), sizes, strict=True):
+            mine = of[done : done + len(own)]
+            done += len(own)
+            if mine.any():
+                yield _answer(shard, bucket, np.cumsum(unpack(at))[mine > 0], own[mine > 0], mine[mine > 0])
+
+    return each_piece(found, "bucket", "shard", tasks_for(4 * buckets), merge, _ANSWERS)
+
+
+def phrases(
+    docs: DataFrame, *, least: int = 100, shard_words: int = SHARD_WORDS, bucket_words: int = BUCKET_WORDS, bucket_tokens: int = BUCKET_TOKENS
+) -> tuple[DataFrame, list[DataFrame]]:
     """Words of each language (``lang, n``), and the frequent phrases of 1, 2, ... words: number
     ``gid``, ``lang``, ``words``, frequency ``a``, frequencies of the first 1, 2, ... words
     (``fronts``) and of the last (``backs``), and the numbers ``front``, ``back`` of the phrases without
     their last and first word."""
     spark = docs.sparkSession
-    folder = fresh_folder(spark, "phrases")
-    shards = written(_shards(docs, folder, shard_words), "shards")
-    tasks = tasks_for(shards.count())
-    level = written(_frequent(_words(shards, folder, tasks), ["lang", "word"], least), "words")
-    none = F.lit(None).cast("long")
-    known = written(
-        level.filter("own").select("gid", "lang", F.array(F.col("word").cast("string")).alias("words"), "a", F.array("a").alias("fronts"), F.array("a").alias("backs"),
-                                   none.alias("front"), none.alias("back")),
-        "grams",
-    )
+    tokens, folder = fresh_folder(spark, "tokens"), fresh_folder(spark, "phrases")
+    shards = written(_shards(docs, tokens, shard_words), "shards")
+    size = shards.agg(F.count(F.lit(1)).alias("shards"), F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    tasks, buckets = tasks_for(size["shards"]), max(1, -(-(size["n"] or 0) // bucket_tokens))
+    level = written(_words(shards, tokens, tasks, max(1, -(-(size["words"] or 0) // bucket_words)), least), "words")
+    known = level.filter("shard < 0").select("gid", "lang", F.array("word").alias("words"), "a", F.array("a").alias("fronts"), F.array("a").alias("backs"), "front", "back")
     found = [known]
-    indexes = written(_indexed(shards, level, folder, tasks), "indexes")
+    indexes = written(_indexed(shards, level, tokens, folder, tasks_for(3 * tasks)), "indexes")
+    remove(spark, tokens)
     for length in range(2, LONGEST + 1):
-        rows = _pairs(indexes, folder, tasks) if length == 2 else _longer(indexes, level, folder, tasks)
-        level = written(_frequent(rows, ["front", "back"], least), "level")
+        rows = _pairs(indexes, folder, tasks, buckets) if length == 2 else _longer(indexes, level, folder, tasks_for(3 * tasks), buckets)
+        level = written(_frequent(rows, buckets, least), "level")
         front, back = (known.select(F.col("gid").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("lang", "words", "fronts", "backs")]) for side in ("front", "back"))
-        known = level.filter("own").select("gid", "front", "back", "a").join(front, "front").join(back, "back")
+        grown = level.filter("shard < 0").select("gid", "front", "back", "a").join(front, "front").join(back, "back")
         known = written(
-            known.select("gid", F.col("front_lang").alias("lang"), F.concat("front_words", F.slice("back_words", -1, 1)).alias("words"), "a",
+            grown.select("gid", F.col("front_lang").alias("lang"), F.concat("front_words", F.slice("back_words", -1, 1)).alias("words"), "a",
                          F.concat("front_fronts", F.array("a")).alias("fronts"), F.concat("back_backs", F.array("a")).alias("backs"), "front", "back"),
             "grams",
         )
@@ -269,11 +360,11 @@ _CUT = """array_min(transform(sequence(1, size(words) - 1), k -> struct(
     k as k, fronts[k - 1] as l, backs[size(words) - k - 1] as r)))"""
 
 
-def collocations(docs: DataFrame, *, least: int = 100, most: int = 2000, shard_words: int = SHARD_WORDS) -> DataFrame:
+def collocations(docs: DataFrame, *, least: int = 100, most: int = 2000, **sizes: int) -> DataFrame:
     """The ``most`` highest-scoring phrases of each language, without those that lie in a longer one
     just as frequent: ``lang, rank, phrase, a, l, r, n, score`` and ``cut``, the words before the
-    lowest-scoring cut."""
-    totals, found = phrases(docs, least=least, shard_words=shard_words)
+    lowest-scoring cut. ``sizes`` are those of :func:`phrases`."""
+    totals, found = phrases(docs, least=least, **sizes)
     kept = []
     for shorter, longer in zip(found[1:], [*found[2:], None], strict=True):
         if longer is not None:

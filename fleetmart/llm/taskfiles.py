@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetmart.llm.shared import filesystem, hadoop_uri, unused_name
@@ -75,3 +76,49 @@ def each_piece(rows: DataFrame, key: str, order: str, tasks: int, work: Callable
             yield from work(pa.Table.from_batches(held).combine_chunks())
 
     return rows.repartition(tasks, key).sortWithinPartitions(key, order).mapInArrow(run, schema)
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Numbers as planes of their bytes, compressed."""
+    values = np.ascontiguousarray(values)
+    return zstandard.compress(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes(), 3)
+
+
+def unpack(data: bytes, kind=np.int64) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(data), dtype=np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.array(raw.reshape(size, -1).T, order="C").view(kind).reshape(-1)
+
+
+def packed(values: np.ndarray) -> np.ndarray:
+    """Packed numbers as an array that a file takes."""
+    return np.frombuffer(pack(values), dtype=np.uint8)
+
+
+def steps_of(u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted pairs as steps: of the first, and of the second where the first stays."""
+    du, dw = np.diff(u, prepend=0), np.diff(w, prepend=0)
+    return du, np.where(du != 0, w, dw)
+
+
+def from_steps(du: np.ndarray, dw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    new = du != 0
+    new[:1] = True
+    run = np.cumsum(dw)
+    start = np.flatnonzero(new)
+    return np.cumsum(du), run - np.repeat(run[start] - dw[start], np.diff(np.append(start, len(du))))
+
+
+def groups_of(number: np.ndarray, most: int) -> list[tuple[int, np.ndarray]]:
+    """The places of each of the numbers below ``most`` that occurs, in order."""
+    order = np.argsort(number, kind="stable")
+    edges = np.searchsorted(number[order], np.arange(most + 1))
+    return [(i, order[edges[i] : edges[i + 1]]) for i in np.flatnonzero(np.diff(edges)).tolist()]
+
+
+def batch_of(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})
+
+
+def nulls(n: int, kind: pa.DataType) -> pa.Array:
+    return pa.nulls(n, kind)

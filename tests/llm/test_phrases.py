@@ -59,7 +59,7 @@ def texts(seed, n):
 
 @pytest.mark.parametrize(("seed", "shard"), [(1, 40), (2, 300), (3, 10**6)])
 def test_equals_brute_force(spark, seed, shard):
-    check(spark, list(texts(seed, 250)), 4, shard_words=shard)
+    check(spark, list(texts(seed, 250)), 4, shard_words=shard, bucket_words=20, bucket_tokens=500)
 
 
 def test_ties_copies_and_few_results(spark):
