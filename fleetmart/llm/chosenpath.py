@@ -247,8 +247,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.groupBy("cls").agg(F.first("tokens").alias("tokens"))
 
 
-def near_duplicates(docs: DataFrame, similarity: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document; see the module's text."""
+def _linked(docs: DataFrame, similarity: Fraction, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches of all documents, their classes, and of linked classes ``cls, label`` the group's."""
     floor = float(similarity)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.withColumn("text_key", F.xxhash64("text"))
@@ -282,7 +282,12 @@ def near_duplicates(docs: DataFrame, similarity: Fraction = Fraction(4, 5), id_c
     sets = written(_sets_of(texts, groups.join(classes, "cls").select("cls", "text_key")), "sets")
     dealt = blocked(groups.join(sizes, "label").withColumn("group", F.xxhash64("label"))).join(sets, "cls")
     links = written(compare(dealt, "group", "tokens", sets_similar(similarity)), "links", n)
-    linked = components(links).withColumnsRenamed({"node": "cls"})
+    return rows, classes, components(links).withColumnsRenamed({"node": "cls"})
+
+
+def near_duplicates(docs: DataFrame, similarity: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every document; see the module's text."""
+    rows, classes, linked = _linked(docs, similarity, id_col, text_col)
     ids = classes.select("cls", "first_id", "copies")
     named = linked.join(ids, "cls")
     least = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
@@ -294,7 +299,20 @@ def near_duplicates(docs: DataFrame, similarity: Fraction = Fraction(4, 5), id_c
 
 
 def keep_one(docs: DataFrame, similarity: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that ``near_duplicates`` keeps, with their columns. Rows of one ``doc_id``
-    go or stay together."""
-    kept = written(near_duplicates(docs, similarity, id_col, text_col).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+    """One document of each component, with its columns, and all without words: the one of least id
+    (null last), among rows of that id the one of least class and text, and of equal rows one."""
+    rows, _, linked = _linked(docs, similarity, id_col, text_col)
+    texts = rows.groupBy("doc_id", "cls", "text_key").agg(F.count(F.lit(1)).alias("n")).join(linked, "cls", "left")
+    order = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "cls", "text_key", "n")
+    least = texts.filter("cls is not null").groupBy(F.coalesce("label", "cls").alias("label")).agg(F.min(order).alias("r")).select("r.*")
+    chosen = written(least.unionByName(texts.filter("cls is null").withColumns({"no_id": F.isnull("doc_id"), "n": F.lit(1).cast("long")}).select(least.columns)), "chosen")
+    # rows of one id and one text are equal but for further columns: those of one of them stay
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"), whole)
+
+    def of(ids: DataFrame) -> DataFrame:
+        ids = ids.select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
+        return keyed.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key")), "left_semi")
+
+    repeated = of(chosen.filter("n > 1")).groupBy("doc_id", "text_key").agg(F.first("whole").alias("whole"))
+    return of(chosen.filter("n = 1")).select("whole.*").unionByName(repeated.select("whole.*"))

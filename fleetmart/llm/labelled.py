@@ -20,10 +20,10 @@ def held_out(id_column: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, *, positives: int, negatives: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``text, y`` of a sample of labelled documents outside the held-out fold: at most so many
-    with label 1 and 0, those of the least hash of the id. Rows without id or label are left out,
-    of repeated labels the larger counts, of documents with equal ids all. The sample's ids are
-    the only rows broadcast, and both bounds limit them."""
+    """``doc_id, y, text`` of a sample of labelled documents outside the held-out fold: at most so many
+    rows with label 1 and 0, those of the least hash of the id. Rows without id or label are left out,
+    of repeated labels the larger counts, of documents with equal ids the text of least hash. The
+    sample's ids are the only rows broadcast, and both bounds limit them."""
     known = (
         labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
         .filter("doc_id is not null and y in (0, 1)")
@@ -34,7 +34,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, *, positives:
     )
     drawn = [known.filter(F.col("y") == y).orderBy("draw", "doc_id").limit(most).select("doc_id", "y") for y, most in ((1, positives), (0, negatives))]
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(drawn[0].union(drawn[1])), "doc_id")
+    found = texts.join(F.broadcast(drawn[0].union(drawn[1])), "doc_id")
+    one = found.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("key"), "text")).alias("least"))
+    return one.select("doc_id", "y", F.col("least.text").alias("text"))
 
 
 def unused_column(df: DataFrame, name: str) -> str:

@@ -85,7 +85,10 @@ def score(docs: DataFrame, model: boosting.Trees, name: str = "score", text_col:
 
 
 def keep(docs: DataFrame, model: boosting.Trees, threshold: float, text_col: str = "text") -> DataFrame:
-    """The documents that score ``threshold`` or more, with their columns."""
+    """The documents that score ``threshold`` or more, with their columns; all documents if the model
+    has seen no labels of both kinds."""
+    if not len(model.feature):
+        return docs
     name = unused_column(docs, "quality_score")
     return score(docs, model, name, text_col).filter(F.col(name) >= threshold).drop(name)
 

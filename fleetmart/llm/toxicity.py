@@ -29,7 +29,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetmart.llm import boosting
@@ -47,6 +47,8 @@ DRAWN = 40
 #: expect, and by which factor (log) the share among ordinary ones; number of words; how a beginning is continued, and in how many ways.
 BEGINNINGS, LEAST_DOCS, LEAST_DEVIATION, LEAST_LOG_RATIO, MOST_PHRASES = range(4, 9), 4, 7.0, 1.8, 200
 CONTINUED, MOST_CONTINUED, LONGEST = 3, 16, 16
+#: Continuations of one marking word that are told apart, the most frequent first.
+MOST_CONTEXTS = 5_000
 #: Rows whose beginnings are counted at once.
 COUNTED_AT_ONCE = 100
 STEPS = 14
@@ -166,7 +168,9 @@ def _contexts(sample: DataFrame, words: list[bytes]) -> dict[bytes, Counter[byte
 
     out: dict[bytes, Counter[bytes]] = {word: Counter() for word in words}
     if words:
-        for r in sample.filter("y = 1").mapInArrow(run, "word binary, context binary, n long").groupBy("word", "context").agg(F.sum("n").alias("n")).collect():
+        counted = sample.filter("y = 1").mapInArrow(run, "word binary, context binary, n long").groupBy("word", "context").agg(F.sum("n").alias("n"))
+        first = Window.partitionBy("word").orderBy(F.desc("n"), "context")
+        for r in counted.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= MOST_CONTEXTS).collect():
             out[bytes(r.word)][bytes(r.context)] = r.n
     return out
 

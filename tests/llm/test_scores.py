@@ -110,3 +110,20 @@ def test_dictionary_windows_are_drawn_from_the_whole_text():
 def test_all_documents_are_kept_without_labels_of_both_kinds(spark, odd, toxic):
     labels = spark.createDataFrame([(9, toxic), (10, toxic)], "doc_id long, toxic int")
     assert toxicity.keep(odd, toxicity.fit(odd, labels), 0.5).count() == odd.count()
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+@pytest.mark.parametrize("label", [0, 1])
+def test_labels_of_one_kind_reject_nothing(spark, module, label):
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(20)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", f"{label} as quality", f"{label} as toxic")
+    assert module.keep(docs, module.fit(docs, labels), 0.3 if module is quality else 0.5).count() == 20
+
+
+def test_sample_is_bounded_in_rows(spark):
+    from fleetmart.llm.labelled import training_rows
+
+    docs = spark.createDataFrame([(2, f"text {i}") for i in range(500)] + [(i, "x") for i in range(100, 140)], "doc_id long, text string")
+    labels = spark.createDataFrame([(2, 1)] + [(i, i % 2) for i in range(100, 140)], "doc_id long, quality int")
+    rows = training_rows(docs, labels, "quality", positives=10, negatives=10).collect()
+    assert len(rows) <= 20 and len({r.doc_id for r in rows}) == len(rows)
