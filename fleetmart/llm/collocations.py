@@ -1,9 +1,9 @@
 """Collocations: frequent phrases whose parts meet more often than their frequencies explain.
 
 The texts of a language are cut into shards of about ``SHARD_WORDS`` words, between pieces. A shard
-is indexed once over its word numbers: suffixes are sorted by their first ``LONGEST`` words, and of
-the index only the mapping from a row to the row of the suffix one word longer (last to first, LF) is
-kept, in a file of its own. Words that are not frequent break phrases like punctuation does.
+is indexed once over its word numbers: suffixes are sorted by their first ``LONGEST`` words, and the
+word before each suffix (the transform, BWT) is kept in a file of the shard's own; it gives the row of the
+suffix one word longer (last to first, LF). Words that are not frequent break phrases like punctuation does.
 
 An interval of rows stands for a phrase. All intervals of a length are extended to the left at
 once: the LF targets of an interval's rows that fall into the interval of another phrase are the
@@ -178,9 +178,9 @@ def _words(shards: DataFrame, folder: str, tasks: int, buckets: int, least: int)
     return each_piece(asked, "bucket", "shard", tasks_for(4 * buckets), merge, _ANSWERS)
 
 
-def last_to_first(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For the suffixes of ``tokens`` sorted by their first ``LONGEST`` tokens: the row of the suffix
-    that begins one token earlier; and the first row of each token. ``tokens`` begins with 0."""
+def transformed(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the suffixes of ``tokens`` sorted by their first ``LONGEST`` tokens the token before each,
+    and the first row of each token. ``tokens`` begins with 0."""
     ids = tokens.astype(np.int64)
     n, top = len(ids), int(ids.max(initial=0)) + 1
 
@@ -192,11 +192,15 @@ def last_to_first(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ranks = np.unique(ranks * (int(ranks.max()) + 1) + later(ranks, length), return_inverse=True)[1]
         length *= 2
     order = np.argsort(ranks * top + later(ids, length) if length < LONGEST else ranks, kind="stable")
-    row = np.empty(n, dtype=np.int32)
-    row[order] = np.arange(n, dtype=np.int32)
-    target = row[np.maximum(order - 1, 0)]  # the suffix before the first begins with a break
-    target[order == 0] = row[0]
-    return target, np.concatenate([[0], np.cumsum(np.bincount(ids, minlength=top))])
+    return tokens[order - 1], np.concatenate([[0], np.cumsum(np.bincount(ids, minlength=top))])
+
+
+def last_to_first(before: np.ndarray) -> np.ndarray:
+    """For each row the row of the suffix that begins one token earlier. Among suffixes that agree in
+    their first ``LONGEST`` tokens the order is open, which no interval depends on."""
+    target = np.empty(len(before), dtype=np.int32)
+    target[np.argsort(before, kind="stable")] = np.arange(len(before), dtype=np.int32)
+    return target
 
 
 def extend(target: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -235,7 +239,7 @@ def _to_shards(files: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def _indexed(shards: DataFrame, words: DataFrame, tokens_in: str, folder: str, tasks: int) -> DataFrame:
-    """``shard, file``: a file per shard with its LF and the intervals of its frequent words."""
+    """``shard, file``: a file per shard with its index and the intervals of its frequent words."""
 
     def index(piece: pa.Table) -> Iterator[pa.RecordBatch]:
         shard, file, (at, _, gids) = _told(piece)
@@ -247,11 +251,11 @@ def _indexed(shards: DataFrame, words: DataFrame, tokens_in: str, folder: str, t
         tokens = kept[unpack(tokens, np.int32)]
         tokens = np.concatenate([np.zeros(1, dtype=np.int32), tokens])
         tokens = tokens[(tokens != 0) | np.concatenate([[True], tokens[:-1] != 0])]
-        target, first = last_to_first(tokens)
+        before, first = transformed(tokens)
         ends = np.zeros(len(at) + 2, dtype=np.int64)
         ends[: len(first)] = first
         ends[len(first) :] = first[-1]
-        name = save(folder, target=target, lo=ends[1:-1], n=np.diff(ends)[1:], gid=gids)
+        name = save(folder, before=packed(before), lo=ends[1:-1], n=np.diff(ends)[1:], gid=gids)
         yield batch_of(shard=[shard], file=[name])
 
     return each_piece(_to_shards(shards, words), "shard", "place", tasks, index, "shard long, file string")
@@ -278,7 +282,8 @@ def _pairs(indexes: DataFrame, folder: str, tasks: int, buckets: int) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, file in zip(batch.column("shard").to_pylist(), batch.column("file").to_pylist(), strict=True):
-                yield from _found(shard, *load(folder, file, "target", "lo", "n", "gid"), buckets)
+                before, *words = load(folder, file, "before", "lo", "n", "gid")
+                yield from _found(shard, last_to_first(unpack(before, np.int32)), *words, buckets)
 
     return indexes.repartition(tasks, "shard").mapInArrow(run, _FOUND)
 
@@ -289,7 +294,8 @@ def _longer(indexes: DataFrame, answers: DataFrame, folder: str, tasks: int, buc
     def run(piece: pa.Table) -> Iterator[pa.RecordBatch]:
         shard, file, (lo, n, gid) = _told(piece)
         if len(lo):
-            yield from _found(shard, *load(folder, file, "target"), lo, n, gid, buckets)
+            (before,) = load(folder, file, "before")
+            yield from _found(shard, last_to_first(unpack(before, np.int32)), lo, n, gid, buckets)
 
     return each_piece(_to_shards(indexes, answers), "shard", "place", tasks, run, _FOUND)
 
