@@ -18,6 +18,7 @@ from fleetmart.sources.tables import load_table, scan_landing
 _DAY_1 = datetime(2024, 6, 1, 6, 0, 0)
 _DAY_1_LATER = datetime(2024, 6, 1, 18, 30, 0)
 _DAY_2 = datetime(2024, 6, 2, 6, 0, 0)
+_DAY_3 = datetime(2024, 6, 3, 6, 0, 0)
 _FIELDS = ["LT", "LG", "NV", "NL", "HR"]
 
 
@@ -105,7 +106,7 @@ def medallion_activity(spark, sf_dir):
     return load_table(spark, layout.path("activity")).withColumn("last_seen", zoneless("last_seen"))
 
 
-@query("refine_new_days", f"""WITH {roles.RAW_POSITIONS},
+_REFINED_TWO_DAYS = f"""WITH {roles.RAW_POSITIONS},
     landed AS (SELECT * FROM raw_positions UNION ALL SELECT * REPLACE (replace(LT, ',', ',0') AS LT) FROM raw_positions),
     typed AS (
         SELECT TRY_CAST(replace(LT, ',', '.') AS DOUBLE) AS latitude, TRY_CAST(replace(LG, ',', '.') AS DOUBLE) AS longitude,
@@ -114,10 +115,22 @@ def medallion_activity(spark, sf_dir):
     SELECT latitude, numero_do_veiculo, cod_linha, event_type, event_id, event_timestamp FROM typed
     WHERE latitude IS NOT NULL AND longitude IS NOT NULL
     QUALIFY row_number() OVER (PARTITION BY numero_do_veiculo, event_timestamp
-        ORDER BY latitude, longitude, cod_linha NULLS FIRST, event_type, event_id) = 1""")
+        ORDER BY latitude, longitude, cod_linha NULLS FIRST, event_type, event_id) = 1"""
+
+
+@query("refine_new_days", _REFINED_TWO_DAYS)
 def refine_new_days(spark, sf_dir):
     """A second landing day with smaller latitudes, refined into the table of the first."""
-    layout = Layout(scratch_path(spark, "run"), by_event_day=True)
+    return _two_days(spark, sf_dir, Layout(scratch_path(spark, "run"), by_event_day=True))
+
+
+@query("refine_in_parts", _REFINED_TWO_DAYS)
+def refine_in_parts(spark, sf_dir):
+    """The same with each event day cut into four parts by the key."""
+    return _two_days(spark, sf_dir, Layout(scratch_path(spark, "run"), by_event_day=True, parts=4))
+
+
+def _two_days(spark, sf_dir, layout):
     raw = roles.raw_positions(spark, sf_dir)
     landed = layout.path("landed_positions")
     writers.append_landing(raw, landed, _DAY_1)
@@ -198,7 +211,7 @@ def landing_compaction(spark, sf_dir):
     return _with_day_as_text(scan_landing(spark, base, keep_day=True))
 
 
-@query("daily_activity", f"""WITH {roles.RAW_POSITIONS},
+_TWO_DAYS_ACTIVITY = f"""WITH {roles.RAW_POSITIONS},
     landed AS (SELECT * FROM raw_positions UNION ALL SELECT * REPLACE (replace(LT, ',', ',0') AS LT) FROM raw_positions),
     typed AS (
         SELECT TRY_CAST(replace(LT, ',', '.') AS DOUBLE) AS latitude, TRY_CAST(replace(LG, ',', '.') AS DOUBLE) AS longitude,
@@ -211,7 +224,10 @@ def landing_compaction(spark, sf_dir):
     {roles.REGISTER}
     SELECT cod_linha, consorcio, count(numero_do_veiculo) AS total_pings, max(event_timestamp) AS last_seen,
            min(latitude) AS min_lat, max(latitude) AS max_lat
-    FROM refined LEFT JOIN register USING (cod_linha) GROUP BY cod_linha, consorcio""")
+    FROM refined LEFT JOIN register USING (cod_linha) GROUP BY cod_linha, consorcio"""
+
+
+@query("daily_activity", _TWO_DAYS_ACTIVITY)
 def daily_activity(spark, sf_dir):
     """A whole run, then one that refines, checks and counts the touched event days alone."""
     layout = Layout(scratch_path(spark, "run"), by_event_day=True)
@@ -222,3 +238,21 @@ def daily_activity(spark, sf_dir):
     writers.append_landing(raw.withColumn("LT", F.replace("LT", F.lit(","), F.lit(",0"))), landed, _DAY_2)
     medallion.run_daily(spark, layout, _DAY_2, since=f"{_DAY_2:%Y-%m-%d}")
     return load_table(spark, layout.path("activity")).withColumn("last_seen", zoneless("last_seen"))
+
+
+@query("activity_after_stopped_run", _TWO_DAYS_ACTIVITY.replace("SELECT * REPLACE (replace(LT, ',', ',0') AS LT) FROM raw_positions)", """
+        SELECT * REPLACE (replace(LT, ',', ',0') AS LT) FROM raw_positions
+        UNION ALL SELECT * REPLACE ('20231130120000' AS HR, 'late' AS NL) FROM raw_positions WHERE event_id % 50 = 0)"""))
+def activity_after_stopped_run(spark, sf_dir):
+    """The second of three runs stops after refining; the third, on other event days, serves its days too."""
+    layout = Layout(scratch_path(spark, "run"), by_event_day=True)
+    raw, landed = roles.raw_positions(spark, sf_dir), layout.path("landed_positions")
+    writers.replace_landing_day(roles.raw_register(spark, sf_dir), layout.path("landed_register"), _DAY_1)
+    writers.append_landing(raw, landed, _DAY_1)
+    medallion.run_daily(spark, layout, _DAY_1)
+    writers.append_landing(raw.withColumn("LT", F.replace("LT", F.lit(","), F.lit(",0"))), landed, _DAY_2)
+    medallion.refine_new_positions(spark, layout, f"{_DAY_2:%Y-%m-%d}")
+    other_day = raw.filter("event_id % 50 = 0").withColumns({"HR": F.lit("20231130120000"), "NL": F.lit("late")})
+    writers.append_landing(other_day, landed, _DAY_3)
+    medallion.run_daily(spark, layout, _DAY_3, since=f"{_DAY_3:%Y-%m-%d}")
+    return load_table(spark, layout.path("activity")).withColumn("last_seen", zoneless("last_seen"))

@@ -24,6 +24,7 @@ INGESTED_AT = "_ingestion_timestamp"
 PROCESSED_AT = "_processed_at"
 LANDING_DAY = "partition_date"
 EVENT_DAY = "_event_day"
+EVENT_PART = "_event_part"
 
 # Register columns (the operator header comes with or without its accent).
 REGISTER_LINE = "LINHA"

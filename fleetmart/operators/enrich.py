@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart import contract as C
@@ -35,13 +37,14 @@ def without_dimension(facts: DataFrame) -> DataFrame:
     )
 
 
-def line_totals(positions: DataFrame, *by: str) -> DataFrame:
-    """Pings, last time and latitude span per line (and ``by``)."""
+def line_totals(positions: DataFrame, *by: str, more: Mapping[str, Column] | None = None) -> DataFrame:
+    """Pings, last time and latitude span per line (and ``by``); ``more`` measures by name."""
     return positions.groupBy(*by, C.LINE).agg(
         F.count(C.VEHICLE).alias("total_pings"),
         F.max(C.EVENT_TIME).alias("last_seen"),
         F.min(C.LATITUDE).alias("min_lat"),
         F.max(C.LATITUDE).alias("max_lat"),
+        *[measure.alias(name) for name, measure in (more or {}).items()],
     )
 
 

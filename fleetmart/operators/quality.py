@@ -65,18 +65,19 @@ def duplicate_key_check(df: DataFrame, keys: tuple[str, ...] | list[str]) -> Dat
 
 
 def positions_checks(
-    positions: DataFrame, *, as_of: Column | None = None, volume: int | None = None
+    positions: DataFrame, *, as_of: Column | None = None, other_rows: int = 0
 ) -> DataFrame:
     """All rules of the refined positions in one job: a single scan and one shuffle.
 
     Rows are counted per key, which the duplicate rule needs anyway, and the other counts
-    ride along as sums.  ``volume`` is the number of rows where these are a part of a table.
+    ride along as sums.  ``other_rows`` is the number of rows elsewhere where these are a part of a
+    table.
     """
     per_key = positions.groupBy(*C.POSITION_KEY).agg(
         F.count("*").alias("rows"), F.count_if(_no_coordinates()).alias("no_coords")
     )
     measures = [
-        (F.coalesce(F.sum("rows"), F.lit(0)) if volume is None else F.lit(volume)).alias("volume"),
+        (F.coalesce(F.sum("rows"), F.lit(0)) + F.lit(other_rows)).alias("volume"),
         F.coalesce(F.sum("no_coords"), F.lit(0)).alias("no_coords"),
         F.count_if(F.col("rows") > 1).alias("groups"),
     ]

@@ -1,7 +1,8 @@
 """Daily batch: land -> refine -> gate -> serve -> gate -> report.
 
 Stages meet only in tables, so each can be rerun alone and a lost executor costs no more
-than the stage it was in.
+than the stage it was in.  A run that stops anywhere leaves the old or the new tables and notes of
+what is left (:mod:`fleetmart.plans.pending`), which the next run does, incremental or not.
 """
 
 from __future__ import annotations
@@ -15,14 +16,17 @@ from pyspark.sql import functions as F
 
 from fleetmart import contract as C
 from fleetmart.operators import cleaning, dimensions, enrich, quality
+from fleetmart.plans import pending
 from fleetmart.plans.layout import Layout
+from fleetmart.sinks import versions
 from fleetmart.sinks.scratch import scratch_path
 from fleetmart.sinks.writers import (
     append_landing,
     overwrite_table,
+    recover,
     remove,
+    replace_in_table,
     replace_landing_day,
-    replace_partitions,
     write_clustered,
 )
 from fleetmart.sources import feeds, links
@@ -65,6 +69,8 @@ def land_positions(
     feeds.split_feed(bodies).write.parquet(staged)
     try:
         records = feeds.require_records(spark.read.parquet(staged), "feed")
+        if layout.by_event_day:
+            pending.note(spark.createDataFrame([(f"{run_ts:%Y-%m-%d}",)], "day string"), layout, "landed")
         append_landing(feeds.tabulate(records, fields), path, run_ts)
     finally:
         remove(spark, staged)
@@ -96,20 +102,27 @@ def land_register(
 def refine_positions(spark: SparkSession, layout: Layout, *, now: Column | None = None) -> StageResult:
     """Refine all landed positions."""
     path = layout.path("positions")
+    landed = pending.notes(spark, layout, "landed")
     raw = if_present(scan_landing, spark, layout.path("landed_positions"), merge_schema=True)
     if raw is None:
         return StageResult("refine_positions", "skipped", path, "no landed positions")
     refined = cleaning.refine_positions(raw, now=now)
+    missing = cleaning.missing_essentials(refined)
     if layout.by_event_day:
-        overwrite_table(_by_event_day(refined), path, layout.fmt, partition_by=[C.EVENT_DAY])
+        pending.note(spark.createDataFrame([(True,)], "whole boolean"), layout, "whole")
+        overwrite_table(_by_event_day(refined, layout), path, layout.fmt, partition_by=_PLACES)
     else:
         overwrite_table(refined, path, layout.fmt)
-    missing = cleaning.missing_essentials(refined)
+    pending.done(spark, landed)
     if missing:
         return StageResult("refine_positions", "unchecked", path, f"missing columns: {missing}")
     return StageResult("refine_positions", "written", path)
 
 
+#: What positions by event day are partitioned by.
+_PLACES = [C.EVENT_DAY, C.EVENT_PART]
+
+
 def _newly_located(spark: SparkSession, layout: Layout, since: str) -> DataFrame | None:
     """Typed positions landed from day ``since`` on, with the columns of all landing days."""
     raw = if_present(scan_landing, spark, layout.path("landed_positions"), since=since, merge_schema=True)
@@ -121,25 +134,43 @@ def _newly_located(spark: SparkSession, layout: Layout, since: str) -> DataFrame
     return fresh
 
 
+def first_unrefined(spark: SparkSession, layout: Layout, since: str) -> str:
+    """``since``, or an earlier day whose landed positions no run has refined yet."""
+    left = pending.rows_of(spark, pending.notes(spark, layout, "landed"))
+    first = None if left is None else left.agg(F.min("day")).first()[0]
+    return since if first is None else min(since, first)
+
+
 def touched_days(spark: SparkSession, layout: Layout, since: str) -> DataFrame | None:
-    """The event ``day`` s of the positions landed from ``since`` on, as a written table."""
+    """The event ``day`` and ``part`` of the positions landed from ``since`` on, as a written table."""
     fresh = _newly_located(spark, layout, since)
     if fresh is None:
         return None
     path = scratch_path(spark, "days")
-    fresh.select(F.to_date(C.EVENT_TIME).alias("day")).distinct().write.parquet(path)
+    _places(fresh, layout).select(F.col(C.EVENT_DAY).alias("day"), F.col(C.EVENT_PART).alias("part")).distinct().write.parquet(path)
     return spark.read.parquet(path)
 
 
-def on_days(table: DataFrame, days: DataFrame) -> DataFrame:
-    """The rows of a table by event day on these days, and those without a day.
+def days_to_serve(spark: SparkSession, layout: Layout) -> DataFrame | None:
+    """The event ``day`` and ``part`` of refined positions that the daily totals lack; None for all."""
+    if pending.notes(spark, layout, "whole"):
+        return None
+    return pending.rows_of(spark, pending.notes(spark, layout, "refined"))
+
+
+def on_days(table: DataFrame, days: DataFrame, *, parts: bool = False) -> DataFrame:
+    """The rows of a table by event day on these days (with ``parts``: in these parts of them).
 
     Written so that Spark prunes the table's partitions by the days it finds at run time,
     for which it wants a comparison on the side of the days.
     """
-    dated = days.filter(F.year("day") > F.lit(-1_000_000))  # any day
-    known = table.join(dated, table[C.EVENT_DAY] == dated["day"], "left_semi")
-    return known.unionByName(table.filter(F.col(C.EVENT_DAY).isNull()))
+    places = days.select("day", *["part"] * parts).distinct()
+    dated = places.filter(F.year("day") > F.lit(-1_000_000))  # any day
+    same = table[C.EVENT_DAY] == dated["day"]
+    known = table.join(dated, same & (table[C.EVENT_PART] == dated["part"]) if parts else same, "left_semi")
+    undated, nowhen = table.filter(F.col(C.EVENT_DAY).isNull()), places.filter("day is null").withColumnRenamed("day", "no_day")
+    at = undated[C.EVENT_PART] == nowhen["part"] if parts else F.col("no_day").isNull()
+    return known.unionByName(undated.join(nowhen, at, "left_semi"))
 
 
 def refine_new_positions(
@@ -147,28 +178,42 @@ def refine_new_positions(
 ) -> StageResult:
     """Refine the positions landed from day ``since`` on into a table by event day.
 
-    Reads those landing days and the event days their positions fall on (``days``, if known),
-    and replaces the latter.  The table is then what :func:`refine_positions` would make of
-    all landed positions; a day refined twice does no harm.
+    Reads those landing days (and earlier ones that a stopped run has not refined) and the parts of
+    event days their positions fall on (``days``, if known), and replaces the latter.  The table is
+    then what :func:`refine_positions` would make of all landed positions; a day refined twice
+    does no harm.
     """
     path = layout.path("positions")
     if not layout.by_event_day:
         raise ValueError("positions must be kept by_event_day to refine new ones alone")
+    landed = pending.notes(spark, layout, "landed")
     current = if_present(load_table, spark, path, layout.fmt)
     if current is None:
         return refine_positions(spark, layout)
-    fresh = _newly_located(spark, layout, since)
+    if recover(spark, path, _PLACES, layout.fmt):
+        current = load_table(spark, path, layout.fmt)
+    first = first_unrefined(spark, layout, since)
+    fresh = _newly_located(spark, layout, first)
     if fresh is None:
         return StageResult("refine_positions", "skipped", path, "no landed positions")
-    days = touched_days(spark, layout, since) if days is None else days
-    merged = cleaning.merge_positions(on_days(current, days).drop(C.EVENT_DAY), fresh)
-    replace_partitions(_by_event_day(merged), path, [C.EVENT_DAY], layout.fmt)
-    return StageResult("refine_positions", "written", path, f"positions landed since {since}")
+    days = touched_days(spark, layout, first) if days is None or first < since else days
+    pending.note(days, layout, "refined")
+    merged = cleaning.merge_positions(on_days(current, days, parts=True).drop(*_PLACES), fresh)
+    replace_in_table(_by_event_day(merged, layout), path, _PLACES, layout.fmt)
+    pending.done(spark, landed)
+    return StageResult("refine_positions", "written", path, f"positions landed since {first}")
+
 
+def _places(positions: DataFrame, layout: Layout) -> DataFrame:
+    """Positions with the event day and part that they are kept in."""
+    key = [F.col(c) for c in C.POSITION_KEY if c in positions.columns]
+    part = F.pmod(F.xxhash64(*key), F.lit(layout.parts)).cast("int")
+    return positions.withColumns({C.EVENT_DAY: F.to_date(C.EVENT_TIME), C.EVENT_PART: part})
 
-def _by_event_day(positions: DataFrame) -> DataFrame:
-    """Rows grouped by event day; Spark joins small days and splits large ones by size."""
-    return positions.withColumn(C.EVENT_DAY, F.to_date(C.EVENT_TIME)).hint("rebalance", C.EVENT_DAY)
+
+def _by_event_day(positions: DataFrame, layout: Layout) -> DataFrame:
+    """Rows grouped by their places; Spark joins small ones and splits large ones by size."""
+    return _places(positions, layout).hint("rebalance", *_PLACES)
 
 
 def refine_register(spark: SparkSession, layout: Layout, *, normalize_first: bool = False) -> StageResult:
@@ -179,22 +224,44 @@ def refine_register(spark: SparkSession, layout: Layout, *, normalize_first: boo
     if C.REGISTER_LINE not in raw.columns:
         return StageResult("refine_register", "skipped", path, f"no {C.REGISTER_LINE} among {raw.columns}")
     overwrite_table(dimensions.extract_dimension(raw, normalize_first=normalize_first), path, layout.fmt)
+    versions.touch(spark, _register_known(layout))
     return StageResult("refine_register", "written", path)
 
 
+def _register_known(layout: Layout) -> str:
+    """A mark outside the register's folder that there has been one."""
+    head, _, name = layout.path("register").rstrip("/").rpartition("/")
+    return f"{head}/_known_{name}"
+
+
+def _register(spark: SparkSession, layout: Layout) -> DataFrame | None:
+    """The register; None only where there has never been one."""
+    register = if_present(load_table, spark, layout.path("register"), layout.fmt)
+    if register is None and versions.exists(spark, _register_known(layout)):
+        raise versions.LostTableError(f"the register was in {layout.path('register')} and is gone; remove {_register_known(layout)} to serve without one")
+    return register
+
+
 def check_positions(
     spark: SparkSession, layout: Layout, *, as_of: Column | None = None, days: DataFrame | None = None
 ) -> list[dict]:
     """Gate after refining; raises when the table is empty.
 
-    With ``days`` only those event days are read, but for the number of rows, which comes from
-    file footers.  A key holds its time, so keys on other days cannot repeat one on these.
+    With ``days`` only those event days are read; how many rows the others have is kept with their
+    daily totals.  A key holds its time, so keys on other days cannot repeat one on these.
     """
     positions = load_table(spark, layout.path("positions"), layout.fmt)
-    if days is None or not layout.by_event_day:
+    daily = None if days is None or not layout.by_event_day else if_present(load_table, spark, layout.path("daily"), layout.fmt)
+    if daily is None or _ROWS not in daily.columns:
         return quality.raise_on_failure(quality.positions_checks(positions, as_of=as_of))
-    checks = quality.positions_checks(on_days(positions, days), as_of=as_of, volume=positions.count())
-    return quality.raise_on_failure(checks)
+    touched = on_days(positions, days)
+    places = days.select("day").distinct()
+    others = daily.join(places, F.col(C.EVENT_DAY).eqNullSafe(F.col("day")), "left_anti").agg(F.sum(_ROWS)).first()[0] or 0
+    return quality.raise_on_failure(quality.positions_checks(touched, as_of=as_of, other_rows=others))
+
+
+#: Positions of a line on a day, kept with its totals.
+_ROWS = "positions"
 
 
 def build_activity(
@@ -202,30 +269,42 @@ def build_activity(
 ) -> StageResult:
     """Aggregate the refined positions; without a register all lines are unenriched.
 
-    A layout by event day keeps the totals of each day, of which those of ``days`` are made
-    anew (all without), and sums them.  ``note`` is the result's
-    detail where there is a register.
+    A layout by event day keeps the totals of each day, of which those of ``days`` and of days
+    that no run has served yet are made anew (all without ``days``), and sums them.  ``note`` is the
+    result's detail where there is a register.
     """
     positions = if_present(load_table, spark, layout.path("positions"), layout.fmt)
     path = layout.path("activity")
     if positions is None:
         return StageResult("build_activity", "skipped", path, "no refined positions")
-    register = if_present(load_table, spark, layout.path("register"), layout.fmt)
+    register = _register(spark, layout)
+    whole, left = (pending.notes(spark, layout, kind) for kind in ("whole", "refined"))
+    if whole:
+        days = None
+    if layout.by_event_day and days is not None:
+        more = pending.rows_of(spark, left)
+        days = days.select("day") if more is None else days.select("day").unionByName(more.select("day"))
     totals = _daily_totals(spark, layout, positions, days) if layout.by_event_day else enrich.line_totals(positions)
     write_clustered(enrich.enriched_totals(totals, register), path, [C.LINE], fmt=layout.fmt)
+    pending.done(spark, [*left, *whole])
     return StageResult("build_activity", "written", path, "no register" if register is None else note)
 
 
 def _daily_totals(spark: SparkSession, layout: Layout, positions: DataFrame, days: DataFrame | None) -> DataFrame:
     path = layout.path("daily")
     known = None if days is None else if_present(load_table, spark, path, layout.fmt)
-    if known is None:
-        overwrite_table(enrich.line_totals(positions, C.EVENT_DAY), path, layout.fmt, partition_by=[C.EVENT_DAY])
+    if known is None or _ROWS not in known.columns:
+        overwrite_table(_totals_of(positions), path, layout.fmt, partition_by=[C.EVENT_DAY])
     else:
-        replace_partitions(enrich.line_totals(on_days(positions, days), C.EVENT_DAY), path, [C.EVENT_DAY], layout.fmt)
+        recover(spark, path, [C.EVENT_DAY], layout.fmt)
+        replace_in_table(_totals_of(on_days(positions, days)), path, [C.EVENT_DAY], layout.fmt)
     return enrich.summed_totals(load_table(spark, path, layout.fmt))
 
 
+def _totals_of(positions: DataFrame) -> DataFrame:
+    return enrich.line_totals(positions, C.EVENT_DAY, more={_ROWS: F.count(F.lit(1))})
+
+
 def check_activity(spark: SparkSession, layout: Layout) -> list[dict]:
     """Gate after serving; reports the enrichment band."""
     activity = load_table(spark, layout.path("activity"), layout.fmt)
@@ -260,7 +339,8 @@ def run_daily(
 
     ``register`` names the register file(s); with ``pages`` it is the link chosen from the
     catalogue pages.  With ``since`` only the positions landed from that day on are refined,
-    and only the event days they fall on are checked and counted again.
+    and only the event days they fall on are checked and counted again, with what earlier runs
+    that stopped have left: landed positions not refined, refined days not counted.
     """
     run = Run()
     if bodies is not None:
@@ -269,9 +349,10 @@ def run_daily(
         register = choose_register(pages, run_ts.year)
     if register is not None:
         run.stages.append(land_register(spark, register, layout, run_ts))
-    days = touched_days(spark, layout, since) if since and layout.by_event_day else None
-    refined = refine_new_positions(spark, layout, since, days=days) if since else refine_positions(spark, layout)
+    refined = refine_new_positions(spark, layout, since) if since else refine_positions(spark, layout)
     run.stages.append(_needed(refined))
+    # with what stopped runs have refined but not served
+    days = days_to_serve(spark, layout) if since and layout.by_event_day else None
     run.stages.append(refine_register(spark, layout))
     skipped = run.stages[-1].status == "skipped"
     note = f"register not refined in this run: {run.stages[-1].detail}" if skipped else ""

@@ -141,13 +141,14 @@ def test_all_positions_unusable_fails_the_gate(spark, tmp_path):
 
 
 def refined(spark, layout):
-    table = load_table(spark, layout.path("positions")).drop("_processed_at", "_event_day")
+    table = load_table(spark, layout.path("positions")).drop("_processed_at", "_event_day", "_event_part")
     # as text: Python has no year 0
     return sorted(map(str, table.select([F.col(c).cast("string") for c in sorted(table.columns)]).collect()))
 
 
 def days_of(tmp_path, lake):
-    return sorted(p.name.split("=")[1] for p in (tmp_path / lake / "refined" / "positions").glob("_event_day=*"))
+    newest = max((tmp_path / lake / "refined" / "positions").glob("_v*"))
+    return sorted(p.name.split("=")[1] for p in newest.glob("_event_day=*"))
 
 
 def test_refining_new_days_equals_refining_all(spark, tmp_path):
@@ -179,7 +180,8 @@ def test_refining_new_days_equals_refining_all(spark, tmp_path):
 def test_refining_new_days_leaves_other_days_alone(spark, tmp_path):
     layout = Layout(str(tmp_path / "lake"), by_event_day=True)
     medallion.run_daily(spark, layout, RUN, bodies=bodies(spark, [ping("v", "l", "20240101000000"), ping("w", "l", "20240102000000")]))
-    untouched = sorted((tmp_path / "lake" / "refined" / "positions" / "_event_day=2024-01-01").glob("*.parquet"))
+    untouched = sorted((tmp_path / "lake" / "refined" / "positions").glob("_v*/_event_day=2024-01-01/*/*.parquet"))
+    assert len(untouched) == 1
     later = RUN.replace(day=2)
     run = medallion.run_daily(spark, layout, later, bodies=bodies(spark, [ping("x", "l", "20240102000000")]), since="2024-06-02")
     assert [s.detail for s in run.stages if s.stage == "refine_positions"] == ["positions landed since 2024-06-02"]
@@ -213,7 +215,7 @@ def test_fields_that_appear_later(spark, tmp_path):
                 medallion.refine_new_positions(spark, layout, "2024-06-02")
             else:
                 medallion.refine_positions(spark, layout)
-        got = spark.read.parquet(layout.path("positions"))
+        got = load_table(spark, layout.path("positions"))
         tables.append({r["numero_do_veiculo"]: (str(r["event_timestamp"]), r["extra"]) for r in got.collect()})
     assert tables[0] == {"v": ("None", None), "w": ("2024-01-02 03:04:05", "new")}
     assert tables[1]["w"] == tables[0]["w"] and tables[1]["v"][1] is None
@@ -228,7 +230,7 @@ def test_new_fields_give_the_table_of_a_whole_refresh(spark, tmp_path):
         since = "2024-06-02" if layout.by_event_day else None
         medallion.run_daily(spark, layout, RUN.replace(day=2), bodies=bodies(spark, second), since=since)
     columns = ["numero_do_veiculo", "latitude", "extra", "event_timestamp"]
-    rows = [sorted(map(str, spark.read.parquet(x.path("positions")).select(columns).collect())) for x in (daily, plain)]
+    rows = [sorted(map(str, load_table(spark, x.path("positions")).select(columns).collect())) for x in (daily, plain)]
     assert rows[0] == rows[1] and activity(spark, daily) == activity(spark, plain)
 
 
@@ -237,7 +239,7 @@ def test_incremental_stages_read_the_touched_days_alone(spark, tmp_path):
     medallion.run_daily(spark, layout, RUN, bodies=bodies(spark, [ping("v", "l", f"202401{d:02d}000000") for d in range(1, 29)]))
     medallion.land_positions(bodies(spark, [ping("w", "m", "20240103000000")]), layout, RUN.replace(day=2))
     days = medallion.touched_days(spark, layout, "2024-06-02")
-    some = medallion.on_days(spark.read.parquet(layout.path("positions")), days)
+    some = medallion.on_days(load_table(spark, layout.path("positions")), days)
     assert some.count() == 1
     assert "dynamicpruning" in some._jdf.queryExecution().executedPlan().toString()
 

@@ -82,7 +82,7 @@ def test_a_failed_overwrite_leaves_the_old_table(spark, tmp_path):
 
 def file_ranges(path, column):
     ranges = []
-    for file in sorted(pathlib.Path(path).glob("*.parquet")):
+    for file in sorted(pathlib.Path(path).glob("_v*/*.parquet")):
         values = pq.read_table(file, columns=[column])[column].to_pylist()
         assert values == sorted(values)
         if values:
