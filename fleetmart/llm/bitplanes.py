@@ -8,7 +8,8 @@ frames' sizes and the documents' lengths:
 
 Documents lie in ascending order of ``doc_id`` (null first) within and across files. Null text
 counts as empty; each document ends with ``end_id``. Rows with equal ids are documents of their
-own, in no set order among themselves. An empty table gives no file and an empty result.
+own, in no set order among themselves, and however many they are, they are dealt out over files like
+others. An empty table gives no file and an empty result.
 
 A task writes a file under a name of its own and reports it as a row. The rows of finished tasks
 form the manifest, a written table, so files of lost attempts are never read.
@@ -31,7 +32,7 @@ from fleetmart.sinks.scratch import scratch_path
 
 MAGIC = b"IDPLANE1"
 PLANES = {"byte": 4, "bit": 32}
-MANIFEST = "path string, first_doc long, n_docs long, n_ids long"
+MANIFEST = "path string, first_doc long, last_doc long, n_docs long, n_ids long"
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids binary"
 
 
@@ -129,8 +130,9 @@ def read_planes(file) -> Iterator[tuple[int | None, int, np.ndarray]]:
 
 def write_ids(docs: DataFrame, vocabulary: str, folder: str, *, end_id: int = 2, block: int = 1 << 16, kind: str = "byte", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode all documents into files below ``folder`` (any that pyarrow opens) and return the
-    manifest: one row per file, ``path, first_doc, n_docs, n_ids``. Texts are dealt out by ranges
-    of ``doc_id`` before they are encoded, so the shuffle carries texts and no ids."""
+    manifest: one row per file, ``path, first_doc, last_doc, n_docs, n_ids``. Texts are dealt out by
+    ranges of ``doc_id`` before they are encoded, so the shuffle carries texts and no ids. The manifest
+    is written by as few tasks as its size asks for, not by each task that has encoded."""
     spark = docs.sparkSession
     folder = hadoop_uri(spark, folder)
 
@@ -147,18 +149,22 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, *, end_id: int = 2,
         if writer is not None:
             writer.close()
             writer.out.close()
-            yield pa.RecordBatch.from_pydict({"path": [path], "first_doc": [writer.doc_ids[0]], "n_docs": [len(writer.lengths)], "n_ids": [n_ids]}, schema=pa.schema([("path", pa.string()), ("first_doc", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
+            row = {"path": path, "first_doc": writer.doc_ids[0], "last_doc": writer.doc_ids[-1], "n_docs": len(writer.lengths), "n_ids": n_ids}
+            yield pa.RecordBatch.from_pylist([row], schema=pa.schema([("path", pa.string()), *((c, pa.int64()) for c in list(row)[1:])]))
 
-    ordered = id_and_text(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # rows of one id, and equal rows, go over several ranges
+    numbered = id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    ordered = numbered.repartitionByRange("doc_id", "row").drop("row").sortWithinPartitions("doc_id")
     manifest = f"{folder.rstrip('/')}/manifest"
-    ordered.mapInArrow(write, MANIFEST).write.parquet(manifest)
+    ordered.mapInArrow(write, MANIFEST).hint("rebalance").write.parquet(manifest)
     return spark.read.schema(MANIFEST).parquet(manifest)
 
 
 def read_ids(manifest: DataFrame) -> DataFrame:
     """All documents of the files: ``doc_id, start`` (ids of all documents before it), ``n_tokens,
     ids`` (little-endian unsigned 32-bit). The sum over files runs on one row per file."""
-    before = F.sum("n_ids").over(Window.orderBy(F.col("first_doc").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1))
+    order = [F.col(c).asc_nulls_first() for c in ("first_doc", "last_doc")]
+    before = F.sum("n_ids").over(Window.orderBy(*order, "path").rowsBetween(Window.unboundedPreceding, -1))
     files = manifest.select("path", F.coalesce(before, F.lit(0)).alias("base"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -134,6 +134,22 @@ def test_id_files(spark, docs, odd, empty, tmp_path):
     assert bitplanes.read_ids(bitplanes.write_ids(empty, WORDS, str(tmp_path / "none"))).count() == 0
 
 
+def test_rows_of_one_id_go_over_several_files(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(7, "one text")] * 600 + [(None, f"t {i}") for i in range(300)] + [(i, "x") for i in range(20)]
+        manifest = bitplanes.write_ids(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), WORDS, str(tmp_path / "hot"))
+        files = manifest.collect()
+        assert sum(r.first_doc == 7 or r.last_doc == 7 for r in files) > 2 and sum(r.first_doc is None for r in files) > 1
+        got = sorted(bitplanes.read_ids(manifest).collect(), key=lambda r: r.start)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r.doc_id is None for r in got] == [True] * 300 + [False] * 620
+    assert [r.doc_id for r in got[300:]] == sorted(r.doc_id for r in got[300:])
+    starts = np.cumsum([0, *(r.n_tokens for r in got)])
+    assert [r.start for r in got] == starts[:-1].tolist()
+
+
 def test_id_file_query(spark, docs):
     before = 0
     rows = {r.doc_id: r for r in QUERIES["op2_bit_planes"](spark, SF).collect()}
