@@ -42,7 +42,26 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.read_ids(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-@query("op8_warc")
+_COMPONENTS = """reach(a, b) AS (
+        SELECT id, id FROM nodes UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+    ), labels AS (SELECT a AS id, min(b) AS label FROM reach GROUP BY a)"""
+
+
+@query(
+    "op8_warc",
+    """
+    WITH bodies AS (
+        SELECT page_id, coalesce(html, '') AS html, first_value(page_id) OVER (PARTITION BY coalesce(html, '') ORDER BY page_id) AS first_id FROM pages
+    ), hashed AS (
+        SELECT *, strlen(html) AS payload_bytes, unhex(sha1(html))::BIT::VARCHAR AS bits FROM bodies
+    )
+    SELECT page_id, payload_bytes,
+           array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + list_sum(list_transform(range(5), lambda j: substr(bits, 5 * i + j + 1, 1)::INTEGER * (16 >> j)))::INTEGER, 1)), '') AS payload_digest,
+           CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+    FROM hashed
+    """,
+)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"), folder, "2026-01-01T00:00:00Z", min_payload=0))
@@ -67,7 +86,26 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), 0.5)
 
 
-@query("op10_chosen_path")
+@query(
+    "op10_chosen_path",
+    rf"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+        FROM documents
+    ), shingles AS (
+        SELECT DISTINCT id, md5(array_to_string(ws[i : i + 4], ' ')) AS s
+        FROM (SELECT id, ws, unnest(range(1, greatest(2, len(ws) - 3))) AS i FROM words WHERE len(ws) > 0)
+    ), sizes AS (
+        SELECT id, count(*) AS n FROM shingles GROUP BY id
+    ), shared AS (
+        SELECT x.id AS a, y.id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.s = y.s AND x.id <> y.id GROUP BY ALL
+    ), links AS (
+        SELECT s.a, s.b FROM shared s JOIN sizes x ON x.id = s.a JOIN sizes y ON y.id = s.b WHERE 100 * s.n >= 85 * (x.n + y.n - s.n)
+    ), nodes AS (SELECT DISTINCT a AS id FROM links), {_COMPONENTS}
+    SELECT d.id AS doc_id, coalesce(n, 0) AS n_shingles, coalesce(label, d.id) AS component_id, coalesce(label, d.id) = d.id AS kept
+    FROM words d LEFT JOIN sizes USING (id) LEFT JOIN labels USING (id)
+    """,
+)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosenpath.near_duplicates(table(spark, sf_dir, "documents"), Fraction(85, 100))
 
@@ -84,7 +122,21 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.compared(table(spark, sf_dir, "documents"), radius=3)
 
 
-@query("op6_forest")
+@query(
+    "op6_forest",
+    f"""
+    WITH RECURSIVE vectors AS (
+        SELECT vec_id AS id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+    ), whole AS (
+        SELECT * FROM vectors WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(v, v) > 0
+    ), links AS (
+        SELECT x.id AS a, y.id AS b FROM whole x JOIN whole y ON x.label = y.label AND x.id <> y.id AND len(x.v) = len(y.v)
+        WHERE list_dot_product(x.v, y.v) / sqrt(list_dot_product(x.v, x.v) * list_dot_product(y.v, y.v)) >= 0.98
+    ), degree AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a), nodes AS (SELECT id FROM degree), {_COMPONENTS}
+    SELECT v.id AS vec_id, coalesce(n, 0) AS n_links, coalesce(label, v.id) AS component_id, coalesce(label, v.id) = v.id AS kept
+    FROM (SELECT id FROM vectors) v LEFT JOIN degree USING (id) LEFT JOIN labels USING (id)
+    """,
+)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
 
