@@ -3,12 +3,15 @@
 A text is split by the vocabulary's pattern, and each distinct word is encoded once: its bytes
 are rows (word, position, token) that a recursive query joins with the table of merges; every
 step contracts each word's leftmost pair of least rank, until no pair of any word has a rank.
-Decoding joins ids with the vocabulary and aggregates the bytes in order; on a round trip each distinct
-chunk's ids are decoded once, as a text's bytes are those of its ids in a row.
+Decoding joins the ids of each document with the vocabulary and aggregates the bytes in order.
 
-Words of over ``LONG_BYTES`` bytes take a second recursive query that contracts all occurrences
-of a word's least pair in one step where no pair with the product ranks lower, which gives the
-same ids in fewer steps.
+Words of over ``LONG_BYTES`` bytes are cut into pieces that the query encodes side by side. No merge
+crosses the border of two tokens if encoding the bytes of these two alone gives them back; so the
+neighbours at each cut are encoded too, and where they come out differently, the tokens around the cut
+are encoded anew, ever more of them, until all neighbours hold. The time is in proportion to the word,
+but for words whose tokens depend on far away bytes (a period that no token fits). Stretches that have
+grown long take a second recursive query that contracts all occurrences of a word's least pair in one
+step where no pair with the product ranks lower.
 
 Null text counts as empty and has no ids. Null and repeated ``doc_id`` are carried along, an empty
 table gives an empty result, further columns are left out. Decoding fails on ids outside the
@@ -32,6 +35,8 @@ from pyspark.sql import functions as F
 from fleetmart.llm.shared import id_and_text, process_cache
 
 LONG_BYTES = 256
+#: Bytes of the pieces that longer words are cut into.
+PIECE_BYTES = 96
 KEPT, KEPT_WORDS = 300_000, 700_000
 #: Bytes of text that are encoded at once, at most one document more.
 TEXT_AT_ONCE = 6 << 20
@@ -120,6 +125,7 @@ class ByteBpe:
         unsafe = np.unique(np.concatenate([left[merged < left], right[merged < right]]))
         table = pa.table({"pair": left * 1048576 + right, "m": merged.astype(np.int32), "safe": ~np.isin(merged, unsafe)})
         vocabulary = pa.table({"t": pa.array(self.ranks.values(), pa.int64()), "bytes": [word.hex() for word in self.ranks]})
+        self.tokens = {m: word for word, m in self.ranks.items()}
         self.token_bytes = np.full(max(self.ranks.values()) + 1, -1, dtype=np.int64)
         for word, m in self.ranks.items():
             self.token_bytes[m] = len(word)
@@ -132,17 +138,30 @@ class ByteBpe:
         """Forget the chunks, and the words if there are too many."""
         self.chunks: dict[str, int] = {}
         self.chunk_ids = Runs()
-        self.chunk_bytes: list[bytes] = []
         if len(self.words) > KEPT_WORDS:
             self.words, self.word_ids = {}, Runs()
 
     def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words one after another, and how many each word has."""
         sizes = np.array([len(w) for w in words], dtype=np.int64)
-        counts = np.zeros(len(words), dtype=np.int64)
         whole = np.array([self.ranks.get(w, -1) for w in words], dtype=np.int64)  # a word of the vocabulary is one token
+        long = (whole < 0) & (sizes > LONG_BYTES)
+        rest = np.flatnonzero((whole < 0) & ~long)
         found: list[tuple[np.ndarray, np.ndarray]] = [(np.flatnonzero(whole >= 0), whole[whole >= 0])]
-        for steps, chosen in ((MERGE_STEPS, np.flatnonzero((whole < 0) & (sizes <= LONG_BYTES))), (LONG_MERGE_STEPS, np.flatnonzero((whole < 0) & (sizes > LONG_BYTES)))):
+        ids, counts = self._contracted([words[i] for i in rest])
+        found.append((np.repeat(rest, counts), ids))
+        chosen = np.flatnonzero(long).tolist()
+        for i, ids in zip(chosen, self._stitched([words[i] for i in chosen]), strict=True):
+            found.append((np.full(len(ids), i), ids))
+        at = np.concatenate([w for w, _ in found])
+        ids = np.concatenate([t for _, t in found]).astype(np.uint32)
+        return ids[np.argsort(at, kind="stable")], np.bincount(at, minlength=len(words)).astype(np.int64)
+
+    def _contracted(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same by the recursive queries alone."""
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        found: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, dtype=np.int64),) * 2]
+        for steps, chosen in ((MERGE_STEPS, np.flatnonzero(sizes <= LONG_BYTES)), (LONG_MERGE_STEPS, np.flatnonzero(sizes > LONG_BYTES))):
             if not len(chosen):
                 continue
             lengths = sizes[chosen]
@@ -158,11 +177,41 @@ class ByteBpe:
             found.append((done.column("w").to_numpy(), done.column("t").to_numpy()))
         at = np.concatenate([w for w, _ in found])
         ids = np.concatenate([t for _, t in found]).astype(np.uint32)
-        np.add.at(counts, at, 1)
-        return ids[np.argsort(at, kind="stable")], counts
+        return ids[np.argsort(at, kind="stable")], np.bincount(at, minlength=len(words)).astype(np.int64)
+
+    def _encoded(self, parts: list[bytes]) -> list[list[int]]:
+        distinct = list(dict.fromkeys(parts))
+        ids, counts = self._contracted(distinct)
+        runs = dict(zip(distinct, (x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])), strict=True)) if distinct else {}
+        return [runs[p] for p in parts]
+
+    def _stitched(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of long words: pieces side by side, mended where they meet."""
+        out: list[np.ndarray | None] = [None] * len(words)
+        cuts = [[w[a : a + PIECE_BYTES] for a in range(0, len(w), PIECE_BYTES)] for w in words]
+        ids = iter(self._encoded([p for pieces in cuts for p in pieces]))
+        open_ = {i: [next(ids) for _ in pieces] for i, pieces in enumerate(cuts)}
+        holds: dict[tuple[int, int], bool] = {}
+        reach = 2
+        while open_:
+            pairs = {i: [(a[-1], b[0]) for a, b in zip(s, s[1:], strict=False)] for i, s in open_.items()}
+            new = list(dict.fromkeys(p for own in pairs.values() for p in own if p not in holds))
+            for pair, ids in zip(new, self._encoded([self.tokens[a] + self.tokens[b] for a, b in new]), strict=True):
+                holds[pair] = ids == list(pair)
+            plans = {}
+            for i, own in pairs.items():
+                broken = {k for k, p in enumerate(own) if not holds[p]}
+                if broken:
+                    plans[i] = _around(open_[i], broken, reach)
+                else:
+                    out[i] = np.array([t for s in open_[i] for t in s], dtype=np.uint32)
+            anew = iter(self._encoded([b"".join(self.tokens[t] for t in tokens) for plan in plans.values() for tokens, again in plan if again]))
+            open_ = {i: [next(anew) if again else tokens for tokens, again in plan] for i, plan in plans.items()}
+            reach *= 2
+        return out
 
     def numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All texts as numbers of chunks, whose ids and bytes are then at hand: text ``i`` has
+        """All texts as numbers of chunks, whose ids are then at hand: text ``i`` has
         the numbers from ``ends[i]`` to ``ends[i + 1]``."""
         uneven = pc.match_substring_regex(texts, UNEVEN_SPACE)
         split = pc.split_pattern(pc.if_else(uneven, "", texts), " ")
@@ -198,10 +247,6 @@ class ByteBpe:
         ids, sizes = self.chunk_ids.gather(numbers)
         return ids, np.concatenate([[0], np.cumsum(sizes)])[ends]
 
-    def bytes_of(self, numbers: np.ndarray) -> bytes:
-        """What the ids of the chunks decode to; the ids of a chunk were decoded when it was first met."""
-        return b"".join(map(self.chunk_bytes.__getitem__, numbers.tolist()))
-
     def _learn(self, new: list[str]) -> None:
         """Encode chunks that aren't known yet."""
         split = [self.split(c[1:] if c[0] == " " else " " + c) for c in new]
@@ -214,14 +259,7 @@ class ByteBpe:
         last = np.cumsum([0, *(len(ws) for ws in split)])
         for c in new:
             self.chunks[c] = len(self.chunks)
-        sizes = np.diff(ends[last])
-        self.chunk_ids.extend(ids, sizes)
-        at = 0
-        for upto in range(0, len(new), 100_000):
-            some = sizes[upto : upto + 100_000]
-            n = int(some.sum())
-            self.chunk_bytes += self._decoded(ids[at : at + n], some)
-            at += n
+        self.chunk_ids.extend(ids, np.diff(ends[last]))
 
     def decode(self, runs: list[np.ndarray]) -> list[bytes]:
         """The bytes of each run of ids."""
@@ -250,6 +288,25 @@ class ByteBpe:
         return [joined[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
 
 
+def _around(stretches: list[list[int]], broken: set[int], reach: int) -> list[tuple[list[int], bool]]:
+    """The stretches of a word with ``reach`` tokens on each side of a broken cut taken off and joined,
+    and whether each is to be encoded anew."""
+    plan: list[tuple[list[int], bool]] = []
+    for k, tokens in enumerate(stretches):
+        left, right = k - 1 in broken, k in broken
+        if (left or right) and len(tokens) <= reach * (left + right):
+            parts = [(tokens, True)]
+        else:
+            a, b = reach * left, len(tokens) - reach * right
+            parts = [(tokens[:a], True)] * left + [(tokens[a:b], False)] + [(tokens[b:], True)] * right
+        for n, part in enumerate(parts):
+            if n == 0 and left:
+                plan[-1] = (plan[-1][0] + part[0], True)  # what was taken off before the cut
+            else:
+                plan.append(part)
+    return plan
+
+
 class Runs:
     """Numbered runs of ids, one after another."""
 
@@ -322,7 +379,7 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
                 numbers, ends = own.numbered(batch.column("text")[part])
                 ids, id_ends = own.ids_of(numbers, ends)
                 packed = [ids[a:b].astype("<u4", copy=False).tobytes() for a, b in zip(id_ends[:-1], id_ends[1:], strict=True)]
-                decoded = [own.bytes_of(numbers[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                decoded = own.decode([np.frombuffer(p, dtype="<u4") for p in packed])
                 columns = [batch.column("doc_id")[part], pa.array(np.diff(id_ends), pa.int64()), pa.array(packed, pa.binary()), pa.array(decoded, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "decoded"])
 

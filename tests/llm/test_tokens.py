@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import base64
 import io
+import time
 import zlib
 
 import numpy as np
@@ -181,6 +182,38 @@ def test_long_words(library):
     assert [x.tolist() for x in own.encode(texts)] == [library.encode_ordinary(t) for t in texts]
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "ab", "aáé", "the quick", "0123456789abcdef", "=-"])
+def test_words_of_100_000_letters(library, letters):
+    rng = np.random.default_rng(len(letters))
+    texts = ["".join(rng.choice(list(letters.replace(" ", "")), n)) for n in (100_000, 3_001, 257)]
+    own = bytebpe.ByteBpe(BYTES, public_tokenizers.PATTERN)
+    start = time.process_time()
+    ids = own.encode(texts)
+    assert time.process_time() - start < 30
+    assert [x.tolist() for x in ids] == [library.encode_ordinary(t) for t in texts]
+    assert own.decode(ids) == [t.encode() for t in texts]
+
+
+@pytest.mark.parametrize("period", ["a", "ab", "abc", "aab", "xyzzy", "=", "= ", "é", "ha", "123"])
+def test_long_periods(library, period):
+    own = bytebpe.codec(BYTES, public_tokenizers.PATTERN)
+    texts = [(period * 1500)[:n].replace(" ", "") for n in (300, 1001, 1500)]
+    assert [x.tolist() for x in own.encode(texts)] == [library.encode_ordinary(t) for t in texts]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(st.sampled_from(list("abcdeinorst")), min_size=257, max_size=700))
+def test_cuts_of_long_words_do_not_show(library, word):
+    assert bytebpe.codec(BYTES, public_tokenizers.PATTERN).encode([word])[0].tolist() == library.encode_ordinary(word)
+
+
+def test_decoding_reads_the_ids_of_documents(spark, monkeypatch):
+    """Ids that are wrong decode to other bytes."""
+    own = bytebpe.ByteBpe(BYTES, public_tokenizers.PATTERN)
+    ids = own.encode(["some words"])[0]
+    assert own.decode([ids, ids[::-1]])[1] != b"some words"
+
+
 def test_byte_bpe_frames(spark, docs, odd, empty, library):
     for frame in (docs, odd):
         encoded = bytebpe.encode(frame, BYTES, public_tokenizers.PATTERN)
