@@ -2,7 +2,7 @@
 functions only.
 
 A term is a word (between spaces and line breaks) with the word after it; it votes with its
-weight, the length of the word, on each of 128 bits by the bits of two 64-bit hashes. A bit is set
+weight, the length of the word (up to ``HEAVIEST``), on each of 128 bits by the bits of two 64-bit hashes. A bit is set
 if more than half of the weight is for it. Two votes are summed in each 64-bit number, 32 bits
 apart: a text has less than 2^31 bytes, so its weights cannot overflow.
 
@@ -14,6 +14,7 @@ an empty result; further columns are left out.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -133,37 +134,60 @@ def compared(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", text_col:
     )
 
 
-def links(distinct: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
-    """All pairs of distinct fingerprints ``f1, f2`` within the radius, the smaller first: ``a1,
-    a2, b1, b2, bits``.
+def _met(distinct: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """``a1, a2, b1, b2`` and the further columns of both sides (``a_``, ``b_`` before their names) of all
+    pairs of different fingerprints ``f1, f2`` within the radius, in both orders and once in each.
 
     The 128 bits are cut into blocks. Two fingerprints that differ in ``radius`` bits agree in all
     but ``radius`` blocks at least, so one table for each choice of ``blocks - radius`` blocks,
     keyed by those blocks' bits, brings every pair together. Three of six blocks are 64 bits, so
-    unrelated fingerprints hardly ever meet."""
+    unrelated fingerprints hardly ever meet. A pair counts in the table of the first blocks in which it
+    agrees: there it differs in all blocks between them."""
     if not 0 <= radius < blocks <= 64:
         raise ValueError("radius must be below the number of blocks")
     cuts = [BITS * k // blocks for k in range(blocks + 1)]
-    masks = []
-    for chosen in combinations(range(blocks), blocks - radius):
-        bits = sum(((1 << cuts[b + 1]) - (1 << cuts[b])) for b in chosen)
-        masks.append(tuple(x - (1 << 64) if x >> 63 else x for x in (bits & (1 << 64) - 1, bits >> 64)))
-    tables = F.array(*[F.struct(F.lit(t).alias("t"), F.col("f1").bitwiseAND(F.lit(m1).cast("long")).alias("k1"), F.col("f2").bitwiseAND(F.lit(m2).cast("long")).alias("k2")) for t, (m1, m2) in enumerate(masks)])
-    rows = distinct.select("f1", "f2", F.inline(tables))
-    left, right = rows.select("t", "k1", "k2", F.col("f1").alias("a1"), F.col("f2").alias("a2")), rows.select("t", "k1", "k2", F.col("f1").alias("b1"), F.col("f2").alias("b2"))
-    near = (F.struct("a1", "a2") < F.struct("b1", "b2")) & (distance("a1", "a2", "b1", "b2") <= radius)
-    pairs = left.join(right, ["t", "k1", "k2"]).filter(near)
-    return pairs.select("a1", "a2", "b1", "b2", distance("a1", "a2", "b1", "b2").alias("bits")).distinct()
+
+    def halves(bits: int) -> tuple[Column, Column]:
+        parts = (bits & (1 << 64) - 1, bits >> 64)
+        return tuple(F.lit(x - (1 << 64) if x >> 63 else x).cast("long") for x in parts)
+
+    block = [(1 << cuts[b + 1]) - (1 << cuts[b]) for b in range(blocks)]
+    choices = list(combinations(range(blocks), blocks - radius))
+    keys = []
+    for t, chosen in enumerate(choices):
+        m1, m2 = halves(sum(block[b] for b in chosen))
+        keys.append(F.struct(F.lit(t).alias("t"), F.col("f1").bitwiseAND(m1).alias("k1"), F.col("f2").bitwiseAND(m2).alias("k2")))
+    rows = distinct.select("*", F.inline(F.array(*keys)))
+    more = [c for c in distinct.columns if c not in ("f1", "f2")]
+    left, right = (
+        rows.select("t", "k1", "k2", F.col("f1").alias(f"{side}1"), F.col("f2").alias(f"{side}2"), *[F.col(c).alias(f"{side}_{c}") for c in more]) for side in "ab"
+    )
+    d1, d2 = F.col("a1").bitwiseXOR(F.col("b1")), F.col("a2").bitwiseXOR(F.col("b2"))
+
+    def differ(b: int) -> Column:
+        m1, m2 = halves(block[b])
+        return d1.bitwiseAND(m1).bitwiseOR(d2.bitwiseAND(m2)) != 0
+
+    first = F.lit(False)
+    for t, chosen in enumerate(choices):
+        skipped = [b for b in range(chosen[-1]) if b not in chosen]
+        first = F.when(F.col("t") == t, reduce(Column.__and__, map(differ, skipped), F.lit(True))).otherwise(first)
+    near = ((F.col("a1") != F.col("b1")) | (F.col("a2") != F.col("b2"))) & (distance("a1", "a2", "b1", "b2") <= radius)
+    return left.join(right, ["t", "k1", "k2"]).filter(near & first).drop("t", "k1", "k2")
+
+
+def links(distinct: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
+    """All pairs of distinct fingerprints ``f1, f2`` within the radius, the smaller first: ``a1,
+    a2, b1, b2, bits``."""
+    pairs = _met(distinct.select("f1", "f2"), radius, blocks).filter(F.struct("a1", "a2") < F.struct("b1", "b2"))
+    return pairs.withColumn("bits", distance("a1", "a2", "b1", "b2"))
 
 
 def neighbours(prints: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
     """``f1, f2, n_near`` for each distinct fingerprint: the rows with another within the radius,
-    and the other rows with its own. Copies are counted, not paired."""
+    and the other rows with its own. Copies are counted, not paired, and pairs are summed where they
+    meet, never listed."""
     classes = written(prints.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("copies")), "classes")
-    found = written(links(classes.select("f1", "f2"), radius, blocks), "links")
-    ends = found.select(F.col("a1").alias("f1"), F.col("a2").alias("f2"), F.col("b1").alias("o1"), F.col("b2").alias("o2"))
-    ends = ends.unionByName(found.select(F.col("b1").alias("f1"), F.col("b2").alias("f2"), F.col("a1").alias("o1"), F.col("a2").alias("o2")))
-    others = classes.select(F.col("f1").alias("o1"), F.col("f2").alias("o2"), F.col("copies").alias("n"))
-    reached = ends.join(others, ["o1", "o2"]).select("f1", "f2", "n")
+    reached = _met(classes, radius, blocks).groupBy(F.col("a1").alias("f1"), F.col("a2").alias("f2")).agg(F.sum("b_copies").alias("n"))
     own = classes.select("f1", "f2", (F.col("copies") - 1).alias("n"))
     return reached.unionByName(own).groupBy("f1", "f2").agg(F.sum("n").alias("n_near"))
