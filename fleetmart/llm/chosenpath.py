@@ -7,8 +7,8 @@ Every class walks down a number of independent trees. At each node a coin, throw
 and a minwise token, chooses about ``1 / similarity`` of the class's tokens, and each chosen one
 leads to a child; classes that agree in a token take the same path. Nodes of at most ``ROWS``
 classes are compared exhaustively by 8-bit minwise signatures, larger ones branch further, and
-those that still are larger after ``DEPTH`` levels are compared block against block, which loses
-nothing. Pairs whose signatures agree in the similarity asked for, less ``SIFT`` deviations of such
+those that still are larger after ``DEPTH`` levels are compared with one block of theirs first and then
+between components only, block against block, which loses nothing. Pairs whose signatures agree in the similarity asked for, less ``SIFT`` deviations of such
 an estimate, become candidates. Of each node
 only as many edges are kept as connect its candidates, so no group is spelled out as pairs.
 
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.llm.components import components
-from fleetmart.llm.groups import ROWS, blocked, each_group, pairs_of, stars
+from fleetmart.llm.groups import ROWS, between_labels, blocked, each_group, pairs_of, stars, with_first_block
 from fleetmart.llm.hashing import Stretches, buffers, mixed
 from fleetmart.llm.shared import written
 
@@ -186,6 +186,23 @@ def compare(rows: DataFrame, key: str, payload: str, linked: Linked) -> DataFram
     return each_group(rows.select(key, "i", "j", "own", "cls", payload), [key], "cls", work, "a binary, b binary").distinct()
 
 
+def connect(members: DataFrame, key: str, payloads: DataFrame, payload: str, linked: Linked, largest: int) -> DataFrame:
+    """Edges that connect what is connected by ``linked`` pairs within groups (``key, cls, size``).
+
+    A group of more than ``ROWS`` is compared with its first block first. Rows that are then connected
+    need no comparison among themselves, so only rows of different components go on: a family of near
+    copies takes work in proportion to its size, as one block links with nearly all of it."""
+    edges = compare(blocked(members.filter(F.col("size") <= ROWS)).join(payloads, "cls"), key, payload, linked)
+    if largest <= ROWS:
+        return edges
+    crowded = members.filter(F.col("size") > ROWS)
+    first = written(compare(with_first_block(crowded).join(payloads, "cls"), key, payload, linked), "first")
+    labels = components(first).withColumnsRenamed({"node": "cls"})
+    labelled = crowded.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    rest = compare(between_labels(labelled, key).join(payloads, "cls"), key, payload, linked)
+    return edges.unionByName(first).unionByName(rest)
+
+
 def least_agreement(similarity: float) -> float:
     """Share of signature places that candidates agree in at least."""
     return max(0.0, similarity - SIFT * float(np.sqrt(similarity * (1 - similarity) / PLACES)))
@@ -266,22 +283,24 @@ def _linked(docs: DataFrame, similarity: Fraction, id_col: str, text_col: str) -
     for level in range(DEPTH + 1):
         sizes = written(members.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "sizes", rows_)
         crowded = members.join(sizes, "node")
-        all_, rows_ = (n or 0 for n in sizes.agg(F.sum("size"), F.sum(F.when(F.col("size") > ROWS, F.col("size")))).first())
+        all_, rows_, largest = (n or 0 for n in sizes.agg(F.sum("size"), F.sum(F.when(F.col("size") > ROWS, F.col("size"))), F.max("size")).first())
         most += all_
-        compared.append(blocked(crowded if level == DEPTH else crowded.filter(F.col("size") <= ROWS)))
+        compared.append(crowded if level == DEPTH else crowded.filter(F.col("size") <= ROWS))
         if level == DEPTH or not rows_:
             break
         members = written(_branch(crowded.filter(F.col("size") > ROWS).join(signatures, "cls"), floor), "members", 2 * rows_)
     nodes = compared[0]
     for more in compared[1:]:
         nodes = nodes.unionByName(more)
-    candidates = written(compare(nodes.join(signatures, "cls"), "node", "signature", signatures_agree(least_agreement(floor))), "candidates", most)
+    agree = signatures_agree(least_agreement(floor))
+    candidates = written(connect(nodes, "node", signatures, "signature", agree, largest if rows_ and level == DEPTH else 0).distinct(), "candidates", most)
     groups = written(components(candidates).withColumnsRenamed({"node": "cls"}), "groups", 2 * candidates.count())
     n = groups.count()
     sizes = written(groups.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "group_sizes", n)
+    largest = sizes.agg(F.max("size")).first()[0] or 0
     sets = written(_sets_of(texts, groups.join(classes, "cls").select("cls", "text_key")), "sets")
-    dealt = blocked(groups.join(sizes, "label").withColumn("group", F.xxhash64("label"))).join(sets, "cls")
-    links = written(compare(dealt, "group", "tokens", sets_similar(similarity)), "links", n)
+    grouped = groups.join(sizes, "label").select(F.xxhash64("label").alias("group"), "cls", "size")
+    links = written(connect(grouped, "group", sets, "tokens", sets_similar(similarity), largest).distinct(), "links", n)
     return rows, classes, components(links).withColumnsRenamed({"node": "cls"})
 
 

@@ -24,6 +24,34 @@ def blocked(members: DataFrame, row_id: str = "cls") -> DataFrame:
     return rows.select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).drop("other", "size")
 
 
+def with_first_block(members: DataFrame, row_id: str = "cls") -> DataFrame:
+    """Rows of large groups, dealt out for comparison with their group's first block alone: the
+    pairs of blocks (0, j) in the columns of :func:`blocked`."""
+    blocks = F.ceil(F.col("size") / F.lit(ROWS * 3 // 4)).cast("int")
+    rows = members.withColumn("own", F.pmod(F.xxhash64(row_id, F.lit(5)), blocks).cast("int"))
+    every = F.sequence(F.lit(0), blocks - 1)
+    return rows.withColumn("j", F.explode(F.when(F.col("own") == 0, every).otherwise(F.array("own")))).withColumn("i", F.lit(0)).drop("size")
+
+
+def between_labels(members: DataFrame, key: str, row_id: str = "cls") -> DataFrame:
+    """Rows of groups with a ``label`` each, dealt out so that every two rows of a group with
+    different labels meet. Rows of a label that fill a block make up blocks of their own, which are
+    not compared among themselves; all others are pooled, the rows of a label in one block."""
+    per_block = F.lit(ROWS * 3 // 4)
+    counts = members.groupBy(key, "label").agg(F.count(F.lit(1)).alias("n"))
+    known = members.join(counts, [key, "label"])
+    pools = counts.filter(F.col("n") <= ROWS).groupBy(key).agg(F.ceil(F.sum("n") / per_block).cast("long").alias("pools"))
+    known = known.join(pools, key, "left")
+    alone = F.col("n") > ROWS
+    place = F.when(alone, F.pmod(F.xxhash64(row_id, F.lit(5)), F.ceil(F.col("n") / per_block).cast("long"))).otherwise(F.pmod(F.xxhash64("label", F.lit(6)), "pools"))
+    known = known.withColumn("mine", F.when(alone, F.col("label"))).withColumn("own", F.xxhash64(F.col(key), F.coalesce(F.hex("mine"), F.lit("")), place))
+    blocks = known.select(key, "mine", "own").distinct()
+    others = blocks.select(F.col(key), F.col("mine").alias("theirs"), F.col("own").alias("other"))
+    pairs = blocks.join(others, key).filter("mine is null or theirs is null or mine <> theirs").select(key, "own", "other")
+    dealt = known.drop("n", "pools", "mine", "label").join(pairs, [key, "own"])
+    return dealt.select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).drop("other", "size")
+
+
 def each_group(rows: DataFrame, keys: list[str], row_id: str, work: Callable[[pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
     """``work`` on the rows of every value of ``keys`` with ``i`` and ``j``, which must all be
     numbers. A task holds one group and an Arrow batch at a time."""

@@ -308,3 +308,39 @@ def test_near_copies_with_unlikely_signatures(spark):
     rows = list(enumerate(found))
     got = chosenpath.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), Fraction(85, 100))
     assert Counter(tuple(r) for r in got.collect()) == expected_near(rows, 85)
+
+
+def test_work_on_a_family_of_near_copies_is_in_proportion(spark):
+    """A large family is compared with one block of it, not with itself."""
+
+    def pairs(n):
+        members = spark.createDataFrame([(0, f"{i}".encode(), n) for i in range(n)], "group long, cls binary, size long")
+        payloads = members.select("cls", F.col("cls").alias("p"))
+        met = spark.sparkContext.accumulator(0)
+
+        def linked(values, left, right):
+            met.add(len(left))
+            return np.ones(len(left), dtype=bool)
+
+        edges = chosenpath.connect(members, "group", payloads, "p", linked, n).collect()
+        label = components(range(n), [(int(r.a), int(r.b)) for r in edges])
+        assert set(label.values()) == {0}
+        return met.value
+
+    assert pairs(8000) < 10 * pairs(1000)  # all against all would be 64
+
+
+@pytest.mark.parametrize("n", [300, 900])
+def test_groups_of_several_components_are_found_whole(spark, monkeypatch, n):
+    """Rows link if their numbers agree modulo 7, or are neighbours in one of the classes."""
+    members = spark.createDataFrame([(g, f"{g},{i}".encode(), n) for g in range(2) for i in range(n)], "group long, cls binary, size long")
+
+    def linked(values, left, right):
+        number = np.array([int(v.split(b",")[1]) for v in values])
+        return (number[left] % 7 == number[right] % 7) & (number[left] % 7 < 5) & (np.abs(number[left] - number[right]) < 60)
+
+    edges = chosenpath.connect(members, "group", members.select("cls", F.col("cls").alias("p")), "p", linked, n).collect()
+    key = lambda v: tuple(map(int, bytes(v).split(b",")))
+    got = components([(g, i) for g in range(2) for i in range(n)], [(key(r.a), key(r.b)) for r in edges])
+    want = components([(g, i) for g in range(2) for i in range(n)], [((g, i), (g, i + 7)) for g in range(2) for i in range(n - 7) if i % 7 < 5])
+    assert got == want
