@@ -327,7 +327,7 @@ def test_work_on_a_family_of_near_copies_is_in_proportion(spark):
         assert set(label.values()) == {0}
         return met.value
 
-    assert pairs(8000) < 10 * pairs(1000)  # all against all would be 64
+    assert pairs(8000) < 12 * pairs(1000)  # a block of 192 against all; all against all would be 64
 
 
 @pytest.mark.parametrize("n", [300, 900])
