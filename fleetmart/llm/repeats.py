@@ -1,27 +1,32 @@
 """Repeated passages by bucket-pointer refinement of a sparse suffix array.
 
 A byte is removed if a string of ``length`` bytes that covers it also starts anywhere else, in any
-document; strings are judged on the input. Suffixes are grouped as in bucket-pointer refinement:
-first by their q-gram (q = ``GRAM``), then groups are refined by sorting on the identifiers of the
-buckets that later offsets of the same suffixes lie in. As ``length`` <= 2q, the buckets at p and
-p + length - q tell whether two strings are equal.
+document; strings are judged on the input. Suffixes are put into buckets by their first q bytes
+(q = ``GRAM``). Then buckets are refined: a suffix's bucket for twice as many bytes is found by sorting on
+the pair of the bucket that it lies in and the bucket of the suffix that begins where the first bytes
+end, and the numbers of the new buckets are written back and used by the next refinement in the same way,
+for 2q, 4q, ... bytes up to ``length`` (the last pair overlaps). Suffixes alone in their bucket drop out.
 
-A full suffix array would be many times the corpus. Only sampled suffixes are therefore sorted: of
+A full suffix array would be many times the corpus. Only sampled suffixes are therefore sorted first: of
 the ``length - q + 1`` q-grams in a string, the first of least hash. Equal strings sample the same
 place, so every repeat has a sampled suffix in a bucket of two or more. The strings that share a
-sample form an interval of starts [lo, hi]. Rounds:
+sample form an interval of starts [lo, hi].
 
 1. Samples are grouped by bucket, and within it by the buckets at the later offsets that span the
    whole context [lo, hi + length). Alone in its bucket: none of its strings repeats. Context met
    twice: all of them do.
 2. What is left lies at the ends of repeats. Their strings, and those of one sample of each context
-   that shares a bucket with them, are refined one by one by the buckets at their two offsets.
+   that shares a bucket with them, are refined one by one, q bytes first, as said above.
 
-Identifiers are 64-bit hashes of the q-grams. Documents travel in chunks of a few megabytes, a
-written table, and a chunk sends each distinct sample or string once to each bucket, so a passage
-that very many documents share is aggregated before the shuffle; samples of a q-gram that a chunk
-holds in ``HOT`` contexts or more are dealt out by context instead of by q-gram. Verdicts return
-as a few bits each.
+Q-grams are named by 64-bit hashes, all larger buckets by numbers that are given out by sorting. A wrong
+match takes equal hashes of different grams at all offsets of a string at once, two for 200 bytes: with 10^12
+strings the chance of one is about 10^24 / 2^128, below 10^-14. A sample's bucket and context are two
+hashes of 64 bits too.
+
+Documents travel in chunks of a few megabytes, a written table, and a chunk sends each distinct sample
+or string once to each bucket, so a passage that very many documents share is aggregated before the
+shuffle; samples of a q-gram that a chunk holds in ``HOT`` contexts or more are dealt out by context
+instead of by q-gram. Verdicts and numbers return packed.
 
 Texts are UTF-8 bytes (null: empty). Null and repeated ids are carried along, each row is a
 document, an empty table gives an empty result. Long documents are worked through in segments.
@@ -29,7 +34,7 @@ document, an empty table gives an empty result. Long documents are worked throug
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -42,12 +47,15 @@ from pyspark.sql import types as T
 from fleetmart.llm.hashing import Stretches, mixed
 from fleetmart.llm.labelled import unused_column
 from fleetmart.llm.shared import written
+from fleetmart.llm.taskfiles import groups_of, pack, unpack
 
 _U = np.uint64
 GRAM = 128
 CHUNK = 4 << 20
 SEGMENT = 1 << 18
 HOT = 8
+#: What a document adds to its chunk besides its bytes, so that empty ones fill chunks too.
+PER_DOCUMENT = 64
 #: Bytes of text for each bucket of a round.
 BUCKET = 16 << 20
 NONE, ALL, SUBMIT, MARKER = 0, 1, 2, 128
@@ -100,8 +108,9 @@ def samples(data: np.ndarray, ends: np.ndarray, length: int) -> Samples:
         lo, hi = lo[good], hi[good]
         place = chosen[lo]
         later = hi + length - GRAM
-        middle = np.minimum(lo + GRAM, later)
-        context = mixed(gram[lo]) + mixed(gram[later] + _U(1)) * _U(3) + mixed(gram[middle] + _U(2)) * _U(5)
+        context = np.zeros(len(lo), dtype=np.uint64)
+        for k in range(-(-(2 * length - GRAM) // GRAM)):  # offsets that span the longest context
+            context += mixed(gram[np.minimum(lo + k * GRAM, later)] + _U(k)) * _U(2 * k + 1)
         context += mixed(((place - lo) << 32 | (hi - lo)).astype(np.uint64)) * _U(7)
         parts.append(Samples(lo + at, hi + at, mixed(gram[place]), mixed(context)))
     if not parts:
@@ -179,22 +188,37 @@ def judge_classes(route: int, payloads: list[bytes]) -> list[bytes]:
     return [p.tobytes() for p in np.split(out, np.cumsum(sizes)[:-1])]
 
 
-def judge_strings(_: int, payloads: list[bytes]) -> list[bytes]:
-    """Round 2, for one bucket: a bit for every string of every chunk."""
-    sizes = [len(p) // 9 for p in payloads]
-    string = np.concatenate([np.frombuffer(p, _U, n) for p, n in zip(payloads, sizes, strict=True)])
-    weight = np.concatenate([np.frombuffer(p, np.uint8, n, 8 * n) for p, n in zip(payloads, sizes, strict=True)])
-    _, of, = np.unique(string, return_inverse=True)
-    repeated = np.bincount(of, weight)[of] >= 2
-    return [np.packbits(p).tobytes() for p in np.split(repeated, np.cumsum(sizes)[:-1])]
-
-
-def _answers(sent: DataFrame, judge) -> DataFrame:
+def refined_sizes(length: int) -> list[int]:
+    """For how many bytes strings are told apart, one after the other."""
+    sizes = [GRAM]
+    while sizes[-1] < length:
+        sizes.append(min(length, 2 * sizes[-1]))
+    return sizes
+
+
+def judge_strings(bucket: int, buckets: int, payloads: list[bytes]) -> list[bytes]:
+    """For one bucket of keys (pairs of numbers): the number of each string that occurs twice, 0 for others."""
+    parts = [np.frombuffer(zstandard.decompress(p), dtype=np.uint8) for p in payloads]
+    sizes = [len(p) // 17 for p in parts]
+    first, second = (np.concatenate([np.ascontiguousarray(p[8 * n * k : 8 * n * (k + 1)].reshape(8, n).T).view(_U).reshape(-1) for p, n in zip(parts, sizes, strict=True)]) for k in (0, 1))
+    weight = np.concatenate([p[16 * n :] for p, n in zip(parts, sizes, strict=True)])
+    order = np.lexsort((second, first))
+    first, second = first[order], second[order]
+    new = np.ones(len(first), dtype=bool)
+    new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+    of = np.cumsum(new) - 1
+    repeated = np.bincount(of, weight[order]) >= 2
+    number = np.where(repeated, np.cumsum(repeated) * buckets + bucket, 0)
+    out = np.empty(len(of), dtype=np.int64)
+    out[order] = number[of]
+    return [pack(p) for p in np.split(out, np.cumsum(sizes)[:-1])]
+
+
+def _answers(sent: DataFrame, judge: Callable[[int, int, list[bytes]], list[bytes]]) -> DataFrame:
     """``chunk_id, verdicts``: what every bucket says about what a chunk sent to it."""
 
     def run(rows: pa.Table) -> pa.Table:
-        route = rows.column("route")[0].as_py()
-        verdicts = judge(route, rows.column("payload").to_pylist())
+        verdicts = judge(rows.column("route")[0].as_py(), rows.column("bucket")[0].as_py(), rows.column("payload").to_pylist())
         return pa.table({"route": rows.column("route"), "bucket": rows.column("bucket"), "chunk_id": rows.column("chunk_id"), "verdict": pa.array(verdicts, pa.binary())})
 
     answered = sent.groupBy("route", "bucket").applyInArrow(run, "route int, bucket long, chunk_id long, verdict binary")
@@ -221,37 +245,74 @@ class Chunk:
         lo, hi = self.samples.lo[submit], self.samples.hi[submit]
         sizes = hi - lo + 1
         ends = np.cumsum(sizes)
-        self.places = np.repeat(lo - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
-        self.strings, self.of_place, counts = np.unique(self._strings(lo, hi), return_inverse=True, return_counts=True)
-        self.weights = np.minimum(counts, 2).astype(np.uint8)
-        target = (self.strings % _U(self.buckets)).astype(np.int64)
-        by = np.argsort(target, kind="stable")
-        self.sent = [part for part in np.split(by, np.flatnonzero(np.diff(target[by])) + 1) if len(part)]
-        self.targets = [int(target[part[0]]) for part in self.sent]
-
-    def _strings(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        """Of all starts in the given intervals, the buckets at both offsets as one number."""
-        out = [np.empty(0, dtype=np.uint64)]
-        step = 2048
-        for k in range(0, len(lo), step):
-            a, b = lo[k : k + step], hi[k : k + step] + self.length
-            sizes = b - a
-            ends = np.cumsum(sizes)
-            hashed = Stretches(self.data[np.repeat(a - (ends - sizes), sizes) + np.arange(ends[-1])])
-            n = sizes - self.length + 1
-            upto = np.cumsum(n)
-            at = np.repeat(ends - sizes - (upto - n), n) + np.arange(upto[-1])
-            later = at + self.length - GRAM
-            out.append(mixed(mixed(hashed.raw(at, at + GRAM)) + mixed(hashed.raw(later, later + GRAM) + _U(1)) * _U(3)))
+        places = np.sort(np.repeat(lo - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0))
+        self.sizes = refined_sizes(self.length)
+        self.places = [places]  # the starts whose strings are told apart at each size
+        for size, shorter in zip(self.sizes[:0:-1], self.sizes[-2::-1], strict=True):
+            self.places.insert(0, np.union1d(self.places[0], self.places[0] + (size - shorter)))
+        self.numbers: list[np.ndarray] = []  # of each size so far: the bucket of each start, 0 if alone
+
+    def keys(self) -> tuple[np.ndarray, list[tuple[int, np.ndarray]], np.ndarray, list[bytes]]:
+        """Of the next size: for each start its distinct string (-1: alone already), and the distinct ones by
+        bucket, with what is sent to each."""
+        k = len(self.numbers)
+        places = self.places[k]
+        if k == 0:
+            first, second = self._grams(places), np.zeros(len(places), dtype=_U)
+            open_ = np.ones(len(places), dtype=bool)
+        else:
+            before = self.places[k - 1]
+            first, second = (self.numbers[k - 1][np.searchsorted(before, places + by)].astype(_U) for by in (0, self.sizes[k] - self.sizes[k - 1]))
+            open_ = (first > 0) & (second > 0)
+        at = np.flatnonzero(open_)
+        order = at[np.lexsort((second[at], first[at])) if k else np.argsort(first[at])]
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (first[order[1:]] != first[order[:-1]]) | (second[order[1:]] != second[order[:-1]])
+        of = np.full(len(places), -1, dtype=np.int64)
+        of[order] = np.cumsum(new) - 1
+        start = np.flatnonzero(new)
+        first, second = first[order[start]], second[order[start]]
+        weights = np.minimum(np.diff(np.append(start, len(order))), 2).astype(np.uint8)
+        target = (mixed(first + second * _U(0x9E3779B97F4A7C15)) % _U(self.buckets)).astype(np.int64)
+        groups = groups_of(target, self.buckets) if len(target) else []
+        planes = lambda x: x.view(np.uint8).reshape(len(x), 8).T.tobytes()
+        sent = [zstandard.compress(planes(first[own]) + planes(second[own]) + weights[own].tobytes(), 1) for _, own in groups]
+        return of, groups, weights, sent
+
+    def refine(self, verdicts: list[dict] | None) -> None:
+        """Take the numbers of the next size."""
+        of, groups, weights, _ = self.keys()
+        said = {v["bucket"]: v["verdict"] for v in verdicts or []}
+        number = np.zeros(len(weights) + 1, dtype=np.int64)  # the last: alone already
+        for bucket, own in groups:
+            number[own] = unpack(said[bucket])
+        self.numbers.append(number[of])
+
+    def _grams(self, places: np.ndarray) -> np.ndarray:
+        """The q-grams that begin at these places, as numbers."""
+        if not len(places):
+            return np.empty(0, dtype=_U)
+        cut = np.flatnonzero(np.diff(places) > GRAM) + 1
+        runs = list(zip([0, *cut.tolist()], [*cut.tolist(), len(places)], strict=True))
+        out, k = [], 0
+        while k < len(runs):  # stretches of places that lie close, some hundred thousand bytes at a time
+            upto, size = k, 0
+            while upto < len(runs) and size < SEGMENT:
+                size += int(places[runs[upto][1] - 1] - places[runs[upto][0]]) + GRAM
+                upto += 1
+            parts, at, base = [], [], 0
+            for a, b in runs[k:upto]:
+                parts.append(self.data[places[a] : places[b - 1] + GRAM])
+                at.append(places[a:b] - places[a] + base)
+                base += len(parts[-1])
+            starts = np.concatenate(at)
+            out.append(mixed(Stretches(np.concatenate(parts)).raw(starts, starts + GRAM)))
+            k = upto
         return np.concatenate(out)
 
-    def removed(self, verdicts: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
+    def removed(self) -> tuple[np.ndarray, np.ndarray]:
         """Begin and end of the maximal runs of covered bytes."""
-        said = {v["bucket"]: v["verdict"] for v in verdicts or []}
-        repeated = np.zeros(len(self.strings), dtype=bool)
-        for bucket, part in zip(self.targets, self.sent, strict=True):
-            repeated[part] = np.unpackbits(np.frombuffer(said[bucket], dtype=np.uint8), count=len(part)).astype(bool)
-        single = self.places[repeated[self.of_place]]
+        single = self.places[-1][self.numbers[-1] > 0]
         begin = np.concatenate([self.samples.lo[self.all], single])
         end = np.concatenate([self.samples.hi[self.all], single]) + self.length
         order = np.argsort(begin, kind="stable")
@@ -281,7 +342,7 @@ def _chunks(docs: DataFrame) -> DataFrame:
             texts, other, at = batch.column("text").to_pylist(), batch.column("rest"), 0
             for i, text in enumerate(texts):
                 held.append(text)
-                size += len(text)
+                size += len(text) + PER_DOCUMENT
                 if size >= CHUNK:
                     others.append(other.slice(at, i + 1 - at))
                     yield packed()
@@ -294,16 +355,21 @@ def _chunks(docs: DataFrame) -> DataFrame:
     return written(docs.mapInArrow(run, schema).withColumn("chunk_id", F.monotonically_increasing_id()), "chunks")
 
 
-def _sent(chunks: DataFrame, length: int, buckets: int, round_: int) -> DataFrame:
+def _sent(chunks: DataFrame, length: int, buckets: int, rounds: int | None) -> DataFrame:
+    """What chunks send: samples (``rounds`` None), or strings after so many rounds of refinement."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.select([c for c in batch.schema.names if c != "rest"]).to_pylist():
                 chunk = Chunk(row["text"], row["ends"], length, buckets)
-                if round_ == 1:
+                if rounds is None:
                     out = [(route, bucket, payload) for route, bucket, _, payload in chunk.classes.sent]
                 else:
-                    chunk.judged(row["verdicts"])
-                    out = [(0, bucket, chunk.strings[part].tobytes() + chunk.weights[part].tobytes()) for bucket, part in zip(chunk.targets, chunk.sent, strict=True)]
+                    chunk.judged(row["samples"])
+                    for k in range(rounds):
+                        chunk.refine(row[f"round_{k}"])
+                    _, groups, _, payloads = chunk.keys()
+                    out = [(0, bucket, payload) for (bucket, _), payload in zip(groups, payloads, strict=True)]
                 routes, targets, payloads = zip(*out, strict=True) if out else ((), (), ())
                 yield pa.RecordBatch.from_arrays([pa.array(routes, pa.int32()), pa.array(targets, pa.int64()), pa.array([row["chunk_id"]] * len(out), pa.int64()), pa.array(payloads, pa.binary())], names=["route", "bucket", "chunk_id", "payload"])
 
@@ -313,27 +379,33 @@ def _sent(chunks: DataFrame, length: int, buckets: int, round_: int) -> DataFram
 def remove_repeats(docs: DataFrame, length: int = 200, text_col: str = "text", as_text: bool = False) -> DataFrame:
     """Column ``rest`` (a struct of all columns of ``docs`` but the text), ``n_bytes, n_removed,
     n_spans`` and ``kept``, the remaining bytes or their text, for every row."""
-    if not GRAM < length <= 2 * GRAM:
-        raise ValueError(f"length must be above {GRAM} and at most {2 * GRAM}")
+    if length <= GRAM:
+        raise ValueError(f"length must be above {GRAM}")
     others = [F.col(c) for c in docs.columns if c != text_col]
     rest = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
     chunks = _chunks(docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"), rest.alias("rest")))
     total = chunks.agg(F.sum(F.element_at("ends", -1))).first()[0] or 0
     buckets = max(16, -(-total // BUCKET))
     bare = chunks.select("chunk_id", "text", "ends")
-    first = written(_answers(_sent(bare, length, buckets, 1), judge_classes), "first_verdicts")
-    second = written(_answers(_sent(bare.join(first, "chunk_id", "left"), length, buckets, 2), judge_strings), "second_verdicts")
-    said = first.withColumnRenamed("verdicts", "first").join(second.withColumnRenamed("verdicts", "second"), "chunk_id", "left")
+    said = written(_answers(_sent(bare, length, buckets, None), lambda route, _, payloads: judge_classes(route, payloads)), "samples").withColumnRenamed("verdicts", "samples")
+    rounds = len(refined_sizes(length))
+    for k in range(rounds):
+        sent = _sent(bare.join(said, "chunk_id", "left"), length, buckets, k)
+        numbers = written(_answers(sent, lambda _, bucket, payloads: judge_strings(bucket, buckets, payloads)), "numbers")
+        said = said.join(numbers.withColumnRenamed("verdicts", f"round_{k}"), "chunk_id", "left")
+    names = ["samples", *(f"round_{k}" for k in range(rounds))]
     kind = chunks.schema["rest"].dataType.elementType
     schema = T.StructType([T.StructField("rest", kind), *(T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rests = batch.column("rest")
-            for k, row in enumerate(batch.select(["text", "ends", "first", "second"]).to_pylist()):
+            for k, row in enumerate(batch.select(["text", "ends", *names]).to_pylist()):
                 chunk = Chunk(row["text"], row["ends"], length, buckets)
-                chunk.judged(row["first"])
-                begin, end = chunk.removed(row["second"])
+                chunk.judged(row["samples"])
+                for name in names[1:]:
+                    chunk.refine(row[name])
+                begin, end = chunk.removed()
                 kept, n_removed = [], []
                 cuts = np.searchsorted(begin, chunk.ends)
                 for a, b, x, y in zip(chunk.ends[:-1].tolist(), chunk.ends[1:].tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
@@ -348,7 +420,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, text_col: str = "text", a
                 column = pa.array([t.decode("utf-8", "ignore") for t in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
                 yield pa.RecordBatch.from_arrays([own, pa.array(sizes, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(np.diff(cuts), pa.int64()), column], names=["rest", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return chunks.join(said, "chunk_id", "left").select("rest", "text", "ends", "first", "second").mapInArrow(run, schema)
+    return chunks.join(said, "chunk_id", "left").select("rest", "text", "ends", *names).mapInArrow(run, schema)
 
 
 def cleaned(docs: DataFrame, length: int = 200, text_col: str = "text", size_col: str = "n_chars") -> DataFrame:

@@ -155,6 +155,30 @@ def test_repeated_passages(spark, monkeypatch, hot):
     assert got == dict(enumerate(without_repeats(texts, 200)))
 
 
+@pytest.mark.parametrize("length", [129, 256, 300, 520, 1100])
+def test_passages_of_any_length(spark, length):
+    rng = random.Random(length)
+    passages = ["".join(rng.choice("abcd ") for _ in range(n)) for n in (100, 128, 200, length - 1, length, length + 1, 2 * length, 1500)]
+    texts = []
+    for _ in range(60):
+        parts = [rng.choice([rng.choice(passages), rng.choice(passages)[rng.randrange(90) :], "".join(rng.choice("wxyz") for _ in range(rng.randrange(200)))]) for _ in range(rng.randrange(6))]
+        texts.append("".join(parts))
+    texts += ["ab" * 900, "a" * (length + 3), "", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.rest.doc_id: (r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(frame, length).collect()}
+    assert [got[i] for i in range(len(texts))] == without_repeats(texts, length)
+
+
+def test_sizes_double_up_to_the_length():
+    assert [repeats.refined_sizes(n) for n in (129, 200, 256, 257, 1100)] == [[128, 129], [128, 200], [128, 256], [128, 256, 257], [128, 256, 512, 1024, 1100]]
+
+
+def test_empty_texts_fill_chunks(spark):
+    frame = spark.createDataFrame([(i, "") for i in range(70_000)], "doc_id long, text string").coalesce(1)
+    chunks = repeats._chunks(frame.select(F.col("text").cast("binary").alias("text"), F.struct("doc_id").alias("rest")))
+    assert chunks.count() > 1 and repeats.remove_repeats(frame).count() == 70_000
+
+
 def test_odd_repeats(spark, odd, empty):
     rows = odd.collect()
     expected = Counter((r.doc_id, kept.decode("utf-8", "ignore") if r.text is not None else None) for r, (_, _, kept) in zip(rows, without_repeats([r.text for r in rows], 200), strict=True))
@@ -165,7 +189,7 @@ def test_odd_repeats(spark, odd, empty):
     assert all(r.n_chars == (None if r.text is None else len(r.text)) and (r.score, r.rest) in {(0.5, "x"), (0.5, None)} for r in got)
     assert repeats.cleaned(empty).count() == 0
     with pytest.raises(ValueError):
-        repeats.remove_repeats(odd, 300)
+        repeats.remove_repeats(odd, repeats.GRAM)
 
 
 def check_simhash(rows, got, radius):
