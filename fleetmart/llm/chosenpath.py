@@ -186,8 +186,9 @@ def compare(rows: DataFrame, key: str, payload: str, linked: Linked) -> DataFram
     return each_group(rows.select(key, "i", "j", "own", "cls", payload), [key], "cls", work, "a binary, b binary").distinct()
 
 
-def connect(members: DataFrame, key: str, payloads: DataFrame, payload: str, linked: Linked, largest: int) -> DataFrame:
-    """Edges that connect what is connected by ``linked`` pairs within groups (``key, cls, size``).
+def connect(members: DataFrame, key: str, payloads: DataFrame, payload: str, linked: Linked, largest: int, n: int) -> DataFrame:
+    """Edges that connect what is connected by ``linked`` pairs within groups (``key, cls, size``), of
+    which there are ``n`` rows and the largest has ``largest``.
 
     A group of more than ``ROWS`` is compared with its first block first. Rows that are then connected
     need no comparison among themselves, so only rows of different components go on: a family of near
@@ -196,7 +197,7 @@ def connect(members: DataFrame, key: str, payloads: DataFrame, payload: str, lin
     if largest <= ROWS:
         return edges
     crowded = members.filter(F.col("size") > ROWS)
-    first = written(compare(with_first_block(crowded).join(payloads, "cls"), key, payload, linked), "first")
+    first = written(compare(with_first_block(crowded).join(payloads, "cls"), key, payload, linked), "first", n)
     labels = components(first).withColumnsRenamed({"node": "cls"})
     labelled = crowded.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     rest = compare(between_labels(labelled, key).join(payloads, "cls"), key, payload, linked)
@@ -293,14 +294,14 @@ def _linked(docs: DataFrame, similarity: Fraction, id_col: str, text_col: str) -
     for more in compared[1:]:
         nodes = nodes.unionByName(more)
     agree = signatures_agree(least_agreement(floor))
-    candidates = written(connect(nodes, "node", signatures, "signature", agree, largest if rows_ and level == DEPTH else 0).distinct(), "candidates", most)
+    candidates = written(connect(nodes, "node", signatures, "signature", agree, largest if rows_ and level == DEPTH else 0, most).distinct(), "candidates", most)
     groups = written(components(candidates).withColumnsRenamed({"node": "cls"}), "groups", 2 * candidates.count())
     n = groups.count()
     sizes = written(groups.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "group_sizes", n)
     largest = sizes.agg(F.max("size")).first()[0] or 0
     sets = written(_sets_of(texts, groups.join(classes, "cls").select("cls", "text_key")), "sets")
     grouped = groups.join(sizes, "label").select(F.xxhash64("label").alias("group"), "cls", "size")
-    links = written(connect(grouped, "group", sets, "tokens", sets_similar(similarity), largest).distinct(), "links", n)
+    links = written(connect(grouped, "group", sets, "tokens", sets_similar(similarity), largest, n).distinct(), "links", n)
     return rows, classes, components(links).withColumnsRenamed({"node": "cls"})
 
 

@@ -346,7 +346,7 @@ def test_work_on_a_family_of_near_copies_is_in_proportion(spark):
             met.add(len(left))
             return np.ones(len(left), dtype=bool)
 
-        edges = chosenpath.connect(members, "group", payloads, "p", linked, n).collect()
+        edges = chosenpath.connect(members, "group", payloads, "p", linked, n, 2 * n).collect()
         label = components(range(n), [(int(r.a), int(r.b)) for r in edges])
         assert set(label.values()) == {0}
         return met.value
@@ -363,7 +363,7 @@ def test_groups_of_several_components_are_found_whole(spark, monkeypatch, n):
         number = np.array([int(v.split(b",")[1]) for v in values])
         return (number[left] % 7 == number[right] % 7) & (number[left] % 7 < 5) & (np.abs(number[left] - number[right]) < 60)
 
-    edges = chosenpath.connect(members, "group", members.select("cls", F.col("cls").alias("p")), "p", linked, n).collect()
+    edges = chosenpath.connect(members, "group", members.select("cls", F.col("cls").alias("p")), "p", linked, n, 2 * n).collect()
     key = lambda v: tuple(map(int, bytes(v).split(b",")))
     got = components([(g, i) for g in range(2) for i in range(n)], [(key(r.a), key(r.b)) for r in edges])
     want = components([(g, i) for g in range(2) for i in range(n)], [((g, i), (g, i + 7)) for g in range(2) for i in range(n - 7) if i % 7 < 5])
