@@ -26,6 +26,8 @@ BITS = 128
 HEAVIEST = 32
 #: Documents that a slice of the order should hold, and slices at most.
 SLICE, MOST_SLICES = 2_000, 4_096
+#: Ids with the rows of several slices, at most: those with over this part of all rows.
+MOST_CROWDED = 1_600
 _LANES = 0x0000000100000001
 _LOW = 0x00000000FFFFFFFF
 
@@ -78,28 +80,55 @@ def _slice_of(bounds: list[int], value: Column) -> Column:
     return passed + F.size(F.filter(F.slice(every, passed + 1, F.lit(step)), lambda b: b < value))
 
 
+def _within(bounds: list[int], least: int, most: int, own: Column, value: Column, parts: int) -> Column:
+    """Which of ``parts`` even pieces of its slice a value lies in; ascending with it."""
+    lows, highs = (F.array(*[F.lit(float(b)) for b in edges]) for edges in ([least, *bounds], [*bounds, most]))
+    low, high = (F.get(edges, own.cast("int")) for edges in (lows, highs))
+    share = F.when(high > low, (value.cast("double") - low) / (high - low)).otherwise(0.0)
+    return F.least(F.lit(parts - 1), F.greatest(F.lit(0), F.floor(share * parts))).cast("long")
+
+
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``slice, place, doc_id, text, next_text, guest``: every document with the text of the next
+    """``slice, place, doc_id, text, next_text, guest, copies``: every document with the text of the next
     in descending order of ``doc_id``; after the last comes the first.
 
     The order is cut into slices at approximate quantiles of the ids, of which at most
-    ``MOST_SLICES`` reach the driver. A slice's first document is also a guest, last in the slice
-    before it. ``slice, place`` tell rows apart and the rows are dealt out by ``slice``."""
+    ``MOST_SLICES`` reach the driver; beyond, slices are cut evenly between them. An id with the rows of
+    several slices (the driver gets at most ``MOST_CROWDED`` such) has slices of its own, by ranges of the hash of
+    the text, and its equal rows are one with their number in ``copies``, whose next text is the last copy's. A slice's
+    first document is also a guest, last in the slice before it. ``slice, place`` tell rows apart and the rows are
+    dealt out by ``slice``."""
     base = id_and_text(docs, id_col, text_col)
-    slices = min(MOST_SLICES, max(1, -(-base.count() // SLICE)))
+    size = base.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).first()
+    slices = min(MOST_SLICES, max(1, -(-size["n"] // SLICE)))
+    parts = max(1, -(-size["n"] // (slices * SLICE)))
     cuts = [k / slices for k in range(1, slices)]
-    bounds = base.agg(F.percentile_approx("doc_id", cuts, 50_000)).first()[0] if cuts else []
-    value = F.col("doc_id")
-    own = F.coalesce(_slice_of(sorted(set(bounds or [])), value), F.lit(0)) if bounds else F.lit(0)
-    rows = base.withColumn("slice", F.when(value.isNull(), F.lit(-1)).otherwise(own)).withColumn("tie", F.xxhash64("text"))
+    found = base.agg(F.percentile_approx("doc_id", cuts, 50_000)).first()[0] if cuts else None
+    crowd = max(2.5 * SLICE, size["n"] / MOST_CROWDED)
+    hot = {r["doc_id"]: r["count"] for r in base.groupBy("doc_id").count().filter(F.col("count") > crowd).collect()}
+    bounds = sorted({*(found or []), *(k for k in hot if k is not None)})  # a crowded id is the highest of its slice
+    value, tie = F.col("doc_id"), F.xxhash64("text")
+    own = F.coalesce(_slice_of(bounds, value), F.lit(0)) if bounds else F.lit(0)
+    own = F.when(value.isNull(), F.lit(-1)).otherwise(own).cast("long")
+    piece = _within(bounds, size["least"] or 0, size["most"] or 0, own, value, parts) if parts > 1 else F.lit(0).cast("long")
+    rows = base.withColumn("copies", F.lit(1).cast("long"))
+    if hot:
+        is_hot = reduce(Column.__or__, [value.eqNullSafe(F.lit(k).cast("long")) for k in hot])
+        repeated = base.filter(is_hot).groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("copies"))
+        rows = rows.filter(~is_hot).unionByName(repeated)
+        many = F.coalesce(*[F.when(value.eqNullSafe(F.lit(k).cast("long")), F.lit(-(-n // SLICE))) for k, n in hot.items()]).cast("long")
+        # the upper half of the hash, in the order of the signed number
+        upper = F.shiftrightunsigned(tie.bitwiseXOR(F.lit(-(1 << 63)).cast("long")), 33)
+        own, piece = own * 2 + is_hot.cast("long"), F.when(is_hot, F.shiftright(upper * many, 31)).otherwise(piece)
+    rows = rows.withColumn("slice", F.shiftleft(own, 24) + piece).withColumn("tie", tie)
     tops = rows.groupBy("slice").agg(F.max(F.struct("doc_id", "tie")).alias("top"))
     before = F.lag("slice").over(Window.orderBy(F.col("slice").desc()))
-    tops = written(tops.select("slice", "top.*", F.coalesce(before, F.min("slice").over(Window.partitionBy(F.lit(0)))).alias("host")), "tops")
+    tops = written(tops.select("slice", "top.*", F.coalesce(before, F.min("slice").over(Window.partitionBy(F.lit(0)))).alias("host")), "tops", slices * parts)
     same = [rows["slice"] == tops["slice"], rows["doc_id"].eqNullSafe(tops["doc_id"]), rows["tie"] == tops["tie"]]
-    guests = rows.join(F.broadcast(tops), same).select(tops["host"].alias("slice"), rows["doc_id"], rows["text"], rows["tie"], F.lit(1).alias("guest"))
+    guests = rows.join(tops, same).select(tops["host"].alias("slice"), rows["doc_id"], rows["text"], rows["tie"], F.lit(1).alias("guest"), rows["copies"])
     order = Window.partitionBy("slice").orderBy("guest", F.col("doc_id").desc_nulls_last(), F.col("tie").desc())
-    both = rows.select("slice", "doc_id", "text", "tie", F.lit(0).alias("guest")).unionByName(guests)
-    return both.select("slice", F.row_number().over(order).alias("place"), "doc_id", "text", F.lead("text").over(order).alias("next_text"), "guest")
+    both = rows.select("slice", "doc_id", "text", "tie", F.lit(0).alias("guest"), "copies").unionByName(guests)
+    return both.select("slice", F.row_number().over(order).alias("place"), "doc_id", "text", F.lead("text").over(order).alias("next_text"), "guest", "copies")
 
 
 def edited(text: str, next_text: str) -> Column:
@@ -112,15 +141,23 @@ def edited(text: str, next_text: str) -> Column:
 def compared(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its fingerprint, that of its edited text, how alike they are, how
     alike the next document's is, and ``n_near``, the other documents within ``radius``."""
-    rows = with_next(docs, id_col, text_col).withColumn("edited", edited("text", "next_text"))
-    facts = F.struct("doc_id", "guest", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    rows = with_next(docs, id_col, text_col)
+    # the next text of a copy that is not the last is its own: such copies are a row beside the last one's
+    last = F.struct(F.col("next_text").alias("next_text"), F.lit(1).cast("long").alias("weight"), F.lit(1).alias("last"))
+    others = F.struct(F.col("text").alias("next_text"), (F.col("copies") - 1).alias("weight"), F.lit(0).alias("last"))
+    rows = rows.withColumn("n", F.explode(F.when((F.col("copies") > 1) & (F.col("guest") == 0), F.array(others, last)).otherwise(F.array(last))))
+    rows = rows.select("slice", "place", "doc_id", "text", "guest", "n.*").withColumn("edited", edited("text", "next_text"))
+    facts = F.struct("doc_id", "guest", "weight", "last", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     texts = rows.select("slice", "place", facts.alias("facts"), F.explode(F.array(F.struct(F.lit(0).alias("variant"), F.col("text")), F.struct(F.lit(1).alias("variant"), F.col("edited").alias("text")))).alias("t"))
     votes = fingerprints(texts.select("slice", "place", "facts", "t.variant", "t.text"), ["slice", "place", "facts", "variant"])
     own = F.struct("f1", "f2")
     pairs = votes.groupBy("slice", "place", "facts").agg(F.max(F.when(F.col("variant") == 0, own)).alias("o"), F.max(F.when(F.col("variant") == 1, own)).alias("e"))
-    after = F.lead("o").over(Window.partitionBy("slice").orderBy("place"))
+    after = F.lead("o").over(Window.partitionBy("slice").orderBy("place", "facts.last"))
     pairs = pairs.withColumn("x", after).filter("facts.guest = 0")
-    found = written(pairs.select("facts.doc_id", "facts.n_chars", "facts.edited_sha256", "o", "e", "x"), "fingerprints")
+    facts = pairs.select("facts.doc_id", "facts.n_chars", "facts.edited_sha256", "facts.weight", "o", "e", "x")
+    facts = facts.withColumn("some", F.explode(F.expr("sequence(0, weight - 1, 10000)")))  # copies, some thousand at a time
+    facts = facts.withColumn("copy", F.explode(F.expr("array_repeat(1, cast(least(10000, weight - some) as int))")))
+    found = written(facts.drop("weight", "some", "copy"), "fingerprints")
 
     def likeness(other: str) -> Column:
         return 1 - distance("o.f1", "o.f2", f"{other}.f1", f"{other}.f2") / F.lit(float(BITS))

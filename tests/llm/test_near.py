@@ -225,6 +225,29 @@ def test_odd_simhash(spark, odd, empty):
     check_simhash(one.collect(), simhash.compared(one).collect(), 3)
 
 
+@pytest.mark.parametrize(("slice_", "most"), [(10, 4), (10, 4096), (7, 1), (2_000, 4096)])
+def test_next_documents_of_crowded_ids(spark, monkeypatch, slice_, most):
+    monkeypatch.setattr(simhash, "SLICE", slice_)
+    monkeypatch.setattr(simhash, "MOST_SLICES", most)
+    rows = [(5, f"text {i} of five") for i in range(200)] + [(None, f"no id {i}") for i in range(60)] + [(None, "one and the same")] * 90 + [(5, "copy of five")] * 70
+    rows += [(i * i * i, f"own words {i}") for i in range(-20, 120)] + [(8, "twice")] * 2 + [(-(1 << 63), "least"), ((1 << 63) - 1, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    hashes = {r[0]: r[1] for r in frame.select(F.coalesce("text", F.lit("")).alias("t")).distinct().select("t", F.xxhash64("t")).collect()}
+    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), -hashes[r[1]]))
+    want = Counter()
+    for k, (i, text) in enumerate(order):
+        after, third = order[(k + 1) % len(order)][1], len(text) // 3
+        want[i, len(text), sha256((text[: len(text) - third] + after[:third]).encode())] += 1
+    got = simhash.compared(frame).collect()
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == want
+    prints = {}
+    for r in got:
+        prints.setdefault((r.doc_id, r.n_chars), set()).add(r.fingerprint)
+    assert len(prints[None, 16]) == 1 and sum(r.near_next == 1.0 for r in got if (r.doc_id, r.n_chars) == (None, 16)) >= 89
+    slices = simhash.with_next(frame).groupBy("slice").count().agg(F.max("count")).first()[0]
+    assert most < 4096 or slices <= max(60, 4 * slice_) or slice_ == 2_000
+
+
 def test_all_fingerprints_within_the_radius(spark):
     rng = random.Random(9)
     base = [rng.getrandbits(128) for _ in range(5)]
