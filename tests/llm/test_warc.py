@@ -49,6 +49,14 @@ def test_odd_pages(spark, tmp_path, least):
     assert warc.read_archives(none).count() == 0
 
 
+def test_repeated_rows_of_a_response_are_responses(spark, tmp_path):
+    rows = [(1, "u", "same")] * 3 + [(2, "u", "same")] * 2 + [(1, "u", "other"), (None, "u", "other"), (None, "u", "alone"), (None, "u", "alone")]
+    manifest = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), str(tmp_path / "w"), DATE)
+    got = Counter(tuple(r) for r in warc.read_archives(manifest).collect())
+    assert got == expected([(r[0], r[2]) for r in rows])
+    assert Counter(r[3] for r in got.elements()) == {"response": 6, "revisit": 3}
+
+
 def test_file_layout():
     rng = random.Random(1)
     words = [f"<p>word{i}</p>" for i in range(300)]
