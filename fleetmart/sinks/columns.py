@@ -26,7 +26,7 @@ def note(spark: SparkSession, base: str, days: Sequence[str | None], columns: Se
     """Note that these days have these columns."""
     if not days:
         return
-    fs, place = versions._open(spark, f"{_folder(base)}/{uuid.uuid4().hex}.json")
+    fs, place = versions.located(spark, f"{_folder(base)}/{uuid.uuid4().hex}.json")
     text = "".join(json.dumps({"day": day, "columns": list(columns)}) + "\n" for day in days)
     out = fs.create(place, False)
     out.write(bytearray(text.encode()))

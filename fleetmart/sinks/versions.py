@@ -26,7 +26,8 @@ class LostTableError(RuntimeError):
     """The folder of a table is there, but no complete version in it."""
 
 
-def _open(spark: SparkSession, path: str):
+def located(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
     sc = spark.sparkContext
     place = sc._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(sc._jsc.hadoopConfiguration()), place
@@ -34,30 +35,30 @@ def _open(spark: SparkSession, path: str):
 
 def children(spark: SparkSession, path: str) -> list[str] | None:
     """Names in a folder; None if there is no such folder."""
-    fs, place = _open(spark, path)
+    fs, place = located(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(place)) if fs.exists(place) else None
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, place = _open(spark, path)
+    fs, place = located(spark, path)
     return fs.exists(place)
 
 
 def touch(spark: SparkSession, path: str) -> None:
     """An empty file, if there is none."""
-    fs, place = _open(spark, path)
+    fs, place = located(spark, path)
     if not fs.exists(place):
         fs.create(place, True).close()
 
 
 def rename(spark: SparkSession, source: str, target: str) -> None:
-    fs, place = _open(spark, target)
-    if not fs.rename(_open(spark, source)[1], place):
+    fs, place = located(spark, target)
+    if not fs.rename(located(spark, source)[1], place):
         raise OSError(f"cannot rename {source} to {target}")
 
 
 def delete(spark: SparkSession, path: str) -> None:
-    fs, place = _open(spark, path)
+    fs, place = located(spark, path)
     fs.delete(place, True)
 
 
