@@ -21,7 +21,7 @@ _NO_SEPARATOR = "\x01"
 # ``decode`` knows.
 _SPLITTABLE = {"utf-8", "utf8", "iso-8859-1", "latin-1", "latin1", "us-ascii", "ascii"}
 # File systems that tasks open by themselves, under the name they have there.
-_OPENED = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+_OPENED = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs"}
 _FILES_A_TASK = 100
 
 
@@ -84,17 +84,27 @@ def _headers(spark: SparkSession, paths: list[str], encoding: str) -> list[tuple
     return [(r["line"], r["files"]) for r in lines.collect()]
 
 
+def _opened(file: str):
+    """The file system of a file, and its path there; names are as they are, not escaped."""
+    from pyarrow import fs
+
+    scheme, _, rest = file.partition(":")
+    authority, _, path = rest[2:].partition("/") if rest.startswith("//") else ("", "", rest.lstrip("/"))
+    kind = _OPENED[scheme]
+    if kind == "file":
+        return fs.LocalFileSystem(), f"/{path}"
+    place, _ = fs.FileSystem.from_uri(f"{kind}://{authority}/")
+    return place, f"/{path}" if kind == "hdfs" else f"{authority}/{path}"
+
+
 def _opened_heads(spark: SparkSession, files: list[str], encoding: str) -> DataFrame:
     """``file, line``: tasks open the files and read no further than the first line."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         for batch in batches:
             lines = []
             for file in batch.column("file").to_pylist():
-                scheme, _, rest = file.partition(":")
-                place, inner = fs.FileSystem.from_uri(f"{_OPENED[scheme]}://{rest if rest.startswith('//') else '//' + rest}".replace(":////", ":///"))
+                place, inner = _opened(file)
                 with place.open_input_stream(inner) as stream:
                     head = b""
                     while b"\n" not in head and b"\r" not in head and (more := stream.read(1 << 16)):

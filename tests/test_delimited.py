@@ -85,6 +85,14 @@ def test_compressed_and_hidden_files_and_folders(spark, tmp_path):
         read_delimited(spark, str(tmp_path / "empty.csv"))
 
 
+def test_names_with_spaces_and_signs(spark, tmp_path):
+    for n, name in enumerate(["a b.csv", "50%25.csv", "x#y.csv", "é+ü.csv"]):
+        (tmp_path / name).write_text(f"K;V\n{n};1\n")
+    assert rows_of(read_delimited(spark, str(tmp_path))) == [(str(n), "1") for n in range(4)]
+    assert rows_of(read_delimited(spark, str(tmp_path), multi_line=True)) == [(str(n), "1") for n in range(4)]
+    assert rows_of(read_delimited(spark, str(tmp_path / "a b.csv"))) == [("0", "1")]
+
+
 def test_heads_by_spark_equal_those_that_tasks_open(spark, tmp_path):
     for n, text in enumerate(["A;B\n1;2\n", "A;B", "B;A\r\n3;4\r\n", "﻿Ç;D\n"]):
         (tmp_path / f"{n}.csv").write_text(text, encoding="utf-8")
