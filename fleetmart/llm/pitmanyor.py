@@ -7,8 +7,9 @@ and each table of a restaurant is a customer of the parent. Seating is sampled b
 customers of each dish in each restaurant leave one after the other and sit down again, given all
 tables of the dish, the other tables of the restaurant and the parent's probabilities as the sweep before left them
 (so all dishes are drawn at once, in parallel); then the parent's customers, of whom some have gone or
-come, do the same. Of more than ``MOVES`` customers of a dish that many move in a sweep, chosen at random. The
-first seating is drawn in sequence. Predictive probabilities are averaged over the sweeps after
+come, do the same. More than ``FEW`` customers of a dish leave in random blocks that hold every one of them once;
+a block sits down in sequence, by the ratio of Metropolis and Hastings, so that the seating has the same distribution
+as if they went one by one. The first seating is drawn in sequence. Predictive probabilities are averaged over the sweeps after
 ``burn_in``; discounts are estimated from the numbers of dishes with one and two customers, strengths are
 parameters.
 
@@ -18,7 +19,7 @@ homes and their numbers back, the distinct (context, word) pairs of a shard to t
 probabilities back, and in each sweep sums of tables by context and word. Pairs are dealt out by
 context, and those of a frequent context over several buckets by word too, so no restaurant lies in one
 task; of a frequent pair each shard sends one row. Seating a dish takes time with its tables and the
-logarithm of its customers. What is gathered grows with the training texts; nothing is cut off.
+logarithm of its customers, in each block. What is gathered grows with the training texts; nothing is cut off.
 
 Tokens are words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end; the context of the first
 is an end. Null text: empty, one token. Null ``doc_id``: a training text. Equal ids: each row is a
@@ -51,8 +52,8 @@ SHARD_TOKENS, HOME_WORDS, BUCKET_TOKENS = 2_000_000, 1_000_000, 3_000_000
 SPLIT = 500_000
 #: Discount where the counts do not tell one.
 DISCOUNT = 0.75
-#: Customers of one dish in one restaurant who move in a sweep at most.
-MOVES = 8
+#: Customers of one dish in one restaurant who move one by one; more move in blocks.
+FEW = 8
 _SPACES = b" \t\n\x0b\x0c\r"
 #: The end of a text among the words: a byte that no word holds.
 _END = b" "
@@ -76,15 +77,9 @@ class _Draws:
         return (mixed(self.state[rows]) >> _U(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
 
 
-def opened(c: np.ndarray, base: np.ndarray, slope: np.ndarray, d: float, draws: _Draws, seated: np.ndarray | None = None, t: np.ndarray | None = None) -> np.ndarray:
-    """Tables of ``c`` customers of one dish when seated in sequence: with ``t`` tables and ``j``
-    seated, the next opens one with weight ``base + slope * t`` against ``j - d * t``. The first
-    ``seated`` sit at ``t`` tables already.
-
-    Customers who sit down at open tables are skipped: between ``j`` and ``2j`` the chance of a table is
-    at most that at ``j``, so candidates come in geometric steps and are accepted by the ratio."""
-    one = (c > 0).astype(np.int64)
-    seated, t = (one, one) if seated is None else (np.maximum(seated, one), np.maximum(t, one))
+def _openings(c: np.ndarray, base: np.ndarray, slope: np.ndarray, d: float, draws: _Draws, seated: np.ndarray, t: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Dishes whose next customer to open a table has been found, and how many sit before that one: see :func:`opened`.
+    Those of a dish come in their order."""
     t = t.copy()
     at = np.flatnonzero(c > seated)
     j, n = seated[at], c[at]
@@ -99,9 +94,24 @@ def opened(c: np.ndarray, base: np.ndarray, slope: np.ndarray, d: float, draws:
         inside = landed < window
         opens = inside & (draws.of(at) * bound <= weight / (weight + landed - less))
         t[at[opens]] += 1
+        yield at[opens], landed[opens]
         j = np.where(inside, landed + 1, window)
         on = j < n
         at, j, n = at[on], j[on], n[on]
+
+
+def opened(c: np.ndarray, base: np.ndarray, slope: np.ndarray, d: float, draws: _Draws, seated: np.ndarray | None = None, t: np.ndarray | None = None) -> np.ndarray:
+    """Tables of ``c`` customers of one dish when seated in sequence: with ``t`` tables and ``j``
+    seated, the next opens one with weight ``base + slope * t`` against ``j - d * t``. The first
+    ``seated`` sit at ``t`` tables already.
+
+    Customers who sit down at open tables are skipped: between ``j`` and ``2j`` the chance of a table is
+    at most that at ``j``, so candidates come in geometric steps and are accepted by the ratio."""
+    one = (c > 0).astype(np.int64)
+    seated, t = (one, one) if seated is None else (np.maximum(seated, one), np.maximum(t, one))
+    t = t.copy()
+    for at, _ in _openings(c, base, slope, d, draws, seated, t):
+        t[at] += 1
     return t
 
 
@@ -163,12 +173,10 @@ def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(int(n.sum())) + np.repeat(start - np.cumsum(n) + n, n)
 
 
-def moved(sizes: np.ndarray, c: np.ndarray, t: np.ndarray, base: np.ndarray, slope: np.ndarray, d: float, draws: _Draws) -> tuple[np.ndarray, np.ndarray]:
-    """One Gibbs sweep: customers of each dish leave, one after the other, and sit down again given all
-    others. ``base + slope * t`` is the weight of a table beside ``t`` others. Of more than ``MOVES``
-    customers of a dish as many as that move, chosen at random. Sizes and numbers of tables after it."""
+def _one_by_one(sizes: np.ndarray, c: np.ndarray, t: np.ndarray, base: np.ndarray, slope: np.ndarray, d: float, draws: _Draws) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`moved` for at most ``FEW`` customers of each dish: as many moves as customers, each of a random one."""
     t = t.copy()
-    for step in range(MOVES):
+    for step in range(FEW):
         at = np.flatnonzero(c > max(step, 1))
         if not len(at):
             break
@@ -213,6 +221,162 @@ def moved(sizes: np.ndarray, c: np.ndarray, t: np.ndarray, base: np.ndarray, slo
     return sizes, t
 
 
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """For positive numbers, by Stirling's series."""
+    x = x.copy()
+    low = np.flatnonzero(x < 8)
+    steps = np.zeros(len(low))
+    for _ in range(8):
+        steps += np.log(x[low])
+        x[low] += 1
+    z = 1 / (x * x)
+    whole = (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z / 1680))) / x
+    whole[low] -= steps
+    return whole
+
+
+def _path_weights(of: np.ndarray, j: np.ndarray, seated: np.ndarray, c: np.ndarray, t: np.ndarray, base: np.ndarray, slope: np.ndarray, d: float) -> np.ndarray:
+    """The logarithms of all weights, of new and open tables, that customers ``seated`` to ``c`` of each dish meet, multiplied,
+    where those of dish ``of`` with ``j`` before them open tables and ``t`` are open before. Sorted by both."""
+    e = np.bincount(of, minlength=len(c))
+    cell = np.repeat(np.arange(len(c)), e + 1)
+    first = np.cumsum(e + 1) - e - 1
+    begin, end = np.empty(len(cell), dtype=np.int64), np.empty(len(cell), dtype=np.int64)
+    begin[first], end[first + e] = seated, c
+    own = np.arange(len(of)) + of  # each opening ends one stretch of equal numbers of tables and begins the next
+    end[own], begin[own + 1] = j + 1, j + 1
+    tables = t[cell] + np.arange(len(cell)) - first[cell]
+    less = base[cell] - (d - slope[cell]) * tables
+    some = np.flatnonzero(end > begin)
+    parts = np.zeros(len(cell))
+    parts[some] = _log_gamma(less[some] + end[some]) - _log_gamma(less[some] + begin[some])
+    return np.bincount(cell, weights=parts, minlength=len(c))
+
+
+def _first_places(of: np.ndarray, sizes: np.ndarray, m: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Places of the first customers of tables of ``sizes`` in dishes ``of`` (ascending) in a random order of ``m`` customers of each
+    dish, sorted by dish and place. Customers come at times of their own, distributed exponentially."""
+    time = rng.exponential(size=len(of)) / sizes
+    order = np.lexsort((time, of))
+    time, sizes = time[order], sizes[order]
+    e = np.bincount(of, minlength=len(m))
+    first = np.cumsum(e) - e
+    pool = m - np.bincount(of, weights=sizes, minlength=len(m)).astype(np.int64)  # may come at any time from now on
+    now, place = np.zeros(len(m)), np.zeros(len(m), dtype=np.int64)
+    found = np.empty(len(of), dtype=np.int64)
+    at = np.flatnonzero(e)
+    turn = 0
+    while len(at):
+        own = first[at] + turn
+        come = rng.binomial(pool[at], -np.expm1(now[at] - time[own]))
+        found[own] = place[at] + come
+        place[at] += come + 1
+        pool[at] += sizes[own] - 1 - come
+        now[at] = time[own]
+        turn += 1
+        at = at[e[at] > turn]
+    return found
+
+
+def _joined(sizes: np.ndarray, t: np.ndarray, n: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
+    """Sizes after ``n`` customers have sat down in sequence at the ``t`` tables of each dish, none opened: halved again and again."""
+    before = np.concatenate([[0], np.cumsum(sizes)])
+    sizes = sizes.copy()
+    some = np.flatnonzero(n)
+    start, length, n = (np.cumsum(t) - t)[some], t[some], n[some]
+    while len(start):
+        one = length == 1
+        sizes[start[one]] += n[one]
+        start, length, n = start[~one], length[~one], n[~one]
+        half = length // 2
+        left = before[start + half] - before[start] - d * half
+        right = before[start + length] - before[start + half] - d * (length - half)
+        go = rng.binomial(n, rng.beta(left, right))
+        start, length, n = np.concatenate([start, start + half]), np.concatenate([half, length - half]), np.concatenate([go, n - go])
+        start, length, n = start[n > 0], length[n > 0], n[n > 0]
+    return sizes
+
+
+def _in_blocks(sizes: np.ndarray, c: np.ndarray, t: np.ndarray, base: np.ndarray, slope: np.ndarray, d: float, draws: _Draws, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`moved` by random ``blocks`` that hold each customer once. A block leaves and sits down again in a random
+    sequence; the seating it had is drawn on the same way, and the new one taken by the ratio of the weights
+    that both meet, which makes up for their sequences (so the block keeps its seats now and then)."""
+    draws.of(slice(None))
+    rng = np.random.default_rng(int(np.bitwise_xor.reduce(mixed(draws.state))))
+    waiting = sizes.copy()  # customers whose block has not left yet
+    for turn in range(blocks):
+        cell = np.repeat(np.arange(len(c)), t)
+        gone = rng.binomial(waiting, 1 / (blocks - turn))
+        waiting = waiting - gone
+        rest = sizes - gone
+        m = np.bincount(cell, weights=gone, minlength=len(c)).astype(np.int64)
+        seated, left = c - m, np.bincount(cell, weights=rest > 0, minlength=len(c)).astype(np.int64)
+        # the seating as it was: who opened the tables that are empty now
+        bare = np.flatnonzero(rest == 0)
+        of = cell[bare]
+        j = seated[of] + _first_places(of, sizes[bare], m, rng)
+        had = _path_weights(of, j, seated, c, left, base, slope, d)
+        # the new one: the first customer of a dish opens a table in any case
+        none = np.flatnonzero(seated == 0)
+        found = [(none, np.zeros(len(none), dtype=np.int64)), *_openings(c, base, slope, d, draws, np.maximum(seated, 1), np.maximum(left, 1))]
+        of, j = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((j, of))
+        of, j = of[order], j[order]
+        takes = np.log(rng.random(len(c))) < _path_weights(of, j, seated, c, left, base, slope, d) - had
+        takes &= m > 0
+        taken = takes[of]
+        of, j = of[taken], j[taken]
+        e = np.bincount(of, minlength=len(c))
+        # a table and those opened before share the customers after it whom later tables have not got
+        fresh = np.empty(len(of), dtype=np.int64)
+        last, after = np.cumsum(e) - 1, np.zeros(len(c), dtype=np.int64)
+        at, k = np.flatnonzero(e), 0
+        while len(at):
+            own = last[at] - k
+            others = j[own] - d * (left[at] + e[at] - 1 - k)
+            n = c[at] - j[own] - 1 - after[at]
+            share = np.ones(len(at))
+            some = np.flatnonzero(j[own] > 0)
+            share[some] = rng.beta(1 - d, others[some])
+            fresh[own] = 1 + rng.binomial(n, share)
+            after[at] += fresh[own]
+            k += 1
+            at = at[e[at] > k]
+        kept = np.where(takes[cell], rest, sizes)
+        stays = kept > 0
+        kept, waiting = kept[stays], waiting[stays]
+        t = np.where(takes, left, t)
+        kept = _joined(kept, t, np.where(takes, m - after, 0), d, rng)
+        ends = np.cumsum(t)[of]
+        sizes, waiting = np.insert(kept, ends, fresh), np.insert(waiting, ends, 0)
+        t = t + e
+    return sizes, t
+
+
+def moved(sizes: np.ndarray, c: np.ndarray, t: np.ndarray, base: np.ndarray, slope: np.ndarray, d: float, draws: _Draws) -> tuple[np.ndarray, np.ndarray]:
+    """One Gibbs sweep: the customers of each dish leave and sit down again given all others, up to ``FEW`` one after the
+    other, more in blocks. ``base + slope * t`` is the weight of a table beside ``t`` others. Sizes and numbers of
+    tables after it.
+
+    A block opens more tables, and so meets weights that differ more, the likelier a table is: there are more blocks then.
+    What their number is taken from does not change with the seating."""
+    blocks = np.where(c > FEW, 2 + np.cbrt(np.minimum(base * np.maximum(c, 1.0) ** slope, c)).astype(np.int64), 0)
+    kinds = np.unique(blocks).tolist()
+    parts, now = [], t.copy()
+    for kind in kinds:
+        own = np.flatnonzero(blocks == kind)
+        mine = _Draws(draws.state[own])
+        state = sizes[np.repeat(blocks == kind, t)], c[own], t[own], base[own], slope[own], d, mine
+        part, now[own] = _in_blocks(*state, kind) if kind else _one_by_one(*state)
+        parts.append(part)
+        draws.state[own] = mine.state
+    place = np.repeat(blocks, now)
+    sizes = np.empty(int(now.sum()), dtype=np.int64)
+    for kind, part in zip(kinds, parts, strict=True):
+        sizes[place == kind] = part
+    return sizes, now
+
+
 # ---- shards -------------------------------------------------------------------------------------
 
 

@@ -228,6 +228,76 @@ def test_moves_keep_the_posterior():
         assert abs((t == k).mean() - want) < 5 * math.sqrt(want / n), k
 
 
+def table_chances(c, base, slope, d):
+    """Logarithms of the weights of all seatings of 1 to c customers, summed by tables: a row for each number of customers."""
+    logs = np.full((c + 1, c + 1), -np.inf)
+    logs[1, 1] = 0.0
+    k = np.arange(c + 1)
+    with np.errstate(divide="ignore"):
+        for j in range(1, c):
+            opens = np.concatenate([[-np.inf], logs[j, :-1] + np.log(base + slope * k[:-1])])
+            logs[j + 1] = np.logaddexp(logs[j] + np.log(np.maximum(j - d * k, 0)), opens)
+    return logs
+
+
+def seatings(n, logs, base, slope, d, rng):
+    """Sizes of tables of ``n`` seatings of all customers, each as likely as its weight."""
+    c = len(logs) - 1
+    opens = np.zeros((n, c), dtype=bool)
+    opens[:, 0] = True
+    t = rng.choice(c + 1, size=n, p=np.exp(logs[c] - np.logaddexp.reduce(logs[c])))
+    for j in range(c - 1, 0, -1):
+        new = np.log(rng.random(n)) < logs[j, t - 1] + np.log(base + slope * (t - 1)) - logs[j + 1, t]
+        opens[:, j] = new
+        t = t - new
+    sizes = np.zeros((n, c), dtype=np.int64)
+    for j in range(c):
+        tables = np.cumsum(opens[:, : j + 1], axis=1)[:, -1]
+        weights = np.cumsum(np.where(sizes > 0, sizes - d, 0), axis=1)
+        joins = (rng.random(n)[:, None] * weights[:, -1:] >= weights).sum(axis=1)
+        sizes[np.arange(n), np.where(opens[:, j], tables - 1, np.minimum(joins, tables - 1))] += 1
+    return sizes
+
+
+@pytest.mark.parametrize(("c", "base", "slope", "d"), [(9, 0.8, 0.05, 0.4), (12, 30.0, 0.01, 0.7), (60, 2.0, 0.3, 0.75), (200, 0.5, 0.001, 0.8), (250, 70.0, 0.0, 0.5)])
+def test_a_sweep_of_many_customers_keeps_the_posterior(c, base, slope, d):
+    """Numbers of tables, and of tables of one customer, are as likely after it as before."""
+    n, rng = 4000, np.random.default_rng(c)
+    spread = seatings(n, table_chances(c, base, slope, d), base, slope, d, rng)
+    t, sizes, many = (spread > 0).sum(axis=1), spread[spread > 0], np.full(n, c)
+    was = t, (spread == 1).sum(axis=1), spread.max(axis=1)
+    draws = P._Draws(rng.integers(0, 1 << 63, n).astype(np.uint64))
+    for _ in range(3):
+        sizes, t = P.moved(sizes, many, t, np.full(n, base), np.full(n, slope), d, draws)
+        assert_seated(sizes, many, t)
+    first = np.cumsum(t) - t
+    now = t, np.add.reduceat((sizes == 1).astype(np.int64), first), np.maximum.reduceat(sizes, first)
+    for a, b in zip(was, now, strict=True):
+        assert abs(a.mean() - b.mean()) < 4.5 * math.hypot(a.std(), b.std()) / math.sqrt(n) + 1e-9
+        assert abs(a.std() - b.std()) < 0.1 * a.std() + 0.02
+
+
+def test_all_customers_of_a_dish_move():
+    """From a table for each customer, where few are likely, two sweeps leave a fifth at most, for any number of customers."""
+    c, d = np.array([2, 8, 9, 400, 5000, 30_000]), 0.5
+    t, sizes = c.copy(), np.ones(c.sum(), dtype=np.int64)
+    few, tiny = np.full(len(c), 0.01), np.full(len(c), 0.0001)
+    draws = P._Draws(np.arange(len(c)).astype(np.uint64))
+    for _ in range(2):
+        sizes, t = P.moved(sizes, c, t, few, tiny, d, draws)
+        assert_seated(sizes, c, t)
+    assert (5 * t[3:] <= c[3:]).all(), t
+
+
+def test_a_dish_of_very_many_customers_moves_in_time_of_its_tables():
+    c = np.array([3_000_000_000, 40_000_000, 1, 0])
+    draws, base, slope = P._Draws(np.arange(4).astype(np.uint64)), np.array([50.0, 900.0, 1.0, 1.0]), np.full(4, 0.01)
+    t = P.opened(c, base, slope, 0.7, draws)
+    sizes, now = P.moved(P.shared_out(c, t, 0.7, draws), c, t, base, slope, 0.7, draws)
+    assert_seated(sizes, c, now)
+    assert now[:2].tolist() != t[:2].tolist()
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 1 << 40), st.integers(0, 1 << 40)), max_size=50, unique=True))
 def test_pairs_survive_packing(pairs):
