@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -55,11 +56,18 @@ def compact_landing_day(spark: SparkSession, base: str, day: str, *, files: int
     """Write the many small files of a landing day as ``files`` ones, with all columns of any
     of them.  Runs that only append leave a file set each, which makes every later scan list
     and open more of them.  The old files go when the job commits; the notes on the day's
-    columns become one."""
+    columns become one.
+
+    A row's place in its old file tells its new one, and the day is a constant, so that neither
+    the shuffle nor the write sorts: a task streams its rows, however many they are.
+    """
     rows = spark.read.option("mergeSchema", True).option("basePath", base).parquet(f"{base.rstrip('/')}/{LANDING_DAY}={day}")
     before = columns.notes(spark, base)
     columns.note(spark, base, [day], [c for c in rows.columns if c != LANDING_DAY])
-    replace_partitions(rows.repartition(files), base, [LANDING_DAY])
+    source = rows.metadataColumn("_metadata")
+    spread = rows.repartition(files, F.xxhash64(source["file_path"], source["row_index"]))
+    # the writer escapes what the folder's name has escaped
+    replace_partitions(spread.withColumn(LANDING_DAY, F.lit(unquote(day, "latin-1"))), base, [LANDING_DAY])
     columns.forget(spark, base, before, [day])
 
 

@@ -27,6 +27,10 @@ def landed(spark, base):
     return Counter((r["n"], r["_ingestion_timestamp"], str(r["partition_date"])) for r in rows.collect())
 
 
+def landed_rows(spark, base):
+    return Counter(map(str, spark.read.parquet(base).collect()))
+
+
 def test_append_adds_to_the_day(spark, tmp_path):
     base = str(tmp_path / "t")
     for run_ts in (DAY_1, DAY_1_LATER, DAY_2):
@@ -181,6 +185,36 @@ def test_compaction_keeps_all_rows_and_columns(spark, tmp_path):
     assert sorted(map(str, spark.read.option("mergeSchema", True).parquet(base).select("a", "b", "partition_date").collect())) == before
 
 
+def test_compaction_spreads_equal_rows_and_sorts_none(spark, tmp_path, monkeypatch):
+    base, plans, write = str(tmp_path / "landing"), [], writers.replace_partitions
+
+    def noted(df, path, partition_by):
+        # a partitioned write asks for rows in the order of its columns
+        plans.append(df.sortWithinPartitions(*partition_by)._jdf.queryExecution().executedPlan().toString())
+        write(df, path, partition_by)
+
+    monkeypatch.setattr(writers, "replace_partitions", noted)
+    for run_ts in (DAY_1, DAY_1_LATER):
+        writers.append_landing(spark.range(2000).selectExpr("'x' AS a", "CAST(NULL AS STRING) AS _metadata").repartition(3), base, run_ts)
+    before = landed_rows(spark, base)
+    writers.compact_landing_day(spark, base, "2024-06-01", files=4)
+    assert len(plans) == 1 and "Sort [" not in plans[0] and "RoundRobin" not in plans[0]
+    files = [pq.read_metadata(f).num_rows for f in (tmp_path / "landing" / "partition_date=2024-06-01").glob("*.parquet")]
+    assert len(files) == 4 and min(files) > 700 and sum(files) == 4000
+    assert landed_rows(spark, base) == before
+
+
+@pytest.mark.parametrize("day", ["2024-06-01", "a:b%41é", "01", None, "2024-06-01 06:00:00"])
+def test_compaction_writes_the_folder_it_read(spark, tmp_path, day):
+    base = str(tmp_path / "landing")
+    for run_ts in (DAY_1, DAY_2):
+        writers.append_landing(spark.range(3).selectExpr("CAST(id AS STRING) AS a"), base, run_ts, day=F.lit(day).cast("string"))
+    before, [folder] = landed_rows(spark, base), (tmp_path / "landing").glob("partition_date=*")
+    writers.compact_landing_day(spark, base, folder.name.removeprefix("partition_date="))
+    assert list((tmp_path / "landing").glob("partition_date=*")) == [folder] and len(list(folder.glob("*.parquet"))) == 1
+    assert landed_rows(spark, base) == before
+
+
 def test_helper_names_do_not_clash(spark):
     df = spark.createDataFrame([("a", 1, 2, 3, "x"), ("a", 2, 2, 3, "y")], "k string, _rank int, _SALT int, _spread int, _excess string")
     assert dedup_by_key(df, ["k"]).columns == df.columns
