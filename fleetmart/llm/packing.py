@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from fleetmart.llm.shared import id_and_text
 from fleetmart.llm.wordbpe import encoder
 
+#: Bytes of ids that go back to Spark at once, at most one piece more, and rows.
+BYTES_OUT, ROWS_OUT = 2 << 20, 20_000
+
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 
 
@@ -41,14 +44,16 @@ def pack(docs: DataFrame, vocabulary: str, *, longest: int = 2048, end_id: int =
         own = encoder(vocabulary)
         for batch in batches:
             out: list[tuple] = []
+            held = 0
             for doc_id, ids in own.documents(batch, end_id):
                 ids, start = ids.astype("<u4", copy=False), 0
                 for length in binary_lengths(len(ids), longest):
                     out.append((doc_id, start, length, ids[start : start + length].tobytes(), len(ids)))
                     start += length
-                if len(out) >= 20_000:
-                    yield _batch(out)
-                    out = []
+                    held += 4 * length
+                    if held >= BYTES_OUT or len(out) >= ROWS_OUT:
+                        yield _batch(out)
+                        out, held = [], 0
             yield _batch(out)
 
     pieces = id_and_text(docs, id_col, text_col).mapInArrow(cut, PIECES)

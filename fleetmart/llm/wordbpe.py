@@ -2,16 +2,18 @@
 
 The vocabulary drops white space and marks word ends, hence a text's ids are those of its
 white-space separated words in a row. A batch of texts is split and its distinct words are found
-by Arrow; their ids are kept in a bounded table of a worker process. Words of ASCII and Latin-1
-letters go straight to the library's BPE model, all others through its whole normalizer and
-splitter.
+by Arrow; their ids are kept in a bounded table of a worker process, from which words met once
+go when it is full. Words of ASCII and Latin-1 letters go straight to the library's BPE model, all
+others through its whole normalizer and splitter.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +21,14 @@ import pyarrow.compute as pc
 
 from fleetmart.llm.shared import process_cache
 
-#: Words kept per worker process before the table is started anew.
-KEPT_WORDS = 400_000
+#: Words kept per worker process before those met in one batch only are given up.
+KEPT_WORDS = 200_000
+#: Pieces of words (letters, digits, signs) kept per worker process before they are started anew.
+KEPT_PARTS = 60_000
 #: Longer words (in bytes) are encoded but not kept.
 KEPT_BYTES = 64
 #: Text that is encoded at once, at most one document more.
-BYTES_AT_ONCE = 4 << 20
+BYTES_AT_ONCE = 2 << 20
 #: Characters on which NFC is the identity and lower case is one character for one.
 PLAIN = "\x21-\x7eÀ-ÖØ-öø-ÿ"
 LETTERS = "a-zß-öø-ÿ"
@@ -52,8 +56,25 @@ class WordEncoder:
         self.parts: dict[str, tuple[int, ...]] = {}
         self.flat = np.empty(0, dtype=np.uint32)
         self.starts = np.zeros(1, dtype=np.int64)
+        self.again = np.empty(0, dtype=bool)
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.words.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+
+    def _make_room(self) -> None:
+        """Only words that a later batch held too stay, half a table at most."""
+        stay = np.flatnonzero(self.again)[: KEPT_WORDS // 2]
+        sizes = np.diff(self.starts)[stay]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        self.flat = self.flat[np.repeat(self.starts[stay] - ends[:-1], sizes) + np.arange(ends[-1])]
+        words = list(self.words)
+        self.words = {words[i]: k for k, i in enumerate(stay.tolist())}
+        self.starts, self.again = ends, np.zeros(len(stay), dtype=bool)
 
     def _word_ids(self, word: str) -> list[int] | tuple[int, ...]:
+        if word.isalpha() and word.isascii() and len(word) <= KEPT_BYTES:  # one piece, kept as a word
+            word = word.lower()
+            return self.parts.get(word) or [t.id for t in self.model.tokenize(word)]
         if not self.plain(word) or ("<|" in word and any(s in word for s in self.specials)):
             return self.tokenizer.encode(word, add_special_tokens=False).ids
         ids: tuple[int, ...] = ()
@@ -61,6 +82,8 @@ class WordEncoder:
             known = self.parts.get(piece)
             if known is None:
                 known = tuple([t.id for t in self.model.tokenize(piece.translate(self.bytes_as_letters))])
+                if len(self.parts) >= KEPT_PARTS:
+                    self.parts.clear()
                 self.parts[piece] = known
             ids += known
         return ids
@@ -72,18 +95,28 @@ class WordEncoder:
         split = pc.ascii_split_whitespace(pc.if_else(simple, pc.ascii_lower(texts), texts))
         coded = split.flatten().dictionary_encode()
         words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        numbers = np.array([self.words.get(w, -1) for w in words], dtype=np.int64)
-        if len(self.words) + int((numbers < 0).sum()) > KEPT_WORDS:
-            self._clear()
-            numbers[:] = -1
-        new = np.flatnonzero(numbers < 0)
-        found = [self._word_ids(words[i]) for i in new]
+        short = pc.binary_length(coded.dictionary).to_numpy() <= KEPT_BYTES
+        numbers = self._numbers(words)
+        self.again[numbers[numbers >= 0]] = True
+        if len(self.words) + int((short & (numbers < 0)).sum()) > KEPT_WORDS:
+            self._make_room()
+            numbers = self._numbers(words)
+        new = np.flatnonzero(short & (numbers < 0))
+        room = len(self.words) + len(new)
+        new = np.concatenate([new, np.flatnonzero(~short)])
         numbers[new] = len(self.words) + np.arange(len(new))
-        flat = np.concatenate([self.flat, np.fromiter((x for ids in found for x in ids), dtype=np.uint32)])
-        starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(ids) for ids in found], dtype=np.int64)])
-        if len(self.words) + len(new) <= KEPT_WORDS:
-            self.words.update(zip([words[i] for i in new], numbers[new].tolist(), strict=True))
-            self.flat, self.starts = flat, starts
+        unknown = [words[i] for i in new.tolist()]
+        found, upto = array("I"), []
+        for word in unknown:
+            found.extend(self._word_ids(word))
+            upto.append(len(found))
+        flat = np.concatenate([self.flat, np.array(found, dtype=np.uint32)])
+        starts = np.concatenate([self.starts, self.starts[-1] + np.array(upto, dtype=np.int64)])
+        if room <= KEPT_WORDS:
+            self.words.update(zip(unknown, range(len(self.words), room), strict=False))  # without the long ones
+            self.starts = starts[: room + 1].copy()
+            self.flat = flat[: starts[room]].copy()
+            self.again = np.concatenate([self.again, np.zeros(room - len(self.again), dtype=bool)])
         begin = starts[numbers][at]
         sizes = np.diff(starts)[numbers][at]
         ends = np.concatenate([[0], np.cumsum(sizes)])

@@ -55,6 +55,19 @@ def test_a_full_table_starts_anew(monkeypatch):
         assert len(own.words) <= 50
 
 
+def test_a_full_table_keeps_what_is_met_again(monkeypatch):
+    monkeypatch.setattr(wordbpe, "KEPT_WORDS", 50)
+    monkeypatch.setattr(wordbpe, "KEPT_PARTS", 40)
+    own = wordbpe.WordEncoder(WORDS)
+    for j in range(20):
+        texts = [f"it's common, Ünïcödé <|endoftext|> x{j}y{i} word{chr(97 + i)}{chr(97 + j)}, {chr(97 + i) * (j + 60)}" for i in range(8)]
+        ids, ends = own.encode_array(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [whole(t, 0)[:-1] for t in texts]
+        assert len(own.words) <= 50 and len(own.parts) <= 40 and max(map(len, own.words)) <= 64
+        assert len(own.words) == len(own.again) == len(own.starts) - 1 and own.starts[-1] == len(own.flat)
+        assert j == 0 or {"it's", "common,", "Ünïcödé"} <= own.words.keys()
+
+
 def check_pieces(pieces, texts):
     """Pieces of every document are powers of two in a row that hold each id once."""
     by_doc = grouped((r["doc_id"], r) for r in pieces)
@@ -77,6 +90,24 @@ def test_packing(spark, docs, odd, empty):
         packing.pack(docs, WORDS, longest=1000)
 
 
+def test_a_packing_task_sends_a_few_megabytes_at_once(spark, monkeypatch):
+    class Rows:
+        def mapInArrow(self, cut, schema):
+            self.cut = cut
+            return self
+
+        def withColumn(self, *column):
+            return self
+
+    monkeypatch.setattr(packing, "id_and_text", lambda *_: Rows())
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a b c d " * 400_000, "e f"]})
+    out = list(packing.pack(None, WORDS).cut(iter([batch])))
+    assert max(b.nbytes for b in out) < 3 << 20
+    rows = [r for b in out for r in b.to_pylist()]
+    assert b"".join(r["ids"] for r in rows if r["doc_id"] == 1) == np.array(whole("a b c d", 0)[:-1] * 400_000 + [1], dtype="<u4").tobytes()
+    assert [r["doc_tokens"] for r in rows if r["doc_id"] == 2][0] == len(whole("e f", 1))
+
+
 @given(st.integers(1, 100_000), st.integers(0, 14))
 def test_binary_lengths(total, power):
     longest = 1 << power
